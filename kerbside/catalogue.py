@@ -54,13 +54,8 @@ def endpoint_slug(endpoint: Column) -> Column:
     return F.replace(endpoint, F.lit("/"), F.lit("_"))
 
 
-def endpoint_catalogue(spark: SparkSession) -> DataFrame:
-    """One row per endpoint. The list is fixed, so it is safe to broadcast."""
-    rows = [(p, e, t, c, (p, e) in BACKFILL) for p, e, t, c in ENDPOINTS]
-    base = spark.createDataFrame(
-        rows, "provider string, endpoint string, table_suffix string, cadence string, in_backfill boolean"
-    )
-    return base.withColumns(
+def _derived(df: DataFrame) -> DataFrame:
+    return df.withColumns(
         {
             "raw_table": F.concat(F.upper("provider"), F.lit("_"), F.col("table_suffix")),
             "slug": endpoint_slug(F.col("endpoint")),
@@ -68,3 +63,26 @@ def endpoint_catalogue(spark: SparkSession) -> DataFrame:
             "lane": F.initcap("provider"),
         }
     )
+
+
+def endpoint_catalogue(spark: SparkSession) -> DataFrame:
+    """One row per endpoint. The list is fixed, so it is safe to broadcast."""
+    rows = [(p, e, t, c, (p, e) in BACKFILL) for p, e, t, c in ENDPOINTS]
+    base = spark.createDataFrame(
+        rows, "provider string, endpoint string, table_suffix string, cadence string, in_backfill boolean"
+    )
+    return _derived(base)
+
+
+def with_endpoints(df: DataFrame) -> DataFrame:
+    """Every row of ``df`` once per catalogue endpoint. The list is part of the plan, so nothing is joined."""
+    endpoints = F.array(
+        *[
+            F.struct(
+                F.lit(p).alias("provider"), F.lit(e).alias("endpoint"), F.lit(t).alias("table_suffix"),
+                F.lit(c).alias("cadence"), F.lit((p, e) in BACKFILL).alias("in_backfill"),
+            )
+            for p, e, t, c in ENDPOINTS
+        ]
+    )
+    return _derived(df.withColumn("_endpoint", F.explode(endpoints)).select(*df.columns, "_endpoint.*"))
