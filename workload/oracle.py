@@ -498,5 +498,5 @@ SELECT o_orderkey, o_orderstatus, o_orderpriority || ', "' || o_orderstatus || '
 FROM (SELECT *, NULL AS h FROM orders UNION ALL SELECT *, md5(o_orderpriority || ', "' || o_orderstatus || '"') FROM orders)"""
 
 SQL["hourly_files"] = with_frames("""
-SELECT strftime(make_timestamp(ping_ms * 1000), '%Y-%m-%dT%H') AS hour, trip_id AS item, count(*) AS n_pings
-FROM pings WHERE provider_name = 'Dott' GROUP BY ALL""", "pings")
+SELECT strftime(reported_at, '%Y-%m-%dT%H') AS hour, device_id AS item, count(*) AS n_pings
+FROM reports WHERE provider_name = 'Dott' GROUP BY ALL""", "reports")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from functools import partial, reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -239,24 +242,23 @@ def poppy_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _page(_pack(frames.types(spark, sf_dir), element), "POPPY", "VEHICLE_TYPES", _data("vehicle_types"))
 
 
-def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All pages of all providers. Reading one raw table builds only its pages."""
-    parts = [
-        *[vehicles(spark, sf_dir, p) for p in ("VOI", "DOTT", "BOLT")],
-        *[mds_trips(spark, sf_dir, p) for p in ("VOI", "DOTT", "BOLT")],
-        poppy_trips(spark, sf_dir),
-        mds_events(spark, sf_dir, "VOI", False),
-        mds_events(spark, sf_dir, "BOLT", True),
-        status_changes(spark, sf_dir, "DOTT", "EVENTS"),
-        status_changes(spark, sf_dir, "BOLT", "STATUS_CHANGES"),
-        voi_status(spark, sf_dir),
-        dott_status(spark, sf_dir),
-        dott_telemetry(spark, sf_dir),
-        bolt_telemetry(spark, sf_dir),
-        poppy_bikes(spark, sf_dir),
-        poppy_types(spark, sf_dir),
-    ]
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return whole
+FEEDS = {
+    **{f"{p}_VEHICLES": partial(vehicles, provider=p) for p in ("VOI", "DOTT", "BOLT")},
+    **{f"{p}_TRIPS": partial(mds_trips, provider=p) for p in ("VOI", "DOTT", "BOLT")},
+    "VOI_EVENTS": partial(mds_events, provider="VOI", snapshots=False),
+    "VOI_VEHICLES_STATUS": voi_status,
+    "DOTT_EVENTS": partial(status_changes, provider="DOTT", endpoint="EVENTS"),
+    "DOTT_VEHICLES_STATUS": dott_status,
+    "DOTT_TELEMETRY": dott_telemetry,
+    "BOLT_EVENTS": partial(mds_events, provider="BOLT", snapshots=True),
+    "BOLT_STATUS_CHANGES": partial(status_changes, provider="BOLT", endpoint="STATUS_CHANGES"),
+    "BOLT_TELEMETRY": bolt_telemetry,
+    "POPPY_TRIPS": poppy_trips,
+    "POPPY_FREE_BIKE_STATUS": poppy_bikes,
+    "POPPY_VEHICLE_TYPES": poppy_types,
+}
+
+
+def bronze(spark: SparkSession, sf_dir: str, tables: Iterable[str] = tuple(FEEDS)) -> DataFrame:
+    """The pages of the named raw tables, of all by default."""
+    return reduce(DataFrame.unionByName, [FEEDS[name](spark, sf_dir) for name in tables])

@@ -279,9 +279,9 @@ def route_geojson(spark, sf_dir):
 # Pages and silver views
 
 
-def _view(name: str, *columns: str) -> Query:
+def _view(name: str, tables: str, *columns: str) -> Query:
     def build(spark, sf_dir):
-        return silver.VIEWS[f"stg_{name}"](pages.bronze(spark, sf_dir)).selectExpr(*columns)
+        return silver.VIEWS[f"stg_{name}"](pages.bronze(spark, sf_dir, tables.split())).selectExpr(*columns)
 
     build.__name__, build.__doc__ = f"silver_{name}", f"The view stg_{name} over JSON pages."
     return query(build)
@@ -293,29 +293,29 @@ TRIP = ("trip_id", "vehicle_short_id", "vehicle_type", "provider_name", "start_t
         "coalesce(size(route_geom), 0) AS n_points")
 REPORT = ("device_id", "event_type", "vehicle_state", "trip_id", "lat", "lon", "reported_at")
 
-_view("voi_vehicles", *REGISTRY)
-_view("dott_vehicles", *REGISTRY)
-_view("bolt_vehicles", *REGISTRY)
-_view("poppy_vehicles", "vehicle_type_id", "vehicle_type")
-_view("voi_trips", *TRIP)
-_view("dott_trips", *TRIP)
-_view("bolt_trips", "trip_id", "vehicle_short_id", "vehicle_type", "provider_name", "started_at", "ended_at", "duration",
+_view("voi_vehicles", "VOI_VEHICLES", *REGISTRY)
+_view("dott_vehicles", "DOTT_VEHICLES", *REGISTRY)
+_view("bolt_vehicles", "BOLT_VEHICLES", *REGISTRY)
+_view("poppy_vehicles", "POPPY_VEHICLE_TYPES", "vehicle_type_id", "vehicle_type")
+_view("voi_trips", "VOI_TRIPS VOI_VEHICLES", *TRIP)
+_view("dott_trips", "DOTT_TRIPS DOTT_VEHICLES", *TRIP)
+_view("bolt_trips", "BOLT_TRIPS BOLT_VEHICLES", "trip_id", "vehicle_short_id", "vehicle_type", "provider_name", "started_at", "ended_at", "duration",
       "distance", "start_lat", "start_lon", "end_lat", "end_lon")
-_view("poppy_trips", *TRIP, "load_ts")
-_view("voi_events", *REPORT, "provider_name")
-_view("dott_events", *REPORT, "vehicle_short_id", "vehicle_type", "battery_percent", "provider_name")
-_view("bolt_events", *REPORT)
-_view("bolt_status_changes", *REPORT, "vehicle_id", "vehicle_type")
-_view("voi_vehicles_status", *REPORT, "vehicle_short_id", "vehicle_type")
-_view("dott_vehicles_status", *REPORT, "vehicle_short_id", "vehicle_type", "provider_name")
-_view("poppy_vehicles_status", *REPORT, "vehicle_id", "vehicle_type", "provider_name")
-_view("bolt_telemetry", "trip_id", "device_id", "lat", "lon", "reported_at")
+_view("poppy_trips", "POPPY_TRIPS", *TRIP, "load_ts")
+_view("voi_events", "VOI_EVENTS", *REPORT, "provider_name")
+_view("dott_events", "DOTT_EVENTS", *REPORT, "vehicle_short_id", "vehicle_type", "battery_percent", "provider_name")
+_view("bolt_events", "BOLT_EVENTS", *REPORT)
+_view("bolt_status_changes", "BOLT_STATUS_CHANGES", *REPORT, "vehicle_id", "vehicle_type")
+_view("voi_vehicles_status", "VOI_VEHICLES_STATUS VOI_VEHICLES", *REPORT, "vehicle_short_id", "vehicle_type")
+_view("dott_vehicles_status", "DOTT_VEHICLES_STATUS DOTT_VEHICLES", *REPORT, "vehicle_short_id", "vehicle_type", "provider_name")
+_view("poppy_vehicles_status", "POPPY_FREE_BIKE_STATUS POPPY_VEHICLE_TYPES", *REPORT, "vehicle_id", "vehicle_type", "provider_name")
+_view("bolt_telemetry", "BOLT_TELEMETRY", "trip_id", "device_id", "lat", "lon", "reported_at")
 
 
 @query
 def silver_dott_telemetry(spark, sf_dir):
     """The view stg_dott_telemetry over JSON pages, as numbered points."""
-    return points(silver.dott_telemetry(pages.bronze(spark, sf_dir)), "telemetry_route_geom", "trip_id")
+    return points(silver.dott_telemetry(pages.bronze(spark, sf_dir, ["DOTT_TELEMETRY"])), "telemetry_route_geom", "trip_id")
 
 
 @query
@@ -552,10 +552,10 @@ def csv_dump_import(spark, sf_dir):
 def hourly_files(spark, sf_dir):
     """Merged telemetry written in hour folders as JSON lines and read back."""
     folder = _shared_folder(spark, "hours")
-    rows = frames.pings(spark, sf_dir).where("provider_name = 'Dott'")
+    rows = frames.reports(spark, sf_dir).where("provider_name = 'Dott'")
     items = rows.select(
-        F.timestamp_millis("ping_ms").alias("hour"), F.lit("DOTT").alias("provider"), F.lit("TELEMETRY").alias("endpoint"),
-        F.lit(1).alias("page_no"), F.lit(0).alias("pos"), F.col("trip_id").alias("item"),
+        F.col("reported_at").alias("hour"), F.lit("DOTT").alias("provider"), F.lit("TELEMETRY").alias("endpoint"),
+        F.lit(1).alias("page_no"), F.col("event_id").alias("pos"), F.col("device_id").alias("item"),
     )
     write_hours(items, folder)
     back = spark.read.schema("provider string, item string, hour string").json(folder)
