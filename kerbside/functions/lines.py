@@ -27,22 +27,37 @@ def stitch(start: Column, line: Column, end: Column) -> Column:
     return F.when(whole, F.concat(F.array(start), line, F.array(end)))
 
 
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` evaluated a single time however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def from_geojson(text: Column) -> Column:
     """Line of a GeoJSON LineString; any other geometry or a broken position gives NULL."""
-    shape = F.from_json(text, "struct<type:string,coordinates:array<array<double>>>")
-    positions = shape["coordinates"]
-    sound = F.forall(
-        positions,
-        lambda p: F.coalesce(F.get(p, F.lit(0)).isNotNull() & F.get(p, F.lit(1)).isNotNull(), F.lit(False)),
-    )
-    line = F.transform(positions, lambda p: F.struct(F.get(p, F.lit(0)).alias("lon"), F.get(p, F.lit(1)).alias("lat")))
-    return F.when((shape["type"] == "LineString") & sound, line)
+
+    def vertex(position: Column) -> Column:
+        lon, lat = F.get(position, F.lit(0)), F.get(position, F.lit(1))
+        return F.when(lon.isNotNull() & lat.isNotNull(), F.struct(lon.alias("lon"), lat.alias("lat")))
+
+    def line(shape: Column) -> Column:
+        vertices = F.transform(shape["coordinates"], vertex)
+        return F.when(
+            shape["type"] == "LineString",
+            _once(vertices, lambda v: F.when(F.forall(v, lambda p: p.isNotNull()), v)),
+        )
+
+    return _once(F.from_json(text, "struct<type:string,coordinates:array<array<double>>>"), line)
 
 
 def drop_repeats(line: Column) -> Column:
     """Remove points equal to the one before; a line of two or more points keeps at least two."""
-    kept = F.filter(line, lambda p, i: (i == 0) | (p != F.get(line, i - 1)))
-    return F.when((F.size(kept) < 2) & (F.size(line) >= 2), F.array(F.get(line, F.lit(0)), F.try_element_at(line, F.lit(-1)))).otherwise(kept)
+
+    def reduced(whole: Column) -> Column:
+        kept = F.filter(whole, lambda p, i: (i == 0) | (p != F.get(whole, i - 1)))
+        flat = F.slice(whole, 1, 2)  # all points equal: any two of them
+        return _once(kept, lambda k: F.when((F.size(k) < 2) & (F.size(whole) >= 2), flat).otherwise(k))
+
+    return _once(line, reduced)
 
 
 def line_start(line: Column) -> Column:

@@ -77,5 +77,4 @@ def drop_empty(pages: DataFrame, leaf: str = "leaf") -> DataFrame:
     named = F.coalesce(F.array_contains(F.json_object_keys(data), F.col(leaf)), F.lit(False))
     inner = F.expr(f"get_json_object(content, concat('$.data.', `{leaf}`))")
     body = F.when(named, inner).otherwise(F.trim("content"))
-    empty = body.isNull() | body.rlike(r'^(\[\s*\]|\{\s*\}|null|false|0|0\.0|""|)$')
-    return pages.where(~empty)
+    return pages.where(~F.coalesce(body, F.lit("null")).rlike(r'^(\[\s*\]|\{\s*\}|null|false|0|0\.0|""|)$'))

@@ -10,12 +10,12 @@ from kerbside.operators.upsert import DAY_LOOKBACK, key_bucket, key_date, publis
 from kerbside.plans.silver import register_views
 from kerbside.plans.status import vehicles_status
 from kerbside.plans.trips import all_trips
-from kerbside.sources.bronze import read_bronze
+from kerbside.sources.bronze import Bronze, read_bronze
 
 TRIP_BUCKETS = 256
 
 
-def build_trips(spark: SparkSession, bronze: DataFrame, mart: str, staging: str, seeds: DataFrame | None = None,
+def build_trips(spark: SparkSession, bronze: Bronze, mart: str, staging: str, seeds: DataFrame | None = None,
                 strict: bool = True, buckets: int = TRIP_BUCKETS) -> None:
     """Upsert all trips by TRIP_ID. Trips gone from bronze stay in the mart."""
     if seeds is not None:
@@ -25,7 +25,7 @@ def build_trips(spark: SparkSession, bronze: DataFrame, mart: str, staging: str,
     publish(spark, batch, mart, staging, "TRIP_ID", "trip_bucket", key_bucket(F.col("TRIP_ID"), buckets), TRIPS_CHECKS)
 
 
-def build_status(spark: SparkSession, bronze: DataFrame, mart: str, staging: str, lookback: str = DAY_LOOKBACK,
+def build_status(spark: SparkSession, bronze: Bronze, mart: str, staging: str, lookback: str = DAY_LOOKBACK,
                  squash: bool = False, strict: bool = True) -> None:
     """Add the newest status slice by UID. Stored intervals before the slice keep their end."""
     batch = vehicles_status(bronze, read_mart(spark, mart), lookback, squash, strict)

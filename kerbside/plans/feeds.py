@@ -14,10 +14,10 @@ from kerbside.functions.clock import ts_millis, ts_seconds
 from kerbside.functions.labels import battery_percent
 from kerbside.functions.pages import convert, first_item, geojson_lat, geojson_lon, last_item, parse_items
 from kerbside.schemas import ITEM_PATHS, typed_null
-from kerbside.sources.bronze import scan
+from kerbside.sources.bronze import Bronze, scan
 
 
-def items(bronze: DataFrame, provider: str, endpoint: str, schema: str, keep=(), root=()) -> DataFrame:
+def items(bronze: Bronze, provider: str, endpoint: str, schema: str, keep=(), root=()) -> DataFrame:
     return parse_items(scan(bronze, provider, endpoint), ITEM_PATHS[provider, endpoint], schema, keep, root)
 
 
@@ -29,7 +29,7 @@ def _double(path: str, strict: bool) -> Column:
     return convert(_get(path), "double", strict)
 
 
-def registry(bronze: DataFrame, provider: str) -> DataFrame:
+def registry(bronze: Bronze, provider: str) -> DataFrame:
     """``device_id, vehicle_id, vehicle_type``; Bolt leaves out the type of scooters."""
     kind = _get("vehicle_type")
     return items(bronze, provider, "VEHICLES", S.VEHICLE).select(
@@ -39,7 +39,7 @@ def registry(bronze: DataFrame, provider: str) -> DataFrame:
     )
 
 
-def mds_trips(bronze: DataFrame, provider: str, strict: bool = True) -> DataFrame:
+def mds_trips(bronze: Bronze, provider: str, strict: bool = True) -> DataFrame:
     """Trips of Voi, Dott or Bolt by device; ``route_json`` is the delivered GeoJSON text, if any."""
     duration = convert(_get("duration"), "int" if provider == "BOLT" else "decimal(38,9)", strict)
     route = typed_null() if provider == "BOLT" else _get("route")
@@ -59,7 +59,7 @@ def mds_trips(bronze: DataFrame, provider: str, strict: bool = True) -> DataFram
     )
 
 
-def poppy_trips(bronze: DataFrame, strict: bool = True) -> DataFrame:
+def poppy_trips(bronze: Bronze, strict: bool = True) -> DataFrame:
     """Every delivered copy of every Poppy trip, with ``load_ts``; end points come from the route."""
     geometry = F.get(_get("route.features"), F.lit(0))["geometry"]
     positions = F.from_json(geometry, "struct<coordinates:array<array<string>>>")["coordinates"]
@@ -88,7 +88,7 @@ def poppy_trips(bronze: DataFrame, strict: bool = True) -> DataFrame:
     )
 
 
-def mds_events(bronze: DataFrame, provider: str, strict: bool = True) -> DataFrame:
+def mds_events(bronze: Bronze, provider: str, strict: bool = True) -> DataFrame:
     """Events of Voi or Bolt."""
     return items(bronze, provider, "EVENTS", S.EVENT).select(
         _get("device_id").alias("device_id"),
@@ -101,7 +101,7 @@ def mds_events(bronze: DataFrame, provider: str, strict: bool = True) -> DataFra
     )
 
 
-def status_changes(bronze: DataFrame, provider: str, endpoint: str, strict: bool = True) -> DataFrame:
+def status_changes(bronze: Bronze, provider: str, endpoint: str, strict: bool = True) -> DataFrame:
     """Status changes in the older format: Dott events and Bolt status changes."""
     place = _get("event_location.geometry.coordinates")
     return items(bronze, provider, endpoint, S.STATUS_CHANGE).select(
@@ -118,7 +118,7 @@ def status_changes(bronze: DataFrame, provider: str, endpoint: str, strict: bool
     )
 
 
-def voi_status(bronze: DataFrame, strict: bool = True) -> DataFrame:
+def voi_status(bronze: Bronze, strict: bool = True) -> DataFrame:
     return items(bronze, "VOI", "VEHICLES_STATUS", S.VOI_STATUS).select(
         _get("device_id").alias("device_id"),
         _get("last_event.vehicle_state").alias("vehicle_state"),
@@ -130,7 +130,7 @@ def voi_status(bronze: DataFrame, strict: bool = True) -> DataFrame:
     )
 
 
-def dott_status(bronze: DataFrame, strict: bool = True) -> DataFrame:
+def dott_status(bronze: Bronze, strict: bool = True) -> DataFrame:
     """Dott snapshots in either format; the newer keys win where both are there."""
     old_place = _get("current_location.geometry.coordinates")
 
@@ -160,7 +160,7 @@ def dott_status(bronze: DataFrame, strict: bool = True) -> DataFrame:
     )
 
 
-def dott_pings(bronze: DataFrame, strict: bool = True) -> DataFrame:
+def dott_pings(bronze: Bronze, strict: bool = True) -> DataFrame:
     """Dott pings that name at least one trip; the first one counts."""
     return (
         items(bronze, "DOTT", "TELEMETRY", S.DOTT_PING)
@@ -175,7 +175,7 @@ def dott_pings(bronze: DataFrame, strict: bool = True) -> DataFrame:
     )
 
 
-def bolt_pings(bronze: DataFrame, strict: bool = True) -> DataFrame:
+def bolt_pings(bronze: Bronze, strict: bool = True) -> DataFrame:
     """Bolt pings that have a latitude."""
     return (
         items(bronze, "BOLT", "TELEMETRY", S.BOLT_PING)
@@ -190,13 +190,13 @@ def bolt_pings(bronze: DataFrame, strict: bool = True) -> DataFrame:
     )
 
 
-def poppy_types(bronze: DataFrame) -> DataFrame:
+def poppy_types(bronze: Bronze) -> DataFrame:
     return items(bronze, "POPPY", "VEHICLE_TYPES", S.POPPY_TYPE).select(
         _get("vehicle_type_id").alias("vehicle_type_id"), _get("form_factor").alias("vehicle_type")
     )
 
 
-def poppy_bikes(bronze: DataFrame, strict: bool = True) -> DataFrame:
+def poppy_bikes(bronze: Bronze, strict: bool = True) -> DataFrame:
     """Poppy snapshots; the time is that of the element, else of the page, else of the file."""
     seen = F.coalesce(
         ts_seconds(_get("last_reported"), strict), ts_seconds(F.col("last_updated"), strict), F.col("file_ts")

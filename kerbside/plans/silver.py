@@ -17,21 +17,22 @@ from kerbside.operators.enrich import squash_registry, with_registry, with_type_
 from kerbside.operators.latest import latest_per_key
 from kerbside.operators.routes import line_agg
 from kerbside.plans import feeds
+from kerbside.sources.bronze import Bronze
 
 
-def voi_vehicles(bronze: DataFrame, strict: bool = True) -> DataFrame:
+def voi_vehicles(bronze: Bronze, strict: bool = True) -> DataFrame:
     return feeds.registry(bronze, "VOI").distinct()
 
 
-def dott_vehicles(bronze: DataFrame, strict: bool = True) -> DataFrame:
+def dott_vehicles(bronze: Bronze, strict: bool = True) -> DataFrame:
     return feeds.registry(bronze, "DOTT").distinct()
 
 
-def bolt_vehicles(bronze: DataFrame, strict: bool = True) -> DataFrame:
+def bolt_vehicles(bronze: Bronze, strict: bool = True) -> DataFrame:
     return feeds.registry(bronze, "BOLT").distinct()
 
 
-def poppy_vehicles(bronze: DataFrame, strict: bool = True) -> DataFrame:
+def poppy_vehicles(bronze: Bronze, strict: bool = True) -> DataFrame:
     return feeds.poppy_types(bronze).distinct()
 
 
@@ -48,13 +49,13 @@ def _trip_view(trips: DataFrame, vehicle: Column, kind: Column) -> DataFrame:
     ).distinct()
 
 
-def voi_trips(bronze: DataFrame, strict: bool = True) -> DataFrame:
+def voi_trips(bronze: Bronze, strict: bool = True) -> DataFrame:
     """Voi trips; a trip of an unregistered device has no vehicle, one of a twice registered device comes twice."""
     joined = with_registry(feeds.mds_trips(bronze, "VOI", strict), voi_vehicles(bronze))
     return _trip_view(joined, F.col("reg_vehicle_id"), F.col("reg_vehicle_type"))
 
 
-def dott_trips(bronze: DataFrame, strict: bool = True) -> DataFrame:
+def dott_trips(bronze: Bronze, strict: bool = True) -> DataFrame:
     """Dott trips against one registry row per device."""
     joined = with_registry(feeds.mds_trips(bronze, "DOTT", strict), squash_registry(dott_vehicles(bronze)))
     return _trip_view(
@@ -62,7 +63,7 @@ def dott_trips(bronze: DataFrame, strict: bool = True) -> DataFrame:
     )
 
 
-def bolt_trips(bronze: DataFrame, strict: bool = True) -> DataFrame:
+def bolt_trips(bronze: Bronze, strict: bool = True) -> DataFrame:
     """Bolt trips; they carry no route."""
     joined = with_registry(feeds.mds_trips(bronze, "BOLT", strict), bolt_vehicles(bronze))
     return joined.select(
@@ -78,7 +79,7 @@ def bolt_trips(bronze: DataFrame, strict: bool = True) -> DataFrame:
     ).distinct()
 
 
-def poppy_trips(bronze: DataFrame, strict: bool = True) -> DataFrame:
+def poppy_trips(bronze: Bronze, strict: bool = True) -> DataFrame:
     """The newest delivered copy of each Poppy trip."""
     newest = latest_per_key(feeds.poppy_trips(bronze, strict), ["trip_id"], "load_ts")
     return newest.select(
@@ -89,11 +90,11 @@ def poppy_trips(bronze: DataFrame, strict: bool = True) -> DataFrame:
     )
 
 
-def voi_events(bronze: DataFrame, strict: bool = True) -> DataFrame:
+def voi_events(bronze: Bronze, strict: bool = True) -> DataFrame:
     return feeds.mds_events(bronze, "VOI", strict).withColumn("provider_name", F.lit("Voi")).distinct()
 
 
-def dott_events(bronze: DataFrame, strict: bool = True) -> DataFrame:
+def dott_events(bronze: Bronze, strict: bool = True) -> DataFrame:
     return (
         feeds.status_changes(bronze, "DOTT", "EVENTS", strict)
         .withColumnRenamed("vehicle_id", "vehicle_short_id")
@@ -102,17 +103,17 @@ def dott_events(bronze: DataFrame, strict: bool = True) -> DataFrame:
     )
 
 
-def bolt_events(bronze: DataFrame, strict: bool = True) -> DataFrame:
+def bolt_events(bronze: Bronze, strict: bool = True) -> DataFrame:
     """Bolt events as delivered, repeated ones included."""
     return feeds.mds_events(bronze, "BOLT", strict)
 
 
-def bolt_status_changes(bronze: DataFrame, strict: bool = True) -> DataFrame:
+def bolt_status_changes(bronze: Bronze, strict: bool = True) -> DataFrame:
     """Bolt status changes as delivered, repeated ones included."""
     return feeds.status_changes(bronze, "BOLT", "STATUS_CHANGES", strict).drop("battery_percent")
 
 
-def voi_vehicles_status(bronze: DataFrame, strict: bool = True) -> DataFrame:
+def voi_vehicles_status(bronze: Bronze, strict: bool = True) -> DataFrame:
     joined = with_registry(feeds.voi_status(bronze, strict), voi_vehicles(bronze))
     return joined.select(
         F.col("reg_vehicle_id").alias("vehicle_short_id"), F.col("reg_vehicle_type").alias("vehicle_type"), "device_id",
@@ -120,7 +121,7 @@ def voi_vehicles_status(bronze: DataFrame, strict: bool = True) -> DataFrame:
     ).distinct()
 
 
-def dott_vehicles_status(bronze: DataFrame, strict: bool = True) -> DataFrame:
+def dott_vehicles_status(bronze: Bronze, strict: bool = True) -> DataFrame:
     joined = with_registry(feeds.dott_status(bronze, strict), dott_vehicles(bronze))
     return joined.select(
         F.coalesce("reg_vehicle_id", "device_id").alias("vehicle_short_id"),
@@ -130,7 +131,7 @@ def dott_vehicles_status(bronze: DataFrame, strict: bool = True) -> DataFrame:
     ).distinct()
 
 
-def poppy_vehicles_status(bronze: DataFrame, strict: bool = True) -> DataFrame:
+def poppy_vehicles_status(bronze: Bronze, strict: bool = True) -> DataFrame:
     joined = with_type_lookup(feeds.poppy_bikes(bronze, strict), poppy_vehicles(bronze))
     return joined.select(
         "device_id", F.col("device_id").alias("vehicle_id"), "vehicle_type", F.lit("Poppy").alias("provider_name"),
@@ -138,12 +139,12 @@ def poppy_vehicles_status(bronze: DataFrame, strict: bool = True) -> DataFrame:
     ).distinct()
 
 
-def dott_telemetry(bronze: DataFrame, strict: bool = True) -> DataFrame:
+def dott_telemetry(bronze: Bronze, strict: bool = True) -> DataFrame:
     """One line per trip that Dott pings name."""
     return line_agg(feeds.dott_pings(bronze, strict), ["trip_id"], into="telemetry_route_geom")
 
 
-def bolt_telemetry(bronze: DataFrame, strict: bool = True) -> DataFrame:
+def bolt_telemetry(bronze: Bronze, strict: bool = True) -> DataFrame:
     """Bolt pings as delivered, repeated ones included."""
     return feeds.bolt_pings(bronze, strict).select(
         "trip_id", "device_id", "lat", "lon", ts_millis(F.col("ping_ms"), strict).alias("reported_at")
@@ -161,7 +162,7 @@ VIEWS: dict[str, Callable[..., DataFrame]] = {
 }
 
 
-def register_views(spark: SparkSession, bronze: DataFrame, strict: bool = True) -> None:
+def register_views(spark: SparkSession, bronze: Bronze, strict: bool = True) -> None:
     """Make every silver view available to SQL; nothing runs until it is queried."""
     for name, view in VIEWS.items():
         view(bronze, strict).createOrReplaceTempView(name)

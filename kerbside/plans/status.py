@@ -12,6 +12,7 @@ from kerbside.operators.timeline import change_intervals, last_reports
 from kerbside.operators.upsert import DAY_LOOKBACK, slice_start
 from kerbside.plans import feeds
 from kerbside.schemas import STATUS_MART, conform
+from kerbside.sources.bronze import Bronze
 
 VEHICLE = ("vehicle_id", "provider_name")
 TIES = (*STATUS_TIES, "vehicle_type")
@@ -21,7 +22,7 @@ REPORT_ROW = {
 }
 
 
-def union_reports(bronze: DataFrame, strict: bool = True) -> DataFrame:
+def union_reports(bronze: Bronze, strict: bool = True) -> DataFrame:
     """Events and snapshots of all providers by device. ``own_type`` is the type to use where no registry names one.
 
     Dott snapshots lose their trip; Poppy trips give two reports each.
@@ -54,7 +55,7 @@ def union_reports(bronze: DataFrame, strict: bool = True) -> DataFrame:
     return whole
 
 
-def status_registry(bronze: DataFrame, squash: bool = False) -> DataFrame:
+def status_registry(bronze: Bronze, squash: bool = False) -> DataFrame:
     """Registries of all providers. Unless squashed, a device registered twice reports as two vehicles."""
     whole = None
     for code, name in (("VOI", "Voi"), ("DOTT", "Dott"), ("BOLT", "Bolt")):
@@ -108,7 +109,7 @@ def assemble_status(reports: DataFrame, target: DataFrame | None = None, lookbac
     )
 
 
-def vehicles_status(bronze: DataFrame, target: DataFrame | None = None, lookback: str = DAY_LOOKBACK,
+def vehicles_status(bronze: Bronze, target: DataFrame | None = None, lookback: str = DAY_LOOKBACK,
                     squash: bool = False, strict: bool = True) -> DataFrame:
     """The status mart, or its next batch, from bronze pages."""
     reports = name_vehicles(union_reports(bronze, strict), status_registry(bronze, squash))

@@ -12,6 +12,7 @@ from kerbside.operators.latest import latest_per_key
 from kerbside.operators.routes import attach_routes, trip_lines
 from kerbside.plans import feeds
 from kerbside.schemas import TRIPS_MART, conform, typed_null
+from kerbside.sources.bronze import Bronze
 
 TRIP_ROW = {
     "trip_id": "string", "device_id": "string", "vehicle_id": "string", "vehicle_type": "string",
@@ -92,7 +93,7 @@ def assemble_trips(trips: DataFrame, pings: DataFrame, registry: DataFrame, seed
     return to_mart(patched)
 
 
-def all_trips(bronze: DataFrame, seeds: DataFrame | None = None, strict: bool = True) -> DataFrame:
+def all_trips(bronze: Bronze, seeds: DataFrame | None = None, strict: bool = True) -> DataFrame:
     """The trips mart from bronze pages. ``seeds``: see ``patch_lost_vehicles``."""
     newest_poppy = latest_per_key(feeds.poppy_trips(bronze, strict), ["trip_id"], "load_ts")
     trips = union_trips(*[feeds.mds_trips(bronze, p, strict) for p in ("VOI", "DOTT", "BOLT")], newest_poppy)

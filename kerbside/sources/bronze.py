@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,8 +22,17 @@ def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def scan(bronze: DataFrame, provider: str, endpoint: str) -> DataFrame:
-    """Pages of one raw table; on the stored table this prunes to its partitions."""
+Bronze = DataFrame | Mapping[str, DataFrame]
+
+
+def scan(bronze: Bronze, provider: str, endpoint: str) -> DataFrame:
+    """Pages of one raw table.
+
+    ``bronze`` is the stored table, which is pruned to the partitions of the raw table, or a mapping
+    from raw table names such as ``VOI_TRIPS`` to their pages.
+    """
+    if isinstance(bronze, Mapping):
+        return bronze[f"{provider}_{endpoint}"]
     return bronze.where((F.col("provider") == provider) & (F.col("endpoint") == endpoint))
 
 

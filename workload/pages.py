@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
 from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -259,6 +258,23 @@ FEEDS = {
 }
 
 
-def bronze(spark: SparkSession, sf_dir: str, tables: Iterable[str] = tuple(FEEDS)) -> DataFrame:
-    """The pages of the named raw tables, of all by default."""
-    return reduce(DataFrame.unionByName, [FEEDS[name](spark, sf_dir) for name in tables])
+class RawTables(dict):
+    """Raw table names to their pages, built when first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__()
+        self._source = (spark, sf_dir)
+
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = FEEDS[name](*self._source)
+        return self[name]
+
+
+def bronze(spark: SparkSession, sf_dir: str) -> RawTables:
+    """The pages of all providers by raw table."""
+    return RawTables(spark, sf_dir)
+
+
+def bronze_table(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
+    """The pages of the named raw tables as one bronze frame."""
+    return reduce(DataFrame.unionByName, [FEEDS[name](spark, sf_dir) for name in names])

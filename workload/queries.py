@@ -74,6 +74,23 @@ def points(df: DataFrame, line: str, *keys: str) -> DataFrame:
     )
 
 
+def _shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared one the cluster names; a temporary one in local mode only."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is not None:
+        return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if not spark.conf.get("spark.master", "").startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{tempfile.mkdtemp(prefix=name)}/{name}"
+
+
+def _written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a stored table, the way a mart is met by its next run."""
+    path = _shared_folder(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def _typed_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frames.reports(spark, sf_dir).withColumn("vehicle_type", F.lit("scooter"))
 
@@ -92,7 +109,7 @@ def status_incremental(spark, sf_dir):
     """A stored mart, then its next slice, upserted. Maintenance reports come late; the old ones never arrive."""
     reports = _typed_reports(spark, sf_dir)
     on_time = reports.where((F.col("reported_at") < STORED_BEFORE) & (F.col("event_type") != "maintenance_pick_up"))
-    stored = status.assemble_status(on_time)
+    stored = _written(spark, status.assemble_status(on_time), "stored")
     return upsert(stored, status.assemble_status(reports, stored), "UID")
 
 
@@ -279,9 +296,9 @@ def route_geojson(spark, sf_dir):
 # Pages and silver views
 
 
-def _view(name: str, tables: str, *columns: str) -> Query:
+def _view(name: str, *columns: str) -> Query:
     def build(spark, sf_dir):
-        return silver.VIEWS[f"stg_{name}"](pages.bronze(spark, sf_dir, tables.split())).selectExpr(*columns)
+        return silver.VIEWS[f"stg_{name}"](pages.bronze(spark, sf_dir)).selectExpr(*columns)
 
     build.__name__, build.__doc__ = f"silver_{name}", f"The view stg_{name} over JSON pages."
     return query(build)
@@ -293,29 +310,29 @@ TRIP = ("trip_id", "vehicle_short_id", "vehicle_type", "provider_name", "start_t
         "coalesce(size(route_geom), 0) AS n_points")
 REPORT = ("device_id", "event_type", "vehicle_state", "trip_id", "lat", "lon", "reported_at")
 
-_view("voi_vehicles", "VOI_VEHICLES", *REGISTRY)
-_view("dott_vehicles", "DOTT_VEHICLES", *REGISTRY)
-_view("bolt_vehicles", "BOLT_VEHICLES", *REGISTRY)
-_view("poppy_vehicles", "POPPY_VEHICLE_TYPES", "vehicle_type_id", "vehicle_type")
-_view("voi_trips", "VOI_TRIPS VOI_VEHICLES", *TRIP)
-_view("dott_trips", "DOTT_TRIPS DOTT_VEHICLES", *TRIP)
-_view("bolt_trips", "BOLT_TRIPS BOLT_VEHICLES", "trip_id", "vehicle_short_id", "vehicle_type", "provider_name", "started_at", "ended_at", "duration",
+_view("voi_vehicles", *REGISTRY)
+_view("dott_vehicles", *REGISTRY)
+_view("bolt_vehicles", *REGISTRY)
+_view("poppy_vehicles", "vehicle_type_id", "vehicle_type")
+_view("voi_trips", *TRIP)
+_view("dott_trips", *TRIP)
+_view("bolt_trips", "trip_id", "vehicle_short_id", "vehicle_type", "provider_name", "started_at", "ended_at", "duration",
       "distance", "start_lat", "start_lon", "end_lat", "end_lon")
-_view("poppy_trips", "POPPY_TRIPS", *TRIP, "load_ts")
-_view("voi_events", "VOI_EVENTS", *REPORT, "provider_name")
-_view("dott_events", "DOTT_EVENTS", *REPORT, "vehicle_short_id", "vehicle_type", "battery_percent", "provider_name")
-_view("bolt_events", "BOLT_EVENTS", *REPORT)
-_view("bolt_status_changes", "BOLT_STATUS_CHANGES", *REPORT, "vehicle_id", "vehicle_type")
-_view("voi_vehicles_status", "VOI_VEHICLES_STATUS VOI_VEHICLES", *REPORT, "vehicle_short_id", "vehicle_type")
-_view("dott_vehicles_status", "DOTT_VEHICLES_STATUS DOTT_VEHICLES", *REPORT, "vehicle_short_id", "vehicle_type", "provider_name")
-_view("poppy_vehicles_status", "POPPY_FREE_BIKE_STATUS POPPY_VEHICLE_TYPES", *REPORT, "vehicle_id", "vehicle_type", "provider_name")
-_view("bolt_telemetry", "BOLT_TELEMETRY", "trip_id", "device_id", "lat", "lon", "reported_at")
+_view("poppy_trips", *TRIP, "load_ts")
+_view("voi_events", *REPORT, "provider_name")
+_view("dott_events", *REPORT, "vehicle_short_id", "vehicle_type", "battery_percent", "provider_name")
+_view("bolt_events", *REPORT)
+_view("bolt_status_changes", *REPORT, "vehicle_id", "vehicle_type")
+_view("voi_vehicles_status", *REPORT, "vehicle_short_id", "vehicle_type")
+_view("dott_vehicles_status", *REPORT, "vehicle_short_id", "vehicle_type", "provider_name")
+_view("poppy_vehicles_status", *REPORT, "vehicle_id", "vehicle_type", "provider_name")
+_view("bolt_telemetry", "trip_id", "device_id", "lat", "lon", "reported_at")
 
 
 @query
 def silver_dott_telemetry(spark, sf_dir):
     """The view stg_dott_telemetry over JSON pages, as numbered points."""
-    return points(silver.dott_telemetry(pages.bronze(spark, sf_dir, ["DOTT_TELEMETRY"])), "telemetry_route_geom", "trip_id")
+    return points(silver.dott_telemetry(pages.bronze(spark, sf_dir)), "telemetry_route_geom", "trip_id")
 
 
 @query
@@ -523,16 +540,6 @@ def dq_checks(spark, sf_dir):
     )
 
 
-def _shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below the shared one the cluster names; a temporary one in local mode only."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is not None:
-        return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return f"{tempfile.mkdtemp(prefix=name)}/{name}"
-
-
 @query
 def csv_dump_import(spark, sf_dir):
     """Orders dumped to CSV, imported twice into a table that later gains a column."""
