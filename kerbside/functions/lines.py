@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from kerbside.functions.pages import once
+
 SRID = 4326
 POINT_TYPE = "struct<lon:double,lat:double>"
 LINE_TYPE = f"array<{POINT_TYPE}>"
@@ -27,11 +29,6 @@ def stitch(start: Column, line: Column, end: Column) -> Column:
     return F.when(whole, F.concat(F.array(start), line, F.array(end)))
 
 
-def _once(value: Column, use) -> Column:
-    """``use(value)`` with ``value`` evaluated a single time however often ``use`` mentions it."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def from_geojson(text: Column) -> Column:
     """Line of a GeoJSON LineString; any other geometry or a broken position gives NULL."""
 
@@ -43,10 +40,10 @@ def from_geojson(text: Column) -> Column:
         vertices = F.transform(shape["coordinates"], vertex)
         return F.when(
             shape["type"] == "LineString",
-            _once(vertices, lambda v: F.when(F.forall(v, lambda p: p.isNotNull()), v)),
+            once(vertices, lambda v: F.when(F.forall(v, lambda p: p.isNotNull()), v)),
         )
 
-    return _once(F.from_json(text, "struct<type:string,coordinates:array<array<double>>>"), line)
+    return once(F.from_json(text, "struct<type:string,coordinates:array<array<double>>>"), line)
 
 
 def drop_repeats(line: Column) -> Column:
@@ -55,9 +52,9 @@ def drop_repeats(line: Column) -> Column:
     def reduced(whole: Column) -> Column:
         kept = F.filter(whole, lambda p, i: (i == 0) | (p != F.get(whole, i - 1)))
         flat = F.slice(whole, 1, 2)  # all points equal: any two of them
-        return _once(kept, lambda k: F.when((F.size(k) < 2) & (F.size(whole) >= 2), flat).otherwise(k))
+        return once(kept, lambda k: F.when((F.size(k) < 2) & (F.size(whole) >= 2), flat).otherwise(k))
 
-    return _once(line, reduced)
+    return once(line, reduced)
 
 
 def line_start(line: Column) -> Column:

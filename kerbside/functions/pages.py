@@ -7,7 +7,7 @@ then spoils only itself, never its page.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,15 +33,40 @@ def page_schema(paths: Iterable[str], root: Iterable[str] = ()) -> str:
     return ddl(tree)
 
 
-def _with_items(pages: DataFrame, paths: Sequence[str], keep: Sequence[str], root: Sequence[str]) -> DataFrame:
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated a single time however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _on_items(paths: Sequence[str], root: Sequence[str], use: Callable[[Column, Column], Column]) -> Column:
+    """``use(items, page)`` on a page that is parsed once."""
     if list(paths) == [DOCUMENT]:
-        return pages.select(*keep, F.from_json("content", "array<string>").alias("items"))
-    parsed = pages.select(*keep, F.from_json("content", page_schema(paths, root)).alias("page"))
-    return parsed.select(
-        *keep,
-        *[F.col(f"page.{name}").alias(name) for name in root],
-        F.coalesce(*[F.col(f"page.{path}") for path in paths]).alias("items"),
+        return once(F.from_json("content", "array<string>"), lambda items: use(items, items))
+
+    def found(page: Column, path: str) -> Column:
+        for name in path.split("."):
+            page = page[name]
+        return page
+
+    return once(
+        F.from_json("content", page_schema(paths, root)),
+        lambda page: use(F.coalesce(*[found(page, path) for path in paths]), page),
+    )
+
+
+def _explode(pages: DataFrame, paths: Sequence[str], keep: Sequence[str], root: Sequence[str],
+             element: Callable[[Column], Column]) -> DataFrame:
+    # Page and elements are parsed inside the exploded expression. As columns of their own they would be
+    # parsed again by every filter that is pushed below them.
+    rows = _on_items(
+        paths,
+        root,
+        lambda items, page: F.transform(
+            items, lambda text: F.struct(element(text).alias("item"), *[page[name].alias(name) for name in root])
+        ),
     )
+    exploded = pages.select(*keep, F.explode(rows).alias("row"))
+    return exploded.select(*keep, *[f"row.{name}" for name in root], "row.item").where(F.col("item").isNotNull())
 
 
 def explode_items(
@@ -52,22 +77,20 @@ def explode_items(
     ``keep`` are page columns carried along, ``root`` are page-level text fields. Pages without an
     array, or with an empty one, give no row; JSON ``null`` elements are dropped.
     """
-    found = _with_items(pages, paths, keep, root)
-    return found.select(*keep, *root, F.explode("items").alias("item")).where(F.col("item").isNotNull())
+    return _explode(pages, paths, keep, root, lambda text: text)
 
 
 def parse_items(
     pages: DataFrame, paths: Sequence[str], schema: str, keep: Sequence[str] = (), root: Sequence[str] = ()
 ) -> DataFrame:
     """``explode_items`` with each element parsed into a struct column named ``item``."""
-    exploded = explode_items(pages, paths, keep, root)
-    return exploded.select(*keep, *root, F.from_json("item", schema).alias("item"))
+    return _explode(pages, paths, keep, root, lambda text: F.from_json(text, schema))
 
 
 def unreadable_pages(pages: DataFrame, paths: Sequence[str], keep: Sequence[str] = ("filename",)) -> DataFrame:
     """Pages that carry text but no item array under any path: the quarantine report."""
-    filled = pages.where(F.col("content").isNotNull())
-    return _with_items(filled, paths, keep, ()).where(F.col("items").isNull()).select(*keep)
+    missing = _on_items(paths, (), lambda items, page: items.isNull())
+    return pages.where(F.col("content").isNotNull() & missing).select(*keep)
 
 
 def first_item(items: Column) -> Column:
