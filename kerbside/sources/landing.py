@@ -89,7 +89,7 @@ def to_envelope(files: DataFrame, now: Column | None = None) -> DataFrame:
 
 def read_pages(spark: SparkSession, path: str, now: Column | None = None) -> DataFrame:
     """Bronze rows of all page files under ``path``, with the full ``path`` as a unique page key."""
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
     named = files.select(
         F.col("value").alias("content"),
         F.col("_metadata.file_name").alias("filename"),

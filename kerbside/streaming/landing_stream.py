@@ -22,9 +22,7 @@ def take_up(spark: SparkSession, landing: str, bronze: str, checkpoint: str) ->
     """Start a stream that drains ``landing`` once and stops."""
     files = (
         spark.readStream.schema(FILE_SCHEMA)
-        .option("wholetext", True)
-        .option("recursiveFileLookup", True)
-        .text(landing)
+        .text(landing, wholetext=True, recursiveFileLookup=True)
         .select(
             F.col("value").alias("content"),
             F.col("_metadata.file_name").alias("filename"),
