@@ -41,7 +41,8 @@ def keep_if_changed(new: DataFrame, stored: DataFrame | None = None, order: Sequ
 
     The page before the first new one is the page stored last. The sequence A, B, A keeps all three. A
     missing hash equals nothing. ``new`` must come after ``stored`` and needs ``md5_hash`` and a
-    ``page_key`` that is unique.
+    ``page_key`` that is unique. The first ``order`` column is a timestamp that spreads the pages over
+    time: for pages landed all at once use the time in their names, not the load time.
     """
     slim_columns = list(dict.fromkeys([*page_key, *TABLE, *order, "md5_hash"]))
     slim = new.select(*slim_columns, F.lit(True).alias("_new"))

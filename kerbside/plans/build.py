@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from kerbside.operators.quality import SEED_CHECKS, STATUS_CHECKS, TRIPS_CHECKS, require
 from kerbside.operators.upsert import DAY_LOOKBACK, key_bucket, key_date, publish, read_mart
 from kerbside.plans.silver import register_views
-from kerbside.plans.status import vehicles_status
+from kerbside.plans.status import page_reports, vehicles_status
 from kerbside.plans.trips import all_trips
 from kerbside.sources.bronze import Bronze, read_bronze
 
@@ -25,10 +25,33 @@ def build_trips(spark: SparkSession, bronze: Bronze, mart: str, staging: str, se
     publish(spark, batch, mart, staging, "TRIP_ID", "trip_bucket", key_bucket(F.col("TRIP_ID"), buckets), TRIPS_CHECKS)
 
 
+def refresh_reports(spark: SparkSession, bronze: DataFrame, store: str, strict: bool = True) -> DataFrame:
+    """Parse the pages loaded since the newest stored load date into ``store`` and return all of it.
+
+    Every event and snapshot page is parsed once in its life instead of at every run. The newest date is
+    parsed again, because pages may still have been added to it.
+    """
+    stored = read_mart(spark, store)
+    newest = None if stored is None else stored.agg(F.max("load_date")).first()[0]
+    fresh = bronze if newest is None else bronze.where(F.col("load_date") >= F.lit(newest))
+    (
+        page_reports(fresh, strict, keep=("load_date",))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("load_date")
+        .parquet(store)
+    )
+    return spark.read.parquet(store)
+
+
 def build_status(spark: SparkSession, bronze: Bronze, mart: str, staging: str, lookback: str = DAY_LOOKBACK,
-                 squash: bool = False, strict: bool = True) -> None:
-    """Add the newest status slice by UID. Stored intervals before the slice keep their end."""
-    batch = vehicles_status(bronze, read_mart(spark, mart), lookback, squash, strict)
+                 squash: bool = False, strict: bool = True, reports: str | None = None) -> None:
+    """Add the newest status slice by UID. Stored intervals before the slice keep their end.
+
+    ``reports`` is the folder that keeps parsed pages between runs; ``bronze`` must be the stored table then.
+    """
+    parsed = None if reports is None else refresh_reports(spark, bronze, reports, strict)
+    batch = vehicles_status(bronze, read_mart(spark, mart), lookback, squash, strict, parsed)
     publish(spark, batch, mart, staging, "UID", "valid_date", key_date(F.col("VALID_FROM_TS")), STATUS_CHECKS)
 
 
@@ -38,6 +61,8 @@ def build_all(spark: SparkSession, bronze_path: str, gold_path: str, staging: st
     bronze = read_bronze(spark, bronze_path)
     register_views(spark, bronze, strict)
     build_trips(spark, bronze, f"{gold_path}/fct_all_trips", f"{staging}/trips", seeds, strict)
-    build_status(spark, bronze, f"{gold_path}/fct_vehicles_status", f"{staging}/status", strict=strict)
+    build_status(
+        spark, bronze, f"{gold_path}/fct_vehicles_status", f"{staging}/status", strict=strict, reports=f"{gold_path}/parsed_reports"
+    )
     for name in ("fct_all_trips", "fct_vehicles_status"):
         read_mart(spark, f"{gold_path}/{name}").createOrReplaceTempView(name)

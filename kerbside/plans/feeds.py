@@ -1,7 +1,7 @@
 """Page items of every provider as typed rows, before any enrichment or duplicate removal.
 
 Both layers are built on these feeds: the silver views add registry columns and DISTINCT, the marts
-add their own reduction instead and so save the views' shuffles.
+add their own reduction instead and so save the views' shuffles. ``keep`` names page columns to carry along.
 """
 
 from __future__ import annotations
@@ -88,9 +88,10 @@ def poppy_trips(bronze: Bronze, strict: bool = True) -> DataFrame:
     )
 
 
-def mds_events(bronze: Bronze, provider: str, strict: bool = True) -> DataFrame:
+def mds_events(bronze: Bronze, provider: str, strict: bool = True, keep=()) -> DataFrame:
     """Events of Voi or Bolt."""
-    return items(bronze, provider, "EVENTS", S.EVENT).select(
+    return items(bronze, provider, "EVENTS", S.EVENT, keep).select(
+        *keep,
         _get("device_id").alias("device_id"),
         first_item(_get("event_types")).alias("event_type"),
         _get("vehicle_state").alias("vehicle_state"),
@@ -101,10 +102,11 @@ def mds_events(bronze: Bronze, provider: str, strict: bool = True) -> DataFrame:
     )
 
 
-def status_changes(bronze: Bronze, provider: str, endpoint: str, strict: bool = True) -> DataFrame:
+def status_changes(bronze: Bronze, provider: str, endpoint: str, strict: bool = True, keep=()) -> DataFrame:
     """Status changes in the older format: Dott events and Bolt status changes."""
     place = _get("event_location.geometry.coordinates")
-    return items(bronze, provider, endpoint, S.STATUS_CHANGE).select(
+    return items(bronze, provider, endpoint, S.STATUS_CHANGE, keep).select(
+        *keep,
         _get("device_id").alias("device_id"),
         _get("vehicle_id").alias("vehicle_id"),
         _get("vehicle_type").alias("vehicle_type"),
@@ -118,8 +120,9 @@ def status_changes(bronze: Bronze, provider: str, endpoint: str, strict: bool =
     )
 
 
-def voi_status(bronze: Bronze, strict: bool = True) -> DataFrame:
-    return items(bronze, "VOI", "VEHICLES_STATUS", S.VOI_STATUS).select(
+def voi_status(bronze: Bronze, strict: bool = True, keep=()) -> DataFrame:
+    return items(bronze, "VOI", "VEHICLES_STATUS", S.VOI_STATUS, keep).select(
+        *keep,
         _get("device_id").alias("device_id"),
         _get("last_event.vehicle_state").alias("vehicle_state"),
         first_item(_get("last_event.event_types")).alias("event_type"),
@@ -130,7 +133,7 @@ def voi_status(bronze: Bronze, strict: bool = True) -> DataFrame:
     )
 
 
-def dott_status(bronze: Bronze, strict: bool = True) -> DataFrame:
+def dott_status(bronze: Bronze, strict: bool = True, keep=()) -> DataFrame:
     """Dott snapshots in either format; the newer keys win where both are there."""
     old_place = _get("current_location.geometry.coordinates")
 
@@ -146,7 +149,8 @@ def dott_status(bronze: Bronze, strict: bool = True) -> DataFrame:
         ts_millis(_get("last_event_time"), strict),
         ts_millis(F.col("last_updated"), strict),
     )
-    return items(bronze, "DOTT", "VEHICLES_STATUS", S.DOTT_STATUS, root=("last_updated",)).select(
+    return items(bronze, "DOTT", "VEHICLES_STATUS", S.DOTT_STATUS, keep, ("last_updated",)).select(
+        *keep,
         _get("device_id").alias("device_id"),
         _get("vehicle_type").alias("vehicle_type"),
         F.coalesce(_get("last_event.vehicle_state"), _get("last_vehicle_state")).alias("vehicle_state"),
@@ -196,14 +200,15 @@ def poppy_types(bronze: Bronze) -> DataFrame:
     )
 
 
-def poppy_bikes(bronze: Bronze, strict: bool = True) -> DataFrame:
+def poppy_bikes(bronze: Bronze, strict: bool = True, keep=()) -> DataFrame:
     """Poppy snapshots; the time is that of the element, else of the page, else of the file."""
     seen = F.coalesce(
         ts_seconds(_get("last_reported"), strict), ts_seconds(F.col("last_updated"), strict), F.col("file_ts")
     )
     return items(
-        bronze, "POPPY", "FREE_BIKE_STATUS", S.POPPY_BIKE, keep=("file_ts",), root=("last_updated",)
+        bronze, "POPPY", "FREE_BIKE_STATUS", S.POPPY_BIKE, keep=("file_ts", *keep), root=("last_updated",)
     ).select(
+        *keep,
         _get("bike_id").alias("device_id"),
         _get("vehicle_type_id").alias("vehicle_type_id"),
         F.lit("available").alias("vehicle_state"),

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.functions.labels import plain_scooter, status_uid
@@ -11,7 +14,7 @@ from kerbside.operators.latest import STATUS_TIES, best_report, latest_per_key
 from kerbside.operators.timeline import change_intervals, last_reports
 from kerbside.operators.upsert import DAY_LOOKBACK, slice_start
 from kerbside.plans import feeds
-from kerbside.schemas import STATUS_MART, conform
+from kerbside.schemas import STATUS_MART, conform, typed_null
 from kerbside.sources.bronze import Bronze
 
 VEHICLE = ("vehicle_id", "provider_name")
@@ -19,40 +22,53 @@ TIES = (*STATUS_TIES, "vehicle_type")
 REPORT_ROW = {
     "provider_name": "string", "device_id": "string", "own_type": "string", "vehicle_state": "string",
     "event_type": "string", "lat": "double", "lon": "double", "trip_id": "string", "reported_at": "timestamp",
+    "vehicle_type_id": "string",
 }
 
 
-def union_reports(bronze: Bronze, strict: bool = True) -> DataFrame:
+def _side(name: str, df: DataFrame, own_type: Column, keep: Sequence[str] = ()) -> DataFrame:
+    typed = df.withColumns({"provider_name": F.lit(name), "own_type": own_type})
+    return conform(typed, {**REPORT_ROW, **{column: dict(df.dtypes)[column] for column in keep}})
+
+
+def page_reports(bronze: Bronze, strict: bool = True, keep: Sequence[str] = ()) -> DataFrame:
     """Events and snapshots of all providers by device. ``own_type`` is the type to use where no registry names one.
 
-    Dott snapshots lose their trip; Poppy trips give two reports each.
+    Each row depends on its page alone, so the result may be stored page by page. Dott snapshots lose
+    their trip.
     """
 
-    def side(name: str, df: DataFrame, own_type) -> DataFrame:
-        return conform(df.withColumns({"provider_name": F.lit(name), "own_type": own_type}), REPORT_ROW)
-
-    def typed(default: str):
+    def typed(default: str) -> Column:
         return F.coalesce("vehicle_type", F.lit(default))
 
-    snapshots = feeds.poppy_bikes(bronze, strict).join(
-        feeds.poppy_types(bronze).distinct(), "vehicle_type_id", "left"
-    )
-    trips = latest_per_key(feeds.poppy_trips(bronze, strict), ["trip_id"], "load_ts")
-    trip_ends = unpivot_trips(trips).withColumnRenamed("vehicle_id", "device_id")
+    bikes = feeds.poppy_bikes(bronze, strict, keep)
     parts = [
-        side("Voi", feeds.mds_events(bronze, "VOI", strict), F.lit("bicycle")),
-        side("Voi", feeds.voi_status(bronze, strict), F.lit("bicycle")),
-        side("Dott", feeds.status_changes(bronze, "DOTT", "EVENTS", strict), typed("bicycle")),
-        side("Dott", feeds.dott_status(bronze, strict).drop("trip_id"), typed("scooter")),
-        side("Bolt", feeds.mds_events(bronze, "BOLT", strict), F.lit("scooter")),
-        side("Bolt", feeds.status_changes(bronze, "BOLT", "STATUS_CHANGES", strict), typed("scooter")),
-        side("Poppy", snapshots, typed("car")),
-        side("Poppy", trip_ends, F.col("vehicle_type")),
+        _side("Voi", feeds.mds_events(bronze, "VOI", strict, keep), F.lit("bicycle"), keep),
+        _side("Voi", feeds.voi_status(bronze, strict, keep), F.lit("bicycle"), keep),
+        _side("Dott", feeds.status_changes(bronze, "DOTT", "EVENTS", strict, keep), typed("bicycle"), keep),
+        _side("Dott", feeds.dott_status(bronze, strict, keep).drop("trip_id"), typed("scooter"), keep),
+        _side("Bolt", feeds.mds_events(bronze, "BOLT", strict, keep), F.lit("scooter"), keep),
+        _side("Bolt", feeds.status_changes(bronze, "BOLT", "STATUS_CHANGES", strict, keep), typed("scooter"), keep),
+        _side("Poppy", bikes, typed_null(), keep),
     ]
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return whole
+    return reduce(DataFrame.unionByName, parts)
+
+
+def complete_reports(reports: DataFrame, bronze: Bronze, strict: bool = True) -> DataFrame:
+    """Page reports with what other pages decide: Poppy's vehicle types, and two reports per newest Poppy trip."""
+    is_poppy = F.col("provider_name") == "Poppy"
+    types = feeds.poppy_types(bronze).distinct().select("vehicle_type_id", F.col("vehicle_type").alias("_form"))
+    # Only Poppy has type ids: the reports of the others would all meet at one NULL key.
+    bikes = reports.where(is_poppy).join(types, "vehicle_type_id", "left").withColumn("own_type", F.coalesce("_form", F.lit("car")))
+    trips = latest_per_key(feeds.poppy_trips(bronze, strict), ["trip_id"], "load_ts")
+    ends = unpivot_trips(trips).withColumnRenamed("vehicle_id", "device_id")
+    parts = [conform(reports.where(~is_poppy), REPORT_ROW), conform(bikes, REPORT_ROW), _side("Poppy", ends, F.col("vehicle_type"))]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def union_reports(bronze: Bronze, strict: bool = True) -> DataFrame:
+    """All reports of all providers by device, straight from the pages."""
+    return complete_reports(page_reports(bronze, strict), bronze, strict)
 
 
 def status_registry(bronze: Bronze, squash: bool = False) -> DataFrame:
@@ -65,8 +81,8 @@ def status_registry(bronze: Bronze, squash: bool = False) -> DataFrame:
 
 
 def name_vehicles(reports: DataFrame, registry: DataFrame) -> DataFrame:
-    """Vehicle id and type of each report; reports without any vehicle are dropped."""
-    joined = with_registry(reports, registry, ["provider_name", "device_id"])
+    """Vehicle id and type of each report; reports without any vehicle are dropped, those without a device at once."""
+    joined = with_registry(reports.where(F.col("device_id").isNotNull()), registry, ["provider_name", "device_id"])
     kind = F.coalesce("reg_vehicle_type", "own_type")
     return joined.select(
         F.coalesce("reg_vehicle_id", "device_id").alias("vehicle_id"),
@@ -110,7 +126,10 @@ def assemble_status(reports: DataFrame, target: DataFrame | None = None, lookbac
 
 
 def vehicles_status(bronze: Bronze, target: DataFrame | None = None, lookback: str = DAY_LOOKBACK,
-                    squash: bool = False, strict: bool = True) -> DataFrame:
-    """The status mart, or its next batch, from bronze pages."""
-    reports = name_vehicles(union_reports(bronze, strict), status_registry(bronze, squash))
-    return assemble_status(reports, target, lookback)
+                    squash: bool = False, strict: bool = True, parsed: DataFrame | None = None) -> DataFrame:
+    """The status mart, or its next batch, from bronze pages.
+
+    ``parsed`` are stored ``page_reports``: with them no event or snapshot page is parsed again.
+    """
+    reports = union_reports(bronze, strict) if parsed is None else complete_reports(parsed, bronze, strict)
+    return assemble_status(name_vehicles(reports, status_registry(bronze, squash)), target, lookback)

@@ -11,7 +11,7 @@ from kerbside.operators.enrich import one_registry_row, patch_lost_vehicles, squ
 from kerbside.operators.latest import latest_per_key
 from kerbside.operators.routes import attach_routes, trip_lines
 from kerbside.plans import feeds
-from kerbside.schemas import TRIPS_MART, conform, typed_null
+from kerbside.schemas import TRIPS_MART, conform
 from kerbside.sources.bronze import Bronze
 
 TRIP_ROW = {
@@ -95,7 +95,8 @@ def assemble_trips(trips: DataFrame, pings: DataFrame, registry: DataFrame, seed
 
 def all_trips(bronze: Bronze, seeds: DataFrame | None = None, strict: bool = True) -> DataFrame:
     """The trips mart from bronze pages. ``seeds``: see ``patch_lost_vehicles``."""
-    newest_poppy = latest_per_key(feeds.poppy_trips(bronze, strict), ["trip_id"], "load_ts")
+    # Poppy has no registry; its vehicle id stands in for the device so that its trips spread in the registry join.
+    newest_poppy = latest_per_key(feeds.poppy_trips(bronze, strict), ["trip_id"], "load_ts").withColumn("device_id", F.col("vehicle_id"))
     trips = union_trips(*[feeds.mds_trips(bronze, p, strict) for p in ("VOI", "DOTT", "BOLT")], newest_poppy)
     pings = (
         feeds.dott_pings(bronze, strict).withColumn("provider_name", F.lit("Dott"))
@@ -104,5 +105,3 @@ def all_trips(bronze: Bronze, seeds: DataFrame | None = None, strict: bool = Tru
     registry = trip_registry(*[feeds.registry(bronze, p) for p in ("VOI", "DOTT", "BOLT")])
     return assemble_trips(trips, pings, registry, seeds)
 
-
-__all__ = ["all_trips", "assemble_trips", "name_vehicles", "to_mart", "trip_registry", "typed_null", "union_trips"]

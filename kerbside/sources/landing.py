@@ -113,13 +113,13 @@ def merged_items(pages: DataFrame, path: str = "telemetry") -> DataFrame:
 def write_hours(items: DataFrame, path: str) -> None:
     """Write merged items as JSON lines, one folder per hour.
 
-    Rows are laid out by ranges of (hour, page, position): a task writes few folders, and an hour that
-    holds most of the rows is still written by many tasks.
+    Rows of an hour are brought together, so a task writes few folders; an hour that holds most of the
+    rows is split among tasks.
     """
     hour = F.date_format("hour", HOUR_FORMAT)
     (
         items.select(hour.alias("hour"), "provider", "endpoint", "page_no", "pos", "item")
-        .repartitionByRange("hour", "page_no", "pos")
+        .hint("rebalance", "hour")
         .write.mode("append")
         .partitionBy("hour")
         .json(path)

@@ -11,7 +11,7 @@ from kerbside.operators.quality import QualityError
 from kerbside.operators.upsert import read_mart
 from kerbside.plans import build, silver, status, trips
 from kerbside.schemas import SEED, STATUS_MART, TRIPS_MART
-from kerbside.sources.bronze import append_pages
+from kerbside.sources.bronze import append_pages, read_bronze
 from workload import frames, pages
 
 HOUR = 3_600_000
@@ -217,7 +217,7 @@ def test_trips_build_upserts_and_stops_on_faults(spark, page, tmp_path):
 
 
 def test_whole_build_from_stored_bronze(spark, page, tmp_path):
-    bronze = str(tmp_path / "bronze")
+    bronze, gold = str(tmp_path / "bronze"), str(tmp_path / "gold")
     append_pages(
         page(
             ("DOTT", "TRIPS", body(trips=[trip("t1", "a")])), ("DOTT", "EVENTS", body(data={"status_changes": []})),
@@ -225,7 +225,23 @@ def test_whole_build_from_stored_bronze(spark, page, tmp_path):
         ),
         bronze,
     )
-    build.build_all(spark, bronze, str(tmp_path / "gold"), str(tmp_path / "stage"))
+    build.build_all(spark, bronze, gold, str(tmp_path / "stage1"))
     assert spark.sql("SELECT TRIP_ID FROM fct_all_trips").first()[0] == "t1"
-    assert spark.sql("SELECT PROVIDER_NAME FROM fct_vehicles_status").first()[0] == "Bolt"
     assert spark.sql("SELECT count(*) FROM stg_dott_trips").first()[0] == 1
+    append_pages(
+        page(
+            ("BOLT", "EVENTS", body(events=[event("v", T1 + HOUR, "on_trip", "trip_start")]), "2024-01-01 05:00:00"),
+            ("BOLT", "EVENTS", body(events=[event("v", T1 + 2 * HOUR, "available", "trip_end")]), "2024-01-02 00:00:00"),
+            ("POPPY", "FREE_BIKE_STATUS", body(data={"bikes": [{"bike_id": "p", "vehicle_type_id": "x", "last_reported": T1 // 1000}]}), "2024-01-02 00:00:00"),
+        ),
+        bronze,
+    )
+    build.build_all(spark, bronze, gold, str(tmp_path / "stage2"))
+    got = rows(spark.table("fct_vehicles_status"), "UID", "VEHICLE_TYPE", "VEHICLE_STATE")
+    assert got == [
+        ("p_20240415_100000000", "car", "available"), ("v_20240415_100000123", "scooter", "available"),
+        ("v_20240415_110000123", "scooter", "on_trip"), ("v_20240415_120000123", "scooter", "available"),
+    ]
+    # Parsed pages that were kept between runs give the same mart as parsing everything again.
+    assert rows(status.vehicles_status(read_bronze(spark, bronze)), "UID", "VEHICLE_TYPE", "VEHICLE_STATE") == got
+    assert spark.read.parquet(f"{gold}/parsed_reports").count() == 4
