@@ -10,7 +10,7 @@ REQUIRED = {
     "spark.sql.ansi.enabled": "true",
 }
 
-# Performance settings; all are runtime settings, so a cluster default can still override them.
+# Performance settings; what the cluster or the application has set stays.
 ADVISED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -22,6 +22,10 @@ ADVISED = {
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the required and advised runtime settings to an existing session."""
-    for key, value in {**REQUIRED, **ADVISED}.items():
+    for key, value in REQUIRED.items():
         spark.conf.set(key, value)
+    chosen = spark.sparkContext.getConf()
+    for key, value in ADVISED.items():
+        if not chosen.contains(key):
+            spark.conf.set(key, value)
     return spark

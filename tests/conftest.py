@@ -19,7 +19,8 @@ def spark():
         .appName("tests")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "2")
+        .config("spark.default.parallelism", "1")
         .config("spark.sql.codegen.wholeStage", os.environ.get("TEST_CODEGEN", "false"))
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
