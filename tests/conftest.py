@@ -18,6 +18,7 @@ def spark():
         SparkSession.builder.master("local[8]")
         .appName("tests")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "2")
         .config("spark.default.parallelism", "1")
