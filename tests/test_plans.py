@@ -42,7 +42,9 @@ def test_timeline_reads_its_shuffle_twice_instead_of_the_source(spark, sf_dir):
 
 def test_scan_is_pruned_to_the_raw_table_and_its_columns(spark, sf_dir, tmp_path):
     append_pages(pages.bronze_table(spark, sf_dir, "VOI_VEHICLES", "DOTT_VEHICLES"), str(tmp_path))
+    spark.conf.set("spark.sql.maxMetadataStringLength", 1000)
     text = plan(silver.voi_vehicles(read_bronze(spark, str(tmp_path))))
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
     pruned = re.search(r"PartitionFilters: \[([^]]*)\]", text).group(1)
     assert re.search(r"provider#\d+ = VOI", pruned) and re.search(r"endpoint#\d+ = VEHICLES", pruned)
     assert "ReadSchema: struct<content:string>" in text

@@ -1,7 +1,7 @@
 """Fleet frames derived from the star-schema tables, row for row the same as ``oracle.FRAMES``.
 
 Events become vehicle reports, orders trips, line items telemetry pings, customers the vehicle registry,
-urgent orders the list of corrected trips and nations the vehicle types.
+urgent orders the list of corrected trips and parts the vehicle types.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
         "'dev-' || user_id AS device_id",
         "'dev-' || user_id AS vehicle_id",
         f"{_provider('user_id')} AS provider_name",
-        "'vt-' || (user_id % 30) AS vehicle_type_id",
+        "'vt-' || (user_id * 20) AS vehicle_type_id",
         """CASE event_type WHEN 'view' THEN 'available' WHEN 'click' THEN 'available' WHEN 'signup' THEN 'reserved'
                 WHEN 'purchase' THEN 'on_trip' ELSE 'non_operational' END AS vehicle_state""",
         """CASE event_type WHEN 'view' THEN 'telemetry' WHEN 'click' THEN 'ping' WHEN 'signup' THEN 'trip_start'
@@ -111,8 +111,8 @@ def seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vehicle types by id; one region has no type."""
-    return table(spark, sf_dir, "nation").selectExpr(
-        "'vt-' || n_nationkey AS vehicle_type_id",
-        "CASE n_regionkey WHEN 0 THEN 'car' WHEN 1 THEN 'van' WHEN 2 THEN 'truck' WHEN 3 THEN 'moped' END AS vehicle_type",
+    """Vehicle types by id, one per part; a fifth has no type and some reports name an id that is missing."""
+    return table(spark, sf_dir, "part").selectExpr(
+        "'vt-' || p_partkey AS vehicle_type_id",
+        "CASE p_size % 5 WHEN 0 THEN 'car' WHEN 1 THEN 'van' WHEN 2 THEN 'truck' WHEN 3 THEN 'moped' END AS vehicle_type",
     )

@@ -12,7 +12,7 @@ def _provider(key: str) -> str:
 FRAMES: dict[str, tuple[tuple[str, ...], str]] = {
     "reports": ((), f"""
         SELECT event_id, 'dev-' || user_id AS device_id, 'dev-' || user_id AS vehicle_id, {_provider('user_id')} AS provider_name,
-               'vt-' || (user_id % 30) AS vehicle_type_id,
+               'vt-' || (user_id * 20) AS vehicle_type_id,
                CASE event_type WHEN 'view' THEN 'available' WHEN 'click' THEN 'available' WHEN 'signup' THEN 'reserved'
                     WHEN 'purchase' THEN 'on_trip' ELSE 'non_operational' END AS vehicle_state,
                CASE event_type WHEN 'view' THEN 'telemetry' WHEN 'click' THEN 'ping' WHEN 'signup' THEN 'trip_start'
@@ -53,9 +53,9 @@ FRAMES: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT {_provider('o_orderkey')} AS provider_name, 't-' || o_orderkey AS trip_id, 's-' || o_custkey AS vehicle_id, 'bicycle' AS vehicle_type
         FROM orders WHERE o_orderpriority = '1-URGENT'"""),
     "types": ((), """
-        SELECT 'vt-' || n_nationkey AS vehicle_type_id,
-               CASE n_regionkey WHEN 0 THEN 'car' WHEN 1 THEN 'van' WHEN 2 THEN 'truck' WHEN 3 THEN 'moped' END AS vehicle_type
-        FROM nation"""),
+        SELECT 'vt-' || p_partkey AS vehicle_type_id,
+               CASE p_size % 5 WHEN 0 THEN 'car' WHEN 1 THEN 'van' WHEN 2 THEN 'truck' WHEN 3 THEN 'moped' END AS vehicle_type
+        FROM part"""),
     # One report per vehicle and instant.
     "best": (("reports",), """
         SELECT * FROM reports
