@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from kerbside import schemas as S
 from kerbside.functions.clock import ts_millis, ts_seconds
 from kerbside.functions.labels import battery_percent
-from kerbside.functions.pages import convert, first_item, geojson_lat, geojson_lon, last_item, parse_items
+from kerbside.functions.pages import convert, first_item, geojson_lat, geojson_lon, last_item, once, parse_items
 from kerbside.schemas import ITEM_PATHS, typed_null
 from kerbside.sources.bronze import Bronze, scan
 
@@ -62,10 +62,13 @@ def mds_trips(bronze: Bronze, provider: str, strict: bool = True) -> DataFrame:
 def poppy_trips(bronze: Bronze, strict: bool = True) -> DataFrame:
     """Every delivered copy of every Poppy trip, with ``load_ts``; end points come from the route."""
     geometry = F.get(_get("route.features"), F.lit(0))["geometry"]
-    positions = F.from_json(geometry, "struct<coordinates:array<array<string>>>")["coordinates"]
-    rows = items(bronze, "POPPY", "TRIPS", S.POPPY_TRIP, keep=("load_ts",)).withColumns(
-        {"_first": first_item(positions), "_last": last_item(positions)}
-    )
+    shape = F.from_json(geometry, "struct<coordinates:array<array<string>>>")
+
+    def both_ends(parsed: Column) -> Column:
+        positions = parsed["coordinates"]
+        return F.struct(first_item(positions).alias("first"), last_item(positions).alias("last"))
+
+    rows = items(bronze, "POPPY", "TRIPS", S.POPPY_TRIP, keep=("load_ts",)).withColumn("ends", once(shape, both_ends))
 
     def number(text: Column) -> Column:
         return convert(text, "double", strict)
@@ -79,10 +82,10 @@ def poppy_trips(bronze: Bronze, strict: bool = True) -> DataFrame:
         ts_millis(_get("end_time"), strict).alias("end_ts"),
         convert(_get("trip_duration"), "decimal(38,9)", strict).alias("trip_duration"),
         _double("trip_distance", strict).alias("trip_distance"),
-        number(geojson_lat(F.col("_first"))).alias("start_lat"),
-        number(geojson_lon(F.col("_first"))).alias("start_lon"),
-        number(geojson_lat(F.col("_last"))).alias("end_lat"),
-        number(geojson_lon(F.col("_last"))).alias("end_lon"),
+        number(geojson_lat(F.col("ends.first"))).alias("start_lat"),
+        number(geojson_lon(F.col("ends.first"))).alias("start_lon"),
+        number(geojson_lat(F.col("ends.last"))).alias("end_lat"),
+        number(geojson_lon(F.col("ends.last"))).alias("end_lon"),
         geometry.alias("route_json"),
         "load_ts",
     )
