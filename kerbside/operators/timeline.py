@@ -6,7 +6,8 @@ per chunk, and only these summaries are ordered over the whole history. After th
 report per instant a chunk of a day holds at most one row per instant of that day, and a history has
 one summary per day, so neither side grows with the number of reports a vehicle sends.
 
-Keys must not be NULL.
+Keys must not be NULL. Select the columns you need before, not after: then the rows and their summaries
+share one shuffle.
 """
 
 from __future__ import annotations
@@ -23,14 +24,6 @@ DAY = 86_400
 MOVE_DEGREES = 0.0005  # fixed value: a larger step in either coordinate is a move
 
 
-def _sort_key(order: Sequence[str]) -> Column:
-    """Struct that compares like ``ORDER BY ... ASC NULLS LAST``."""
-    parts = []
-    for i, name in enumerate(order):
-        parts += [F.col(name).isNull().alias(f"n{i}"), F.col(name).alias(f"v{i}")]
-    return F.struct(*parts)
-
-
 def _ascending(order: Sequence[str]) -> list[Column]:
     return [F.col(name).asc_nulls_last() for name in order]
 
@@ -56,16 +49,21 @@ def lead_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Col
 
 
 def _neighbour(df, keys, order, chunk, values, into, ahead):
-    step, pick = (F.lead, F.min_by) if ahead else (F.lag, F.max_by)
-    picked = F.struct(*values)
-    chunked = df.withColumn("_chunk", chunk)
+    step, back = (F.lead, F.lag) if ahead else (F.lag, F.lead)
     inside = Window.partitionBy(*keys, "_chunk").orderBy(*_ascending(order))
-    near = chunked.withColumn("_near", step(picked).over(inside))
+    near = (
+        df.withColumn("_chunk", chunk)
+        .withColumn("_near", step(F.struct(*values)).over(inside))
+        .withColumn("_outer", back(F.lit(True)).over(inside).isNull())
+    )
 
+    # The outermost row of each chunk: the last one looking back, the first one looking ahead.
     across = Window.partitionBy(*keys).orderBy("_chunk")
     edges = (
-        chunked.groupBy(*keys, "_chunk")
-        .agg(pick(picked, _sort_key(order)).alias("_edge"))
+        near.where("_outer")
+        .groupBy(*keys, "_chunk")
+        .agg(F.first(_whole(near)).alias("_row"))
+        .select(*keys, "_chunk", F.struct(*[F.col("_row")[name].alias(name) for name in values]).alias("_edge"))
         .select(*keys, "_chunk", step("_edge").over(across).alias("_far"))
     )
     return (

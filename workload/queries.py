@@ -139,7 +139,10 @@ def status_priority_dedup(spark, sf_dir):
 @query
 def change_points_only(spark, sf_dir):
     """Reports that differ from the one before, with that one."""
-    changed = change_points(best_report(frames.reports(spark, sf_dir)))
+    reports = frames.reports(spark, sf_dir).select(
+        "vehicle_id", "provider_name", "reported_at", "vehicle_state", "event_type", "trip_id", "lat", "lon"
+    )
+    changed = change_points(best_report(reports).drop("trip_id"))
     return changed.select(
         "vehicle_id", "provider_name", "reported_at", "vehicle_state", "event_type", "lat", "lon",
         F.col("prev.vehicle_state").alias("prev_state"), F.col("prev.lat").alias("prev_lat"), F.col("prev.lon").alias("prev_lon"),
@@ -149,8 +152,7 @@ def change_points_only(spark, sf_dir):
 @query
 def validity_ends(spark, sf_dir):
     """The instant of the following report of each vehicle."""
-    told = validity_intervals(best_report(frames.reports(spark, sf_dir)))
-    return told.select("vehicle_id", "provider_name", "reported_at", "valid_to")
+    return validity_intervals(best_report(frames.reports(spark, sf_dir)).select("vehicle_id", "provider_name", "reported_at"))
 
 
 @query
