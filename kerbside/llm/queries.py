@@ -6,13 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import decontamination, simhash_dedup, token_counts
+from kerbside.llm import decontamination, language_id, mixing, secret_scan, simhash_dedup, token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit(docs.filter(~language_id.held_out()))
+    return language_id.predict(docs, model).withColumn("held_out", language_id.held_out())
+
+
 def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
@@ -24,14 +30,26 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mix(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "source", *mixing.RESULT)
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"), secret_scan.trained(spark))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = str(public_tokenizers.path("piece_bpe_32k.model"))
     return token_counts.token_counts(table(spark, sf_dir, "documents"), model)
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op5_simhash_dedup": op5_simhash_dedup,
     "op6_decontamination": op6_decontamination,
+    "op7_mixing": op7_mixing,
+    "op9_secret_scan": op9_secret_scan,
     "op10_token_counts": op10_token_counts,
 }
 
