@@ -7,10 +7,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kerbside.llm import decontamination, simhash_dedup
+from kerbside.llm import decontamination, language_id, mixing, secret_scan, simhash_dedup
 from kerbside.llm.common import written
 
 
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a language go: no text, no letter."""
+    model = language_id.fit(docs.filter(~language_id.held_out()))
+    return language_id.with_language(docs, model)
+
+
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
     return simhash_dedup.representatives(docs)
@@ -22,9 +28,22 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
     return decontamination.uncontaminated(docs, benchmark)
 
 
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents stay; secrets in their texts are masked."""
+    return secret_scan.redact(docs, secret_scan.trained(spark))
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources are mixed to their weights: every document comes at least once, those of small sources more often."""
+    return mixing.mix(docs)
+
+
 STAGES = [
+    ("language_id", language),
     ("simhash_near_dedup", simhash_near_dedup),
     ("benchmark_decontamination", benchmark_decontamination),
+    ("secret_scans", secret_scans),
+    ("source_mixing", source_mixing),
 ]
 
 ORACLE_SQL = None
