@@ -92,7 +92,7 @@ def map_texts(
     ``docs`` are not read.
     """
     schema = T.StructType([docs.schema[k] for k in keep] + fields)
-    arrow = {f.name: _arrow_type(f.dataType) for f in fields}
+    arrow = {f.name: arrow_type(f.dataType) for f in fields}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -118,9 +118,9 @@ def filter_texts(docs: DataFrame, keeps: Callable[[pa.Array], list[bool]]) -> Da
     return docs.mapInArrow(run, docs.schema)
 
 
-def _arrow_type(kind: T.DataType) -> pa.DataType:
+def arrow_type(kind: T.DataType) -> pa.DataType:
     if isinstance(kind, T.ArrayType):
-        return pa.list_(_arrow_type(kind.elementType))
+        return pa.list_(arrow_type(kind.elementType))
     return {
         "string": pa.string(), "bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "float": pa.float32(),
         "boolean": pa.bool_(), "binary": pa.binary(),

@@ -107,6 +107,8 @@ def features(text: str, start: int, end: int, dictionary: frozenset[str]) -> lis
         float(all(c in string.hexdigits for c in value)),
         float(value.isdigit()),
         float(bool(_SENTENCE.match(value))),
+        float(value.isalpha() and (value[1:].islower() or value.isupper())),
+        float(before[-1:].isalpha() or after[:1].isalpha()),
         float(before[-1:] == "@" or after[:1] == "@" or before[-3:] == "://"),
     ]
 
@@ -158,7 +160,12 @@ def _lookalike(rng: random.Random, words: list[str]) -> str:
     pick = lambda chars, n: "".join(rng.choice(chars) for _ in range(n))
     some = lambda n: [rng.choice(words) for _ in range(n)]
     hexes = "0123456789abcdef"
-    kind = rng.randrange(14)
+    kind = rng.randrange(16)
+    if kind > 13:
+        # a word of no known language, maybe cut at a letter beyond ASCII
+        word = "".join(rng.choice("bcdfghklmnprstvwz") + rng.choice(("a", "e", "i", "o", "u", "ei", "au", "io")) + rng.choice(("", "n", "r", "st", "ng", "ch", "t")) for _ in range(rng.randrange(6, 11)))
+        word = rng.choice((word, word.capitalize(), word.upper()))
+        return rng.choice((word, f"ü{word}", f"{word}é", f"{word}.", f"{word},"))
     if kind < 4:
         word = "".join(some(rng.randrange(4, 9)))
         return rng.choice((word, word.capitalize(), word.upper(), f"{word}.", ".".join(some(4)), "-".join(some(5)), f"{rng.choice(_NAMES)} = {word}"))
