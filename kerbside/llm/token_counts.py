@@ -23,20 +23,25 @@ ENCODE_BYTES = 1 << 18
 REMEMBERED = 1 << 18
 SHORT = 64
 
-# A single space between two other characters: no piece of a word-split vocabulary holds it inside.
-SAFE = re.compile(r"(?<=[^ ]) (?=[^ ])")
+# A single space between two other characters: no piece of a word-split vocabulary holds it inside. The mark that
+# stands for a space in pieces counts as a space where a text holds it.
+MARK = "▁"
+SAFE = re.compile(f"(?<=[^ {MARK}]) (?=[^ {MARK}])")
 
 
 @lru_cache(maxsize=2)
 def encoder(model: str) -> tuple[sentencepiece.SentencePieceProcessor, bool]:
     """The model, loaded once per worker, and whether single spaces are safe boundaries of it.
 
-    They are if each word gets the space mark in front, as the first word of a text does, and no piece spans the mark.
+    They are if each word gets the space mark in front, as the first word of a text does, no piece spans the mark, and
+    no other white space is turned into a space.
     """
     sp = sentencepiece.SentencePieceProcessor(model_file=model)
-    mark = "▁"
-    spanning = any(mark in sp.id_to_piece(i).lstrip(mark) for i in range(sp.get_piece_size()))
-    return sp, not spanning and sp.encode("a b", out_type=str) == sp.encode("a", out_type=str) + sp.encode("b", out_type=str)
+    spanning = any(MARK in sp.id_to_piece(i).lstrip(MARK) for i in range(sp.get_piece_size()))
+    others = [c for c in map(chr, range(0x3001)) if c.isspace() and c != " "]
+    probes = [["a", "b"], *(["a", c, "b"] for c in others)]
+    apart = all(sp.encode(" ".join(p)) == sum(map(sp.encode, p), []) for p in probes)
+    return sp, apart and not spanning
 
 
 # Counts by segment; the model of a session does not change within a worker, else it is emptied.
@@ -71,7 +76,7 @@ def count_tokens(texts: list[str], model: str) -> list[int]:
     split = []
     for text in texts:
         parts = text.split(" ")
-        split.append(SAFE.split(text) if "" in parts else parts)
+        split.append(SAFE.split(text) if "" in parts or MARK in text else parts)
     segments = set().union(*split)
     if len(_known) + len(segments) > REMEMBERED:
         _known = {}

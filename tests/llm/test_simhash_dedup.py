@@ -90,7 +90,8 @@ def test_odd_rows(spark, odd, none):
     assert sorted(((r.doc_id, r.bits & (1 << 64) - 1, r.component_id) for r in got), key=key) == sorted(want, key=key)
     kept = sd.representatives(odd)
     assert kept.columns == odd.columns
-    assert kept.count() == len({(c, p if c is None else 0) for _, p, c in want})
+    # id 8 has two texts that are not near: two components of the same smallest id
+    assert kept.count() == len({(c, p if c in (None, 8) else 0) for _, p, c in want}) == 8
     ids = sorted((r.doc_id for r in kept.collect()), key=str)
     assert ids.count(2) == 0 and ids.count(1) == 1
     assert sd.near_duplicates(none).count() == 0 and sd.representatives(none).count() == 0
