@@ -38,6 +38,9 @@ BACKFILL = (
     ("poppy", "trips/brussels"),
 )
 
+# Other names under which the files of an endpoint land.
+ALIASES = (("poppy", "trips", "trips/brussels"),)
+
 # Endpoints still served in the older format version.
 OLD_VERSION = (("dott", "vehicles"), ("dott", "events"), ("bolt", "status_changes"))
 
@@ -74,6 +77,13 @@ def endpoint_catalogue(spark: SparkSession) -> DataFrame:
     return _derived(base)
 
 
+def file_slugs(spark: SparkSession) -> DataFrame:
+    """``provider, slug, endpoint, table_suffix`` of every name that files of an endpoint bear. A fixed list."""
+    suffix = {(p, e): t for p, e, t, _ in ENDPOINTS}
+    rows = [(p, e.replace("/", "_"), e, t) for p, e, t, _ in ENDPOINTS] + [(p, slug, e, suffix[p, e]) for p, slug, e in ALIASES]
+    return spark.createDataFrame(rows, "provider string, slug string, endpoint string, table_suffix string")
+
+
 def with_endpoints(df: DataFrame) -> DataFrame:
     """Every row of ``df`` once per catalogue endpoint. The list is part of the plan, so nothing is joined."""
     endpoints = F.array(

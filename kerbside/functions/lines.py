@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from kerbside.functions.pages import once
 
-SRID = 4326
 POINT_TYPE = "struct<lon:double,lat:double>"
 LINE_TYPE = f"array<{POINT_TYPE}>"
 GEOJSON_DIGITS = 9  # fixed value: decimal digits of GeoJSON output
@@ -46,6 +45,11 @@ def from_geojson(text: Column) -> Column:
     return once(F.from_json(text, "struct<type:string,coordinates:array<array<double>>>"), line)
 
 
+def delivered_line(geojson: Column, direct: Column) -> Column:
+    """The delivered line; ``direct`` only where nothing was delivered."""
+    return F.when(geojson.isNull(), direct).otherwise(from_geojson(geojson))
+
+
 def drop_repeats(line: Column) -> Column:
     """Remove points equal to the one before; a line of two or more points keeps at least two."""
 

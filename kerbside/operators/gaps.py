@@ -23,11 +23,21 @@ def expected_grid(catalogue: DataFrame, start: Column, end: Column, step: str =
 
 def landing_gaps(grid: DataFrame, landed: DataFrame, keys: Sequence[str] = ("provider", "endpoint", "slot")) -> DataFrame:
     """Grid rows for which nothing has landed: the backfill work list."""
-    return grid.join(landed.select(*keys).distinct(), list(keys), "left_anti")
+    return grid.join(landed.select(*keys), list(keys), "left_anti")
+
+
+def landed_hours(pages: DataFrame, names: DataFrame) -> DataFrame:
+    """``provider, endpoint, slot`` of bronze pages, in the names that the catalogue uses.
+
+    ``names``: catalogue rows ``provider, endpoint, table_suffix``, a fixed list.
+    """
+    raw = F.broadcast(names.select(F.upper("provider").alias("raw"), "table_suffix", F.col("provider").alias("p"), F.col("endpoint").alias("e")))
+    known = pages.join(raw, (F.col("provider") == F.col("raw")) & (F.col("endpoint") == F.col("table_suffix")))
+    return known.select(F.col("p").alias("provider"), F.col("e").alias("endpoint"), F.date_trunc("hour", "file_ts").alias("slot"))
 
 
 def page_gaps(pages: DataFrame, run: Sequence[str] = ("provider", "endpoint", "page_time"), number: str = "page_no") -> DataFrame:
     """Pages that announce a following page which has not landed."""
     ahead = pages.where(next_link(F.col("content")).isNotNull()).select(*run, (F.col(number) + 1).alias(number))
-    missing = ahead.distinct().join(pages.select(*run, number).distinct(), [*run, number], "left_anti")
+    missing = ahead.join(pages.select(*run, number), [*run, number], "left_anti").distinct()
     return missing.select(*run, F.col(number).alias("missing_page"))

@@ -1,7 +1,8 @@
 """Which landed pages are new.
 
-The decision is taken on slim rows (page key, hash, order); the page bodies only pass through the
-final semi join, which Spark turns into a broadcast while the list of kept pages is small.
+The decision is taken on slim rows (page, hash, order); page bodies only pass through the final semi join, which Spark
+turns into a broadcast while the list of kept pages is small. Raw tables and pages are compared as structs, so an
+unknown provider or endpoint is a raw table like any other.
 """
 
 from __future__ import annotations
@@ -26,6 +27,19 @@ def with_hash(pages: DataFrame) -> DataFrame:
     return pages.withColumn("md5_hash", content_hash(F.col("content")))
 
 
+def _identified(pages: DataFrame, page_key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``_page`` tells pages apart: a name may come again, with another body or at another time."""
+    parts = list(dict.fromkeys([*page_key, *order, "md5_hash"]))
+    return pages.withColumn("_page", F.struct(*parts)).withColumn("_table", F.struct(*TABLE))
+
+
+def _bodies(pages: DataFrame, kept: DataFrame) -> DataFrame:
+    """The pages named by ``kept``, each once: copies that agree in name, order and hash are one page."""
+    found = pages.join(kept.select("_page"), "_page", "left_semi")
+    known, unknown = found.where(F.col("md5_hash").isNotNull()), found.where(F.col("md5_hash").isNull())
+    return first_per_key(known, ["_page"], [F.col("md5_hash")]).unionByName(unknown).drop("_page", "_table")
+
+
 def last_hashes(stored: DataFrame) -> DataFrame:
     """Hash of the page stored last in each raw table: ``provider, endpoint, load_ts, md5_hash``.
 
@@ -40,32 +54,35 @@ def keep_if_changed(new: DataFrame, stored: DataFrame | None = None, order: Sequ
     """New pages whose hash differs from the page before them in the same raw table.
 
     The page before the first new one is the page stored last. The sequence A, B, A keeps all three. A
-    missing hash equals nothing. ``new`` must come after ``stored`` and needs ``md5_hash`` and a
-    ``page_key`` that is unique. The first ``order`` column is a timestamp that spreads the pages over
-    time: for pages landed all at once use the time in their names, not the load time.
+    missing hash equals nothing. ``new`` must come after ``stored`` and needs ``md5_hash``. The first ``order``
+    column is a timestamp that spreads the pages over time; pages of one instant go on in the order of the others.
     """
-    slim_columns = list(dict.fromkeys([*page_key, *TABLE, *order, "md5_hash"]))
-    slim = new.select(*slim_columns, F.lit(True).alias("_new"))
+    pages = _identified(new, page_key, order)
+    slim = pages.select("_page", "_table", *order, "md5_hash", F.lit(True).alias("_new")).distinct()
     if stored is not None:
         # The stored page gets an order before every new page and its own, earliest chunk.
-        seed = last_hashes(stored).select(*TABLE, "md5_hash", F.lit(False).alias("_new"))
+        seed = last_hashes(stored).select(F.struct(*TABLE).alias("_table"), "md5_hash", F.lit(False).alias("_new"))
         slim = slim.unionByName(seed, allowMissingColumns=True)
     chunk = F.when(F.col("_new"), time_chunk(F.col(order[0]), chunk_seconds)).otherwise(F.lit(-(2**62)).cast("bigint"))
-    told = lag_by(slim, TABLE, list(order), chunk, ["md5_hash"])
+    told = lag_by(slim, ["_table"], [*order, "md5_hash"], chunk, ["md5_hash"])
     repeated = F.coalesce(F.col("prev")["md5_hash"] == F.col("md5_hash"), F.lit(False))
-    kept = told.where(F.col("_new") & ~repeated).select(*page_key)
-    return new.join(kept, list(page_key), "left_semi")
+    return _bodies(pages, told.where(F.col("_new") & ~repeated))
 
 
 def keep_if_unseen(new: DataFrame, stored: DataFrame | None = None, order: Sequence[str] = ("load_ts", "filename"),
                    page_key: Sequence[str] = PAGE_KEY) -> DataFrame:
-    """New pages whose hash was never stored in the same raw table; of equal new pages the first stays."""
-    slim_columns = list(dict.fromkeys([*page_key, *TABLE, *order, "md5_hash"]))
-    slim = new.select(*slim_columns)
-    firsts = first_per_key(slim, [*TABLE, "md5_hash"], [F.col(c).asc_nulls_last() for c in order])
+    """New pages whose hash was never stored in the same raw table; of equal new pages the first stays.
+
+    A missing hash was never seen.
+    """
+    pages = _identified(new, page_key, order)
+    slim = pages.select("_page", "_table", *order, "md5_hash")
+    known = slim.where(F.col("md5_hash").isNotNull())
+    firsts = first_per_key(known, ["_table", "md5_hash"], [F.col(c).asc_nulls_last() for c in order], ["_page"])
     if stored is not None:
-        firsts = firsts.join(stored.select(*TABLE, "md5_hash").distinct(), [*TABLE, "md5_hash"], "left_anti")
-    return new.join(firsts.select(*page_key), list(page_key), "left_semi")
+        seen = stored.where(F.col("md5_hash").isNotNull()).select(F.struct(*TABLE).alias("_table"), "md5_hash")
+        firsts = firsts.join(seen, ["_table", "md5_hash"], "left_anti")
+    return _bodies(pages, firsts.unionByName(slim.where(F.col("md5_hash").isNull())))
 
 
 def drop_empty(pages: DataFrame, leaf: str = "leaf") -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.functions.lines import drop_repeats, from_geojson, point, stitch, straight_line
+from kerbside.functions.lines import delivered_line, drop_repeats, from_geojson, point, stitch, straight_line
 
 HOUR_MS = 3_600_000
 
@@ -71,21 +71,28 @@ def trip_lines(pings: DataFrame) -> DataFrame:
 def provider_route(provider: Column, start: Column, end: Column, geojson: Column, dott_line: Column, bolt_line: Column) -> Column:
     """The route of a trip by the rule of its provider.
 
-    Voi: the delivered route, else the straight line. Dott: telemetry between the two end points when
+    Voi: the delivered route, the straight line where none came. Dott: telemetry between the two end points when
     there is any (no route at all if an end point is missing), else as Voi; repeated points removed.
-    Bolt: telemetry, else the straight line. Poppy: the delivered route only.
+    Bolt: telemetry, else the straight line. Poppy: the delivered route only. A delivered geometry that is no line
+    gives no route (``rejected_routes`` names it).
     """
     direct = straight_line(start, end)
     delivered = from_geojson(geojson)
-    dott = F.when(dott_line.isNotNull(), stitch(start, dott_line, end)).otherwise(F.coalesce(delivered, direct))
+    given = delivered_line(geojson, direct)
+    dott = F.when(dott_line.isNotNull(), stitch(start, dott_line, end)).otherwise(given)
     return (
-        F.when(provider == "Voi", F.coalesce(delivered, direct))
+        F.when(provider == "Voi", given)
         .when(provider == "Dott", drop_repeats(dott))
         .when(provider == "Bolt", F.coalesce(bolt_line, direct))
         .when(provider == "Poppy", delivered)
     )
 
 
+def rejected_routes(trips: DataFrame, geometry: str = "route_json") -> DataFrame:
+    """Trips whose delivered geometry is no line: the quarantine report of routes."""
+    return trips.where(F.col(geometry).isNotNull() & from_geojson(F.col(geometry)).isNull())
+
+
 def attach_routes(trips: DataFrame, lines: DataFrame, into: str = "route") -> DataFrame:
     """Left join of trips and their telemetry lines, then the provider rule.
 

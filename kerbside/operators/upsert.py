@@ -35,7 +35,7 @@ def upsert(existing: DataFrame | None, batch: DataFrame, key: str) -> DataFrame:
     """Stored rows whose key the batch does not name, and the batch. NULL keys never match."""
     if existing is None:
         return batch
-    kept = existing.join(batch.select(key).distinct(), key, "left_anti")
+    kept = existing.join(batch.select(key), key, "left_anti")
     return kept.select(*existing.columns).unionByName(batch, allowMissingColumns=True)
 
 
@@ -49,21 +49,26 @@ def key_date(ts: Column) -> Column:
     return F.coalesce(F.to_date(ts), F.lit("9999-12-31").cast("date"))
 
 
-def _exists(spark: SparkSession, path: str) -> DataFrame | None:
-    from pyspark.errors import AnalysisException
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything at ``path``, asked of the file system alone."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
-            return None
-        raise
 
+def read_mart(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
+    """The stored mart, None before its first load. Older files may lack newer columns.
 
-def read_mart(spark: SparkSession, path: str) -> DataFrame | None:
-    """The stored mart, None before its first load. Older files may lack newer columns."""
-    found = _exists(spark, path)
-    return None if found is None else spark.read.option("mergeSchema", "true").parquet(path)
+    With ``schema`` no file is opened to learn the columns.
+    """
+    if not exists(spark, path):
+        return None
+    return spark.read.schema(schema).parquet(path) if schema is not None else spark.read.option("mergeSchema", "true").parquet(path)
+
+
+def in_values(df: DataFrame, column: str, values: Sequence) -> DataFrame:
+    """Rows whose ``column`` is among a few ``values``, NULL included: literals, so that partitions are pruned."""
+    wanted = F.col(column).isin([v for v in values if v is not None])
+    return df.where(wanted | F.col(column).isNull() if None in values else wanted)
 
 
 def publish(spark: SparkSession, batch: DataFrame, mart: str, staging: str, key: str, partition: str,
@@ -71,7 +76,8 @@ def publish(spark: SparkSession, batch: DataFrame, mart: str, staging: str, key:
     """Upsert ``batch`` into the Parquet mart, after its checks have passed.
 
     ``partition_value`` must follow from the key: then only partitions the batch names are read and
-    rewritten, whatever the size of the mart, and no partition is ever left with stale rows. The merged
+    rewritten, whatever the size of the mart, and no partition is ever left with stale rows. Their values, no more
+    than the mart has partitions, become literals of the scan. The batch holds all columns of the mart. The merged
     partitions are written to ``staging`` (a new folder per run), checked there and then swapped in with
     one dynamic partition overwrite. When a check fails the mart is untouched.
     """
@@ -79,10 +85,9 @@ def publish(spark: SparkSession, batch: DataFrame, mart: str, staging: str, key:
     batch.withColumn(partition, partition_value).write.mode("overwrite").parquet(batch_path)
     staged = spark.read.parquet(batch_path)
 
-    stored = read_mart(spark, mart)
+    stored = read_mart(spark, mart, staged.schema)
     if stored is not None:
-        named = staged.select(partition).distinct()
-        stored = stored.join(named, partition, "left_semi")
+        stored = in_values(stored, partition, [r[0] for r in staged.select(partition).distinct().collect()])
     merged = upsert(stored, staged, key)
     merged.write.mode("overwrite").parquet(merged_path)
 

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.operators.quality import SEED_CHECKS, STATUS_CHECKS, TRIPS_CHECKS, require
-from kerbside.operators.upsert import DAY_LOOKBACK, key_bucket, key_date, publish, read_mart
+from kerbside.operators.upsert import DAY_LOOKBACK, exists, in_values, key_bucket, key_date, late_rows, publish, read_mart
 from kerbside.plans.silver import register_views
-from kerbside.plans.status import page_reports, vehicles_status
+from kerbside.plans.status import page_reports, union_reports, vehicles_status
 from kerbside.plans.trips import all_trips
 from kerbside.sources.bronze import Bronze, read_bronze
 
@@ -26,14 +26,17 @@ def build_trips(spark: SparkSession, bronze: Bronze, mart: str, staging: str, se
 
 
 def refresh_reports(spark: SparkSession, bronze: DataFrame, store: str, strict: bool = True) -> DataFrame:
-    """Parse the pages loaded since the newest stored load date into ``store`` and return all of it.
+    """Parse the pages of every load date that has changed since the last refresh into ``store`` and return all of it.
 
-    Every event and snapshot page is parsed once in its life instead of at every run. The newest date is
-    parsed again, because pages may still have been added to it.
+    The pages of each load date are counted and their names and times hashed, in slim columns; a date that differs
+    from what was noted beside the store is parsed again, whenever its pages came. Dates are as many as days.
     """
-    stored = read_mart(spark, store)
-    newest = None if stored is None else stored.agg(F.max("load_date")).first()[0]
-    fresh = bronze if newest is None else bronze.where(F.col("load_date") >= F.lit(newest))
+    page = F.xxhash64("provider", "endpoint", "filename", "load_ts", "md5_hash", F.length("content"))
+    marks = bronze.groupBy("load_date").agg(F.count("*").alias("pages"), F.bit_xor(page).alias("mark")).collect()
+    noted_at = f"{store}_pages"
+    noted = read_mart(spark, noted_at) if exists(spark, store) else None
+    known = set() if noted is None else {tuple(r) for r in noted.select("load_date", "pages", "mark").collect()}
+    fresh = in_values(bronze, "load_date", [r.load_date for r in marks if tuple(r) not in known])
     (
         page_reports(fresh, strict, keep=("load_date",))
         .write.mode("overwrite")
@@ -41,18 +44,27 @@ def refresh_reports(spark: SparkSession, bronze: DataFrame, store: str, strict:
         .partitionBy("load_date")
         .parquet(store)
     )
+    spark.createDataFrame(marks, "load_date date, pages long, mark long").coalesce(1).write.mode("overwrite").parquet(noted_at)
     return spark.read.parquet(store)
 
 
 def build_status(spark: SparkSession, bronze: Bronze, mart: str, staging: str, lookback: str = DAY_LOOKBACK,
-                 squash: bool = False, strict: bool = True, reports: str | None = None) -> None:
+                 squash: bool = False, strict: bool = True, reports: str | None = None) -> DataFrame | None:
     """Add the newest status slice by UID. Stored intervals before the slice keep their end.
 
+    Returns the count of reports that were too old for the slice when the run began (``late_rows``), None at the first.
     ``reports`` is the folder that keeps parsed pages between runs; ``bronze`` must be the stored table then.
     """
     parsed = None if reports is None else refresh_reports(spark, bronze, reports, strict)
-    batch = vehicles_status(bronze, read_mart(spark, mart), lookback, squash, strict, parsed)
+    stored = read_mart(spark, mart)
+    late = None
+    if stored is not None:
+        sent = union_reports(bronze, strict) if parsed is None else parsed
+        (counted,) = late_rows(sent, "reported_at", stored, "VALID_FROM_TS", lookback).first()
+        late = spark.range(1).select(F.lit(counted).alias("late_rows"))
+    batch = vehicles_status(bronze, stored, lookback, squash, strict, parsed)
     publish(spark, batch, mart, staging, "UID", "valid_date", key_date(F.col("VALID_FROM_TS")), STATUS_CHECKS)
+    return late
 
 
 def build_all(spark: SparkSession, bronze_path: str, gold_path: str, staging: str, seeds: DataFrame | None = None,

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.functions.clock import ts_millis
-from kerbside.functions.lines import from_geojson, point, straight_line
+from kerbside.functions.lines import delivered_line, from_geojson, point, straight_line
 from kerbside.operators.enrich import squash_registry, with_registry, with_type_lookup
 from kerbside.operators.latest import latest_per_key
 from kerbside.operators.routes import line_agg
@@ -45,7 +45,7 @@ def _trip_view(trips: DataFrame, vehicle: Column, kind: Column) -> DataFrame:
         "trip_id", vehicle.alias("vehicle_short_id"), kind.alias("vehicle_type"), "provider_name", "start_ts", "end_ts",
         "trip_duration", F.col("trip_distance").alias("trip_distance_meters"),
         "start_lat", "start_lon", "end_lat", "end_lon",
-        F.coalesce(from_geojson(F.col("route_json")), straight_line(*_ends())).alias("route_geom"),
+        delivered_line(F.col("route_json"), straight_line(*_ends())).alias("route_geom"),
     ).distinct()
 
 

@@ -19,6 +19,9 @@ from kerbside.sources.bronze import Bronze
 
 VEHICLE = ("vehicle_id", "provider_name")
 TIES = (*STATUS_TIES, "vehicle_type")
+MART_SOURCE = (
+    "vehicle_id", "vehicle_type", "provider_name", "vehicle_state", "event_type", "lat", "lon", "trip_id", "reported_at",
+)
 REPORT_ROW = {
     "provider_name": "string", "device_id": "string", "own_type": "string", "vehicle_state": "string",
     "event_type": "string", "lat": "double", "lon": "double", "trip_id": "string", "reported_at": "timestamp",
@@ -115,6 +118,8 @@ def assemble_status(reports: DataFrame, target: DataFrame | None = None, lookbac
     per vehicle; it is neither sorted nor reduced report by report. The result is the same as that of a
     run over the full history cut to the slice, before validity ends are set.
     """
+    # Exactly the columns of the mart: the summary packs whole rows, and only then both readers share one shuffle.
+    reports = reports.select(*MART_SOURCE)
     if target is None:
         return to_mart(change_intervals(best_report(reports, VEHICLE, ties=ties)))
     start = slice_start(target, "VALID_FROM_TS", lookback)

@@ -86,7 +86,10 @@ def assemble_trips(trips: DataFrame, pings: DataFrame, registry: DataFrame, seed
     The newest record per trip is picked first, on the slim trip rows. Routes, vehicles and corrections
     are then looked up once per surviving trip, and the route join finds its rows already laid out by trip.
     """
-    newest = latest_per_key(trips, ["trip_id"], "start_ts")
+    # Ties are settled by a hash of the route: no sort compares whole geometries.
+    ties = [c for c in TRIP_ROW if c not in ("trip_id", "start_ts", "route_json")]
+    keyed = trips.withColumn("_route", F.xxhash64("route_json"))
+    newest = latest_per_key(keyed, ["trip_id"], "start_ts", [*ties, "_route"]).drop("_route")
     routed = attach_routes(newest, trip_lines(pings))
     named = name_vehicles(routed, registry)
     patched = patch_lost_vehicles(named, seeds) if seeds is not None else named

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 BRONZE = (
     "provider string, endpoint string, content string, filename string, "
-    "file_ts timestamp, md5_hash string, load_ts timestamp"
+    "file_ts timestamp, md5_hash string, load_ts timestamp, page_no int, page_time timestamp"
 )
 SEED = "TRIP_ID string, VEHICLE_ID string, VEHICLE_TYPE string"
 

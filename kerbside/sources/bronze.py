@@ -12,10 +12,6 @@ from kerbside.schemas import BRONZE
 PARTITIONS = ("provider", "endpoint", "load_date")
 
 
-def empty_bronze(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], BRONZE)
-
-
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     """The stored pages. Files written before a column existed show it as NULL."""
     schema = f"{BRONZE}, load_date date"
@@ -42,8 +38,11 @@ def append_pages(pages: DataFrame, path: str, load_ts: Column | None = None) ->
     stamped = pages.withColumn("load_ts", F.coalesce("load_ts", now) if "load_ts" in pages.columns else now)
     if "md5_hash" not in stamped.columns:
         stamped = stamped.withColumn("md5_hash", F.lit(None).cast("string"))
+    for column, kind in (("page_no", "int"), ("page_time", "timestamp")):
+        if column not in stamped.columns:
+            stamped = stamped.withColumn(column, F.lit(None).cast(kind))
     (
-        stamped.select("provider", "endpoint", "content", "filename", "file_ts", "md5_hash", "load_ts")
+        stamped.select("provider", "endpoint", "content", "filename", "file_ts", "md5_hash", "load_ts", "page_no", "page_time")
         .withColumn("load_date", F.to_date("load_ts"))
         .write.mode("append")
         .partitionBy(*PARTITIONS)

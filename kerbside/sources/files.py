@@ -14,10 +14,6 @@ def read_seed(spark: SparkSession, path: str, provider: str) -> DataFrame:
     return rows.select(F.lit(provider).alias("provider_name"), "TRIP_ID", "VEHICLE_ID", "VEHICLE_TYPE")
 
 
-def empty_seed(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], f"provider_name string, {SEED}")
-
-
 def import_dump(spark: SparkSession, source: str, schema: str, target: str, multi_line: bool = False) -> None:
     """Append a CSV dump to a Parquet table. A row that does not fit fails the import before anything is added.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.catalogue import endpoint_catalogue
+from kerbside.catalogue import file_slugs
 from kerbside.functions.pages import content_hash
 
 # File names of pages and of merged telemetry hours.
@@ -67,10 +67,10 @@ def to_envelope(files: DataFrame, now: Column | None = None) -> DataFrame:
     """
     named = parse_names(files, now)
     spark = files.sparkSession
-    known = endpoint_catalogue(spark).select(
+    known = file_slugs(spark).select(
         "provider", "slug", F.col("table_suffix"), F.element_at(F.split("endpoint", "/"), -1).alias("leaf")
     )
-    # The catalogue is a fixed list of a few rows.
+    # The list of names is fixed and short.
     joined = named.join(F.broadcast(known), ["provider", "slug"], "left")
     content = wrap_telemetry(F.col("content"), F.col("filename"))
     return joined.select(
@@ -110,6 +110,25 @@ def merged_items(pages: DataFrame, path: str = "telemetry") -> DataFrame:
     )
 
 
+def hour_pages(items: DataFrame, path: str = "telemetry", size: int = 1000) -> DataFrame:
+    """Merged items as pages again, at most ``size`` items each, with the name of their hour's file."""
+    hour = F.date_format("hour", HOUR_FORMAT)
+    packed = items.groupBy("provider", "endpoint", "hour", "page_no", F.floor(F.col("pos") / size).alias("part")).agg(
+        F.sort_array(F.collect_list(F.struct("pos", "item"))).alias("sorted")
+    )
+    body = F.concat(F.lit(f'{{"{path}":['), F.array_join(F.transform("sorted", lambda s: s["item"]), ","), F.lit("]}"))
+    return packed.select(
+        "provider", "endpoint", body.alias("content"), F.concat(F.lit(f"{path}_"), hour, F.lit(".json")).alias("filename"),
+        F.col("hour").alias("file_ts"), content_hash(body).alias("md5_hash"), "page_no", F.col("hour").alias("page_time"),
+    )
+
+
+def read_hours(spark: SparkSession, path: str) -> DataFrame:
+    """The merged items that ``write_hours`` has written."""
+    lines = "provider string, endpoint string, page_no int, pos int, item string, hour string"
+    return spark.read.schema(lines).json(path).withColumn("hour", F.to_timestamp("hour", HOUR_FORMAT))
+
+
 def write_hours(items: DataFrame, path: str) -> None:
     """Write merged items as JSON lines, one folder per hour.
 

@@ -10,16 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from kerbside.operators.page_dedupe import keep_if_unseen
-from kerbside.operators.upsert import read_mart
-from kerbside.sources.bronze import append_pages
+from kerbside.operators.page_dedupe import drop_empty, keep_if_unseen
+from kerbside.operators.upsert import exists
+from kerbside.sources.bronze import append_pages, read_bronze
 from kerbside.sources.landing import to_envelope
 
 FILE_SCHEMA = "value string"
 
 
-def take_up(spark: SparkSession, landing: str, bronze: str, checkpoint: str) -> StreamingQuery:
-    """Start a stream that drains ``landing`` once and stops."""
+def take_up(spark: SparkSession, landing: str, bronze: str, checkpoint: str, quarantine: str | None = None) -> StreamingQuery:
+    """Start a stream that drains ``landing`` once and stops.
+
+    Pages without payload are dropped; files of unknown name go to ``quarantine`` (by default beside the bronze table).
+    """
     files = (
         spark.readStream.schema(FILE_SCHEMA)
         .text(landing, wholetext=True, recursiveFileLookup=True)
@@ -33,9 +36,13 @@ def take_up(spark: SparkSession, landing: str, bronze: str, checkpoint: str) ->
 
     def append_new(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        pages = to_envelope(batch).where(F.col("endpoint").isNotNull())
-        fresh = keep_if_unseen(pages, read_mart(session, bronze), order=("landed_at", "path"), page_key=("path",))
-        append_pages(fresh, bronze)
+        named = to_envelope(batch)
+        # A file of unknown name is kept with its body: the checkpoint will not offer it again.
+        unknown = named.where(F.col("endpoint").isNull())
+        unknown.select("path", "filename", "content", "landed_at").write.mode("append").parquet(quarantine or f"{bronze}_unknown")
+        stored = read_bronze(session, bronze) if exists(session, bronze) else None
+        pages = drop_empty(named.where(F.col("endpoint").isNotNull()))
+        append_pages(keep_if_unseen(pages, stored, order=("landed_at", "path"), page_key=("path",)), bronze)
 
     return (
         files.writeStream.foreachBatch(append_new)
