@@ -25,8 +25,9 @@ DRAWS = 16
 
 _MALE = "Mr|Herrn|Herr|Monsieur|Señor|Sr|Signor|Господин"
 _FEMALE = "Mrs|Ms|Miss|Frau|Madame|Mme|Mlle|Señora|Señorita|Sra|Signora|Госпожа"
-_ADDRESS = rf"(?<!\p{{L}})(?:{_MALE}|{_FEMALE})\.?[  ]"
-_NAMED = r"\p{Lu}[\p{L}'’-]++(?:[  ]\p{Lu}[\p{L}'’-]++){0,2}"
+_MALE, _FEMALE = (f"{names}|{names.upper()}" for names in (_MALE, _FEMALE))
+_ADDRESS = rf"(?<!\p{{L}})(?:{_MALE}|{_FEMALE})\.?[ \u00a0]"
+_NAMED = r"\p{Lu}[\p{L}'’-]++(?:[ \u00a0]\p{Lu}[\p{L}'’-]++){0,2}"
 _BYTE = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 PATTERN = "|".join(
     (
@@ -59,18 +60,25 @@ def kind(value: Column) -> Column:
     )
 
 
+def let(value: Column, then) -> Column:
+    """``then`` of a value that is worked out once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
 def canonical(value: Column) -> Column:
     """What all spellings of an entity share, after its kind."""
-    of = kind(value)
+    return let(F.struct(value.alias("v"), kind(value).alias("of")), lambda e: F.concat(e["of"], F.lit(":"), _core(e["v"], e["of"])))
+
+
+def _core(value: Column, of: Column) -> Column:
     gender = F.when(value.rlike(rf"^(?:{_FEMALE})(?!\p{{L}})"), "f").otherwise("m")
-    core = (
+    return (
         F.when(of == "email", F.lower(value))
         .when(of == "name", F.concat(gender, F.lit(" "), F.lower(F.regexp_replace(value, rf"^{_ADDRESS}", ""))))
         .when(of == "ip", value)
         .when(of == "iban", F.regexp_replace(value, " ", ""))
         .otherwise(F.regexp_replace(value, r"\D", ""))
     )
-    return F.concat(of, F.lit(":"), core)
 
 
 def _hash(key: str, what: Column, length: Column) -> Column:
@@ -128,39 +136,70 @@ def _name(value: Column, hexes: Column) -> Column:
         drawn = F.when(w.rlike(r"\p{IsCyrillic}"), made("cyrillic", i)).when(w.rlike(r"\p{IsGreek}"), made("greek", i)).otherwise(made("latin", i))
         return F.when(F.upper(w) == w, F.upper(drawn)).otherwise(drawn)
 
-    words = F.split(F.substring(value, F.length(address) + 1, F.length(value)), r"[  ]")
+    words = F.split(F.substring(value, F.length(address) + 1, F.length(value)), r"[ \u00a0]")
     return F.concat(address, F.array_join(F.transform(words, word), " "))
 
 
+def _email(value: Column, hexes: Column, key: str) -> Column:
+    def made(domain: Column) -> Column:
+        host, last = F.regexp_replace(domain, r"[^.]+$", ""), F.substring_index(domain, ".", -1)
+        local = F.substring(value, 1, F.length(value) - F.length(domain) - 1)
+        return F.concat(_reshaped(local, hexes), F.lit("@"), let(_hash(key, F.lower(domain), F.length(domain)), lambda h: _reshaped(host, h)), last)
+
+    return let(F.substring_index(value, "@", -1), made)
+
+
+def _ip(hexes: Column) -> Column:
+    part = lambda i, most: (F.pmod(F.conv(F.substring(hexes, 4 * i + 1, 4), 16, 10).cast("int"), F.lit(most)) + 1).cast("string")
+    return F.concat_ws(".", part(0, 223), part(1, 254), part(2, 254), part(3, 254))
+
+
+def _placed(value: Column, signs: Column, keep: str) -> Column:
+    """``signs``, one by one, in the places of ``value`` that match ``keep``."""
+    gaps = F.split(value, keep, -1)
+    return F.array_join(F.zip_with(gaps, F.transform(F.sequence(F.lit(1), F.size(gaps)), lambda i: F.substring(signs, i, 1)), lambda a, b: F.concat(a, b)), "")
+
+
+def _number(value: Column, hexes: Column, of: Column) -> Column:
+    """Digits are drawn by their place among the digits, so that separators don't matter."""
+
+    def changed(e: Column) -> Column:
+        digits, lead = e["digits"], e["lead"]
+        fresh = F.concat(F.substring(digits, 1, lead), F.substring(F.translate(hexes, "abcdef", "135792"), 1, F.length(digits) - lead))
+        body = F.substring(fresh, 1, F.length(digits) - 1)
+        checked = let(body, lambda b: F.concat(b, F.pmod(_luhn(digits) - _luhn(F.concat(b, F.lit("0"))), F.lit(10)).cast("string")))
+        return F.when(of == "card", checked).otherwise(fresh)
+
+    country = F.regexp_replace(F.regexp_extract(value, r"^\+\d{1,3}(?=\D)|^\+\d", 0), r"\D", "")
+    parts = F.struct(F.regexp_replace(value, r"\D", "").alias("digits"), F.length(country).alias("lead"))
+    return let(let(parts, changed), lambda c: _placed(value, c, r"\d"))
+
+
+def _iban(value: Column, hexes: Column) -> Column:
+    def made(account: Column) -> Column:
+        rest = _reshaped(F.substring(account, 3, F.length(account)), hexes)
+        return let(F.concat(F.substring(account, 1, 2), rest), lambda a: _placed(value, a, "[^ ]"))
+
+    return let(F.regexp_replace(value, " ", ""), made)
+
+
 def surrogate(value: Column, draw: Column, key: str) -> Column:
     """The replacement of an entity as it is spelled, in the given draw."""
-    of, known = kind(value), canonical(value)
-    drawn = F.concat_ws("\u0001", known, draw.cast("string"))
-    hexes = _hash(key, drawn, F.length(value))
-    domain = F.substring_index(value, "@", -1)
-    host, last = F.regexp_replace(domain, r"[^.]+$", ""), F.substring_index(domain, ".", -1)
-    local = F.substring(value, 1, F.length(value) - F.length(domain) - 1)
-    email = F.concat(_reshaped(local, hexes), F.lit("@"), _reshaped(host, _hash(key, F.lower(domain), F.length(domain))), last)
-    part = lambda i, most: (F.pmod(F.conv(F.substring(hexes, 4 * i + 1, 4), 16, 10).cast("int"), F.lit(most)) + 1).cast("string")
-    ip = F.concat_ws(".", part(0, 223), part(1, 254), part(2, 254), part(3, 254))
-    country = F.regexp_extract(value, r"^\+\d{1,3}(?=\D)|^\+\d", 0)
-    # digits are drawn by their place among the digits, so that separators don't matter
-    digits = F.regexp_replace(value, r"\D", "")
-    fresh = F.translate(hexes, "abcdef", "135792")
-    lead = F.length(F.regexp_replace(country, r"\D", ""))
-    changed = F.concat(F.substring(digits, 1, 30).substr(F.lit(1), lead), fresh.substr(F.lit(1), F.length(digits) - lead))
-    body = changed.substr(F.lit(1), F.length(digits) - 1)
-    check = F.pmod(_luhn(digits) - _luhn(F.concat(body, F.lit("0"))), F.lit(10)).cast("string")
-    changed = F.when(of == "card", F.concat(body, check)).otherwise(changed)
-    gaps = F.split(value, r"\d", -1)
-    spelled = F.array_join(F.zip_with(gaps, F.transform(F.sequence(F.lit(1), F.size(gaps)), lambda i: F.substring(changed, i, 1)), lambda a, b: F.concat(a, b)), "")
-    squeezed = F.regexp_replace(value, " ", "")
-    account = F.concat(F.substring(squeezed, 1, 2), _reshaped(squeezed.substr(F.lit(3), F.length(squeezed)), hexes))
-    spaces = F.split(value, "[^ ]", -1)
-    iban = F.array_join(F.zip_with(spaces, F.transform(F.sequence(F.lit(1), F.size(spaces)), lambda i: F.substring(account, i, 1)), lambda a, b: F.concat(a, b)), "")
-    made = F.when(of == "email", email).when(of == "name", _name(value, hexes)).when(of == "ip", ip).when(of == "iban", iban).otherwise(spelled)
-    label = F.concat(F.lit("["), F.upper(of), F.lit("-"), F.substring(hexes, 1, 24), F.lit("]"))
-    return F.when(draw >= DRAWS, label).otherwise(made)
+
+    def made(e: Column) -> Column:
+        v, of, hexes = e["v"], e["of"], e["hexes"]
+        label = F.concat(F.lit("["), F.upper(of), F.lit("-"), F.substring(hexes, 1, 24), F.lit("]"))
+        return (
+            F.when(e["draw"] >= DRAWS, label).when(of == "email", _email(v, hexes, key)).when(of == "name", _name(v, hexes))
+            .when(of == "ip", _ip(hexes)).when(of == "iban", _iban(v, hexes)).otherwise(_number(v, hexes, of))
+        )
+
+    def drawn(e: Column) -> Column:
+        what = F.concat(e["of"], F.lit(":"), _core(e["v"], e["of"]), F.lit("\u0001"), e["draw"].cast("string"))
+        return F.struct(e["v"].alias("v"), e["of"].alias("of"), e["draw"].alias("draw"), _hash(key, what, F.length(e["v"])).alias("hexes"))
+
+    given = F.struct(value.alias("v"), kind(value).alias("of"), draw.alias("draw"))
+    return let(let(given, drawn), made)
 
 
 def entities(text: Column) -> Column:
@@ -173,7 +212,7 @@ def redraws(known: DataFrame, key: str) -> DataFrame:
     """(canonical, draw) of the entities of ``known`` (canonical, value: one spelling) whose first draw will not do."""
     waiting, taken, again, draw = known, known.select(F.col("canonical").alias("used")), None, 0
     while True:
-        tried = waiting.withColumn("made", canonical(surrogate(F.col("value"), F.lit(draw), key)))
+        tried = written(waiting.withColumn("made", let(surrogate(F.col("value"), F.lit(draw), key), canonical)), "tried")
         free = written(tried.join(taken, F.col("made") == F.col("used"), "left_anti"), "free")
         one = Window.partitionBy("made").orderBy("canonical")
         won = written(free.withColumn("nth", F.row_number().over(one)).filter("nth = 1").select("canonical", "made"), "won")
