@@ -73,9 +73,22 @@ def test_hash_ignores_key_order_and_space(spark):
     assert value(spark, content_hash(F.lit(None).cast("string"))) is None
 
 
-def test_hash_of_a_page_beyond_the_variant_limit(spark):
-    big = F.concat(F.lit('["'), F.repeat(F.lit("abcdefghij"), 2_000_000), F.lit('"]'))
-    assert value(spark, content_hash(big)) is not None
+def test_one_hash_rule_for_all_sizes(spark):
+    for size in (10, 14_000_000):  # eight items of the larger size are beyond what a VARIANT value can hold
+        text = F.repeat(F.lit("x"), size)
+        one = F.concat(F.lit('{"k":"'), text, F.lit('","l":1}'))
+        turned = F.concat(F.lit('{"l": 1, "k": "'), text, F.lit('"}'))
+        many = lambda item: F.array_join(F.array_repeat(item, 8), ",")
+        page = F.concat(F.lit('{"v":1,"data":{"t":2,"items":['), many(one), F.lit("]}}"))
+        same = F.concat(F.lit('{"data": {"items": ['), many(turned), F.lit('], "t": 2}, "v": 1}'))
+        other = F.concat(F.lit('{"data": {"items": ['), many(turned), F.lit('], "t": 3}, "v": 1}'))
+        got = spark.range(1).select(content_hash(page).alias("a"), content_hash(same).alias("b"), content_hash(other).alias("c")).first()
+        assert got.a == got.b != got.c
+
+
+def test_hash_tells_texts_from_numbers(spark):
+    bodies = ('{"a":1}', '{"a":"1"}', '{"a":null}', '{"a":[1]}', '{"a":["1"]}', '[1]', '["1"]', "1", '{"a":{"b":1}}', '{"a":{"b":"1"}}')
+    assert len({value(spark, content_hash(F.lit(b))) for b in bodies}) == len(bodies)
 
 
 def test_next_link(spark):

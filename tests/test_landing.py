@@ -44,6 +44,22 @@ def test_new_pages_follow_the_stored_ones(spark):
 def test_a_missing_hash_equals_nothing(spark):
     new = arrivals(spark, ("E", A, 0), ("E", A, 1)).withColumn("md5_hash", F.lit(None).cast("string"))
     assert rows(keep_if_changed(new), "filename") == [("f0",), ("f1",)]
+    assert rows(keep_if_unseen(new, new), "filename") == [("f0",), ("f1",)]
+
+
+def test_one_name_may_hold_several_pages(spark):
+    new = arrivals(spark, ("E", A, 0), ("E", A2, 0), ("E", B, 0)).withColumn("filename", F.lit("same"))
+    for keep in (keep_if_changed, keep_if_unseen):
+        assert sorted(json.loads(r.content)["x"] for r in keep(new).collect()) == [1, 2]
+    again = arrivals(spark, ("E", A, 0), ("E", B, 1), ("E", A, 2)).withColumn("filename", F.lit("same"))
+    assert keep_if_changed(again).count() == 3 and keep_if_unseen(again).count() == 2
+
+
+def test_unknown_tables_are_kept(spark):
+    new = arrivals(spark, ("E", A, 0), (None, A, 1), (None, A2, 2), (None, B, 3))
+    assert rows(keep_if_unseen(new), "filename") == [("f0",), ("f1",), ("f3",)]
+    assert rows(keep_if_changed(new), "filename") == [("f0",), ("f1",), ("f3",)]
+    assert rows(keep_if_unseen(new, new.where("endpoint IS NULL")), "filename") == [("f0",)]
 
 
 def test_empty_payloads(spark):
@@ -123,6 +139,14 @@ def test_stream_takes_up_new_files_once(spark, tmp_path):
     assert rows(batch, "filename") == got
 
 
+def test_files_of_unknown_name_are_kept_aside(spark, tmp_path):
+    landing, bronze = tmp_path / "in", str(tmp_path / "bronze")
+    land(landing, **{"nobody_knows": '{"a":1}', "poppy_trips_2024-04-15_p1": '[{"trip_id":"t"}]', "voi_trips_2024-04-15T10_p1": '{"data":{"trips":[]}}'})
+    take_up(spark, str(landing), bronze, str(tmp_path / "state")).awaitTermination()
+    assert rows(read_bronze(spark, bronze), "provider", "endpoint", "page_no") == [("POPPY", "TRIPS", 1)]
+    assert rows(spark.read.parquet(f"{bronze}_unknown"), "filename", "content") == [("nobody_knows.json", '{"a":1}')]
+
+
 def test_merged_hours_round_trip(spark, tmp_path):
     pages = spark.createDataFrame(
         [("DOTT", "TELEMETRY", '{"telemetry":[{"a":1},{"a":2}]}', 1, "2024-04-15 10:20:00"), ("DOTT", "TELEMETRY", '{"telemetry":[{"a":3}]}', 2, "2024-04-15 10:00:00"),

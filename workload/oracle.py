@@ -500,3 +500,39 @@ FROM (SELECT *, NULL AS h FROM orders UNION ALL SELECT *, md5(o_orderpriority ||
 SQL["hourly_files"] = with_frames("""
 SELECT strftime(reported_at, '%Y-%m-%dT%H') AS hour, device_id AS item, count(*) AS n_pings
 FROM reports WHERE provider_name = 'Dott' GROUP BY ALL""", "reports")
+
+# Stored tables: landing, bronze, publication
+
+SQL["landing_envelope"] = with_frames("""
+SELECT trip_id,
+       CASE form WHEN 0 THEN 'POPPY' WHEN 1 THEN 'POPPY' WHEN 3 THEN 'DOTT' WHEN 4 THEN 'BOLT' ELSE 'VOI' END AS provider,
+       CASE form WHEN 0 THEN 'TRIPS' WHEN 1 THEN 'TRIPS' WHEN 2 THEN 'VEHICLES_STATUS' WHEN 3 THEN 'TELEMETRY' WHEN 4 THEN 'EVENTS' END AS endpoint,
+       CASE form WHEN 0 THEN 'poppy_trips_' || strftime(end_ts, '%Y-%m-%d') || n WHEN 1 THEN 'poppy_trips_brussels_' || strftime(end_ts, '%Y%m%d') || n
+            WHEN 2 THEN 'voi_vehicles_status_' || hour || n WHEN 3 THEN 'telemetry_' || hour || '.json'
+            WHEN 4 THEN 'bolt_events_historical_' || hour || n ELSE 'voi_unheard_of_' || hour || n END AS filename,
+       CASE WHEN form < 2 THEN CAST(date_trunc('day', end_ts) AS TIMESTAMP) ELSE date_trunc('hour', end_ts) END AS file_ts,
+       CASE WHEN form = 3 THEN '{"telemetry":[{"trip_id":"' || trip_id || '"}]}' ELSE '[{"trip_id":"' || trip_id || '"}]' END AS content
+FROM (SELECT *, trip_no % 6 AS form, strftime(end_ts, '%Y-%m-%dT%H') AS hour, '_p' || (duration + 1) || '.json' AS n FROM trips)""", "trips")
+SQL["page_hash_same_name"] = with_frames("SELECT upper(provider_name) AS provider, reported_at AS load_ts, event_id FROM reports", "reports")
+SQL["page_hash_unknown_table"] = with_frames("""
+SELECT kind, upper(provider_name) AS provider, CASE WHEN event_id % 2 = 0 THEN 'EVENTS' END AS endpoint, count(*) AS n_pages
+FROM reports, (VALUES ('changed'), ('unseen')) AS k(kind) GROUP BY ALL""", "reports")
+SQL["route_rejects"] = with_frames("""
+SELECT trip_id, CASE WHEN trip_no % 3 <> 1 THEN 2::BIGINT END AS n_points, trip_no % 3 = 1 AS rejected FROM trips WHERE end_lat IS NOT NULL""", "trips")
+SQL["refresh_late_pages"] = with_frames(f"""
+SELECT device_id, reported_at, event_type, count(*) AS n_reports FROM reports WHERE provider_name = 'Voi' AND NOT {SNAPSHOT} GROUP BY ALL""", "reports")
+SQL["publish_round_trip"] = with_frames("""
+SELECT trip_id, device_id, start_ts FROM trip_copies
+QUALIFY row_number() OVER (PARTITION BY trip_id ORDER BY start_ts DESC NULLS FIRST) = 1""", "trip_copies")
+SQL["bronze_views"] = with_frames("""
+SELECT DISTINCT lower(provider_name) AS provider, device_id, vehicle_id FROM registry WHERE provider_name <> 'Poppy'""", "registry")
+SQL["bronze_gaps"] = with_frames(f"""
+SELECT provider, endpoint, slot FROM {CATALOGUE},
+     (SELECT unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS slot FROM {SPAN}) WHERE cadence = 'hourly'
+EXCEPT
+SELECT lower(provider_name), CASE WHEN provider_name = 'Dott' THEN 'events' ELSE 'events/historical' END, reported_at FROM reports""", "reports")
+SQL["bronze_page_gaps"] = SQL["page_gaps_by_run"]
+SQL["hour_files_back"] = with_frames("""
+SELECT device_id, trip_id, ping_ms, count(*) AS n_pings FROM pings WHERE provider_name = 'Dott' AND l_returnflag <> 'R' GROUP BY ALL""", "pings")
+SQL["seed_files"] = with_frames("""
+SELECT provider_name, trip_id AS "TRIP_ID", vehicle_id AS "VEHICLE_ID", vehicle_type AS "VEHICLE_TYPE" FROM seeds WHERE provider_name <> 'Poppy'""", "seeds")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kerbside import configure
-from kerbside.catalogue import with_endpoints
+from kerbside.catalogue import endpoint_catalogue, with_endpoints
 from kerbside.functions.clock import request_window
 from kerbside.functions.labels import battery_percent
 from kerbside.functions.lines import from_geojson, point, to_geojson
@@ -19,18 +19,23 @@ from kerbside.functions.pages import content_hash, unreadable_pages
 from kerbside.operators.enrich import (
     only_ids, patch_lost_vehicles, squash_registry, unpivot_trips, with_registry, with_type_lookup,
 )
-from kerbside.operators.gaps import expected_grid, landing_gaps, page_gaps
+from kerbside.operators.gaps import expected_grid, landed_hours, landing_gaps, page_gaps
 from kerbside.operators.latest import best_report, latest_per_key
 from kerbside.operators.page_dedupe import drop_empty, keep_if_changed, keep_if_unseen, last_hashes
 from kerbside.operators.quality import Check, duplicates, run_checks
-from kerbside.operators.routes import attach_routes, line_agg, trip_lines
+from kerbside.operators.routes import attach_routes, line_agg, rejected_routes, trip_lines
 from kerbside.operators.timeline import change_points, validity_intervals
-from kerbside.operators.upsert import incremental_slice, late_rows, upsert
+from kerbside.operators.upsert import incremental_slice, key_bucket, late_rows, publish, read_mart, upsert
 from kerbside.plans import silver, status, trips
-from kerbside.plans.feeds import poppy_bikes
-from kerbside.sources.files import import_dump, read_table
-from kerbside.sources.landing import merged_items, page_filename, parse_names, wrap_telemetry, write_hours
+from kerbside.plans.build import refresh_reports
+from kerbside.plans.feeds import dott_pings, poppy_bikes
+from kerbside.sources.bronze import append_pages, read_bronze
+from kerbside.sources.files import import_dump, read_seed, read_table
+from kerbside.sources.landing import (
+    hour_pages, merged_items, page_filename, parse_names, read_hours, to_envelope, wrap_telemetry, write_hours,
+)
 from workload import frames, pages
+from workload.pages import LOADED
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -569,3 +574,170 @@ def hourly_files(spark, sf_dir):
     write_hours(items, folder)
     back = spark.read.schema("provider string, item string, hour string").json(folder)
     return back.groupBy("hour", "item").agg(F.count("*").alias("n_pings"))
+
+
+# Stored tables: landing, bronze, publication
+
+
+def _report_pages(spark, sf_dir) -> DataFrame:
+    """One event page per report of every provider, landed at the instant it was seen."""
+    rows = frames.reports(spark, sf_dir)
+    content = F.to_json(F.struct(F.array(F.struct("device_id", "event_id")).alias("events")))
+    return rows.select(
+        F.upper("provider_name").alias("provider"), F.lit("EVENTS").alias("endpoint"), content.alias("content"),
+        F.lit("same_name.json").alias("filename"), F.col("reported_at").alias("file_ts"), content_hash(content).alias("md5_hash"),
+        F.col("reported_at").alias("load_ts"), "event_id",
+    )
+
+
+def _trip_number() -> Column:
+    return F.regexp_extract("trip_id", r"\d+", 0).cast("bigint")
+
+
+@query
+def landing_envelope(spark, sf_dir):
+    """Trips as page files under every form of name that lands; names of no endpoint keep their file time alone."""
+    rows = frames.trips(spark, sf_dir)
+    day, hour = F.date_format("end_ts", "yyyy-MM-dd"), F.date_format("end_ts", "yyyy-MM-dd'T'HH")
+    number = (F.col("duration") + 1).cast("string")
+    form = _trip_number() % 6
+    name = (
+        F.when(form == 0, F.concat(F.lit("poppy_trips_"), day, F.lit("_p"), number, F.lit(".json")))
+        .when(form == 1, F.concat(F.lit("poppy_trips_brussels_"), F.date_format("end_ts", "yyyyMMdd"), F.lit("_p"), number, F.lit(".json")))
+        .when(form == 2, F.concat(F.lit("voi_vehicles_status_"), hour, F.lit("_p"), number, F.lit(".json")))
+        .when(form == 3, F.concat(F.lit("telemetry_"), hour, F.lit(".json")))
+        .when(form == 4, F.concat(F.lit("bolt_events_historical_"), hour, F.lit("_p"), number, F.lit(".json")))
+        .otherwise(F.concat(F.lit("voi_unheard_of_"), hour, F.lit("_p"), number, F.lit(".json")))
+    )
+    files = rows.select("trip_id", name.alias("filename"), F.to_json(F.array(F.struct("trip_id"))).alias("content"))
+    return to_envelope(files).select("trip_id", "provider", "endpoint", "filename", "file_ts", "content")
+
+
+@query
+def page_hash_same_name(spark, sf_dir):
+    """Every page lands twice under one name that all pages share: one of each body and instant stays."""
+    landed = _report_pages(spark, sf_dir)
+    kept = keep_if_unseen(landed.unionByName(landed).drop("event_id"))
+    return kept.select("provider", "load_ts", F.get_json_object("content", "$.events[0].event_id").cast("bigint").alias("event_id"))
+
+
+@query
+def page_hash_unknown_table(spark, sf_dir):
+    """Pages without an endpoint are a raw table like any other, in both filters."""
+    landed = _report_pages(spark, sf_dir).withColumn("endpoint", F.when(F.col("event_id") % 2 == 0, F.col("endpoint")))
+    kept = [
+        f(landed, order=("load_ts", "event_id"), page_key=("provider", "endpoint", "event_id")).select(F.lit(name).alias("kind"), "provider", "endpoint")
+        for name, f in (("changed", keep_if_changed), ("unseen", keep_if_unseen))
+    ]
+    return kept[0].unionByName(kept[1]).groupBy("kind", "provider", "endpoint").agg(F.count("*").alias("n_pages"))
+
+
+@query
+def route_rejects(spark, sf_dir):
+    """Routes of Voi trips, a third of them delivered as several lines, which is no route, and a third not delivered."""
+    rows = frames.trips(spark, sf_dir).where(F.col("end_lat").isNotNull())
+    line = F.to_json(F.struct(F.lit("LineString").alias("type"), F.array(F.array("start_lon", "start_lat"), F.array("end_lon", "end_lat")).alias("coordinates")))
+    many = F.concat(F.lit('{"type":"MultiLineString","coordinates":[['), F.get_json_object(line, "$.coordinates"), F.lit("]]}"))
+    kind = _trip_number() % 3
+    given = rows.withColumns({"provider_name": F.lit("Voi"), "route_json": F.when(kind == 0, line).when(kind == 1, many)})
+    lines = trip_lines(frames.pings(spark, sf_dir).where("false"))
+    routed = attach_routes(given, lines).select("trip_id", F.size("route").alias("n"))
+    rejected = rejected_routes(given).select("trip_id", F.lit(True).alias("rejected"))
+    return routed.join(rejected, "trip_id", "left").select(
+        "trip_id", F.when(F.col("n") > 0, F.col("n")).alias("n_points"), F.coalesce("rejected", F.lit(False)).alias("rejected")
+    )
+
+
+@query
+def refresh_late_pages(spark, sf_dir):
+    """Parsed reports after two refreshes: pages of one load date come only after a later date was refreshed."""
+    folder = _shared_folder(spark, "refresh")
+    bronze = f"{folder}/bronze"
+    rows = pages.mds_events(spark, sf_dir, "VOI", False)
+    number = F.regexp_extract("filename", r"_p(\d+)", 1).cast("int")
+    day = F.when(number % 3 == 1, F.lit("2024-02-02")).when(number % 3 == 2, F.lit("2024-02-04")).otherwise(F.lit("2024-02-01"))
+    dated = rows.withColumn("load_ts", day.cast("timestamp"))
+    append_pages(dated.where(number % 3 != 1), bronze)
+    refresh_reports(spark, read_bronze(spark, bronze), f"{folder}/store")
+    append_pages(dated.where(number % 3 == 1), bronze)
+    parsed = refresh_reports(spark, read_bronze(spark, bronze), f"{folder}/store")
+    return parsed.groupBy("device_id", "reported_at", "event_type").agg(F.count("*").alias("n_reports"))
+
+
+@query
+def publish_round_trip(spark, sf_dir):
+    """A mart published from one half of the trips, then upserted with copies and the other half, checks included."""
+    folder = _shared_folder(spark, "publish")
+    rows = latest_per_key(
+        frames.trip_copies(spark, sf_dir), ["trip_id"], "start_ts", ties=["load_ts", "provider_name", "device_id"]
+    ).select("trip_id", "device_id", "start_ts")
+    bucket = key_bucket(F.col("trip_id"), 8)
+    checks = [Check("trip_id", "unique"), Check("trip_id", "not_null")]
+    old = frames.trips(spark, sf_dir).where(_trip_number() % 2 == 0).select("trip_id", "device_id", "start_ts")
+    publish(spark, old, f"{folder}/mart", f"{folder}/one", "trip_id", "bucket", bucket, checks)
+    publish(spark, rows, f"{folder}/mart", f"{folder}/two", "trip_id", "bucket", bucket, checks)
+    return read_mart(spark, f"{folder}/mart").select("trip_id", "device_id", "start_ts")
+
+
+def _stored_bronze(spark, sf_dir, *names) -> DataFrame:
+    path = _shared_folder(spark, "bronze")
+    append_pages(pages.bronze_table(spark, sf_dir, *names), path)
+    return read_bronze(spark, path)
+
+
+@query
+def bronze_views(spark, sf_dir):
+    """Registry views registered over a stored, partitioned bronze table and read through SQL."""
+    silver.register_views(spark, _stored_bronze(spark, sf_dir, "VOI_VEHICLES", "DOTT_VEHICLES", "BOLT_VEHICLES"))
+    parts = [f"SELECT '{p}' AS provider, device_id, vehicle_id FROM stg_{p}_vehicles" for p in ("voi", "dott", "bolt")]
+    return spark.sql(" UNION ALL ".join(parts))
+
+
+@query
+def bronze_gaps(spark, sf_dir):
+    """Hours of the hourly endpoints for which bronze has no page, in the names of the catalogue."""
+    landed = landed_hours(_report_pages(spark, sf_dir), endpoint_catalogue(spark).select("provider", "endpoint", "table_suffix"))
+    span = frames.reports(spark, sf_dir).agg(F.min("reported_at").alias("start"), F.max("reported_at").alias("end"))
+    wanted = with_endpoints(span).where("cadence = 'hourly'")
+    return landing_gaps(expected_grid(wanted, F.col("start"), F.col("end"), inclusive=True), landed).select("provider", "endpoint", "slot")
+
+
+@query
+def bronze_page_gaps(spark, sf_dir):
+    """Pages that stored pages announce and that are not stored: line items as pages of their order's hour."""
+    folder = _shared_folder(spark, "paged")
+    link = F.when(F.col("l_linenumber") < 7, F.lit("https://example.org/next"))
+    landed = frames.table(spark, sf_dir, "lineitem").select(
+        F.lit("VOI").alias("provider"), F.lit("TRIPS").alias("endpoint"),
+        F.to_json(F.struct(F.struct(link.alias("next")).alias("links"))).alias("content"), F.lit("f").alias("filename"),
+        F.lit(LOADED).cast("timestamp").alias("file_ts"), F.lit(LOADED).cast("timestamp").alias("load_ts"),
+        F.col("l_linenumber").cast("int").alias("page_no"), F.timestamp_seconds(F.col("l_orderkey") * 3600).alias("page_time"),
+    )
+    append_pages(landed, folder)
+    found = page_gaps(read_bronze(spark, folder))
+    return found.select((F.unix_seconds("page_time") / 3600).cast("bigint").alias("run"), "missing_page")
+
+
+@query
+def hour_files_back(spark, sf_dir):
+    """Telemetry pages merged by hour, written, read again, turned into pages and parsed by the view of the feed."""
+    folder = _shared_folder(spark, "hours")
+    landed = pages.dott_telemetry(spark, sf_dir).withColumns({"page_no": F.lit(1), "page_time": F.col("file_ts")})
+    numbered = merged_items(landed).withColumn("pos", F.pmod(F.xxhash64("item"), F.lit(100_000)).cast("int"))
+    write_hours(numbered, f"{folder}/hours")
+    append_pages(hour_pages(read_hours(spark, f"{folder}/hours")), f"{folder}/bronze")
+    pings = dott_pings(read_bronze(spark, f"{folder}/bronze"))
+    return pings.groupBy("device_id", "trip_id", "ping_ms").agg(F.count("*").alias("n_pings"))
+
+
+@query
+def seed_files(spark, sf_dir):
+    """Correction lists written as CSV, one per provider, and read back."""
+    folder = _shared_folder(spark, "seeds")
+    rows = frames.seeds(spark, sf_dir)
+    lists = []
+    for provider in ("Voi", "Dott", "Bolt"):
+        mine = rows.where(F.col("provider_name") == provider).select("TRIP_ID", "VEHICLE_ID", "VEHICLE_TYPE")
+        mine.write.option("header", True).csv(f"{folder}/{provider}")
+        lists.append(read_seed(spark, f"{folder}/{provider}", provider))
+    return lists[0].unionByName(lists[1]).unionByName(lists[2])
