@@ -93,6 +93,11 @@ def unreadable_pages(pages: DataFrame, paths: Sequence[str], keep: Sequence[str]
     return pages.where(F.col("content").isNotNull() & missing).select(*keep)
 
 
+def unreadable_items(pages: DataFrame, paths: Sequence[str], schema: str, keep: Sequence[str] = ("filename",)) -> DataFrame:
+    """Elements that hold none of the fields of ``schema``, as text: they give a row of NULLs or none at all."""
+    return explode_items(pages, paths, keep).where(F.coalesce(F.to_json(F.from_json("item", schema)), F.lit("{}")) == "{}")
+
+
 def first_item(items: Column) -> Column:
     """First element, NULL for an empty or missing array."""
     return F.get(items, F.lit(0))

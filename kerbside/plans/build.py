@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kerbside.operators.quality import SEED_CHECKS, STATUS_CHECKS, TRIPS_CHECKS, require
 from kerbside.operators.upsert import DAY_LOOKBACK, exists, in_values, key_bucket, key_date, late_rows, publish, read_mart
+from kerbside.plans.quarantine import quarantine
 from kerbside.plans.silver import register_views
 from kerbside.plans.status import page_reports, union_reports, vehicles_status
 from kerbside.plans.trips import all_trips
@@ -69,12 +70,13 @@ def build_status(spark: SparkSession, bronze: Bronze, mart: str, staging: str, l
 
 def build_all(spark: SparkSession, bronze_path: str, gold_path: str, staging: str, seeds: DataFrame | None = None,
               strict: bool = True) -> None:
-    """Silver views, then both marts. ``staging`` is a new folder for each run."""
+    """Silver views, both marts and the quarantine report. ``staging`` is a new folder for each run."""
     bronze = read_bronze(spark, bronze_path)
     register_views(spark, bronze, strict)
     build_trips(spark, bronze, f"{gold_path}/fct_all_trips", f"{staging}/trips", seeds, strict)
     build_status(
         spark, bronze, f"{gold_path}/fct_vehicles_status", f"{staging}/status", strict=strict, reports=f"{gold_path}/parsed_reports"
     )
+    quarantine(bronze).write.mode("overwrite").parquet(f"{gold_path}/quarantine")
     for name in ("fct_all_trips", "fct_vehicles_status"):
         read_mart(spark, f"{gold_path}/{name}").createOrReplaceTempView(name)

@@ -140,8 +140,8 @@ def poppy_vehicles_status(bronze: Bronze, strict: bool = True) -> DataFrame:
 
 
 def dott_telemetry(bronze: Bronze, strict: bool = True) -> DataFrame:
-    """One line per trip that Dott pings name."""
-    return line_agg(feeds.dott_pings(bronze, strict), ["trip_id"], into="telemetry_route_geom")
+    """One line per trip that Dott pings name; pings whose first trip is null belong to none."""
+    return line_agg(feeds.dott_pings(bronze, strict).where(F.col("trip_id").isNotNull()), ["trip_id"], into="telemetry_route_geom")
 
 
 def bolt_telemetry(bronze: Bronze, strict: bool = True) -> DataFrame:

@@ -338,9 +338,12 @@ SQL["silver_dott_telemetry"] = with_frames(
         f"(SELECT *, row_number() OVER (PARTITION BY trip_id ORDER BY ping_ms, lon, lat) - 1 AS seq FROM placed WHERE {IN_DOTT})", "trip_id"
     )).format(whole=f"(SELECT DISTINCT trip_id FROM pings WHERE {IN_DOTT})", points=f"(SELECT trip_id FROM placed WHERE {IN_DOTT})"), "placed")
 
-SQL["page_quarantine"] = with_frames("""
-SELECT 'pages of the wrong kind' AS kind, 1::BIGINT AS found UNION ALL SELECT 'pages of the right kind', 0
-UNION ALL SELECT 'elements in quarantine', count(*) FROM registry WHERE provider_name = 'Voi'""", "registry")
+SQL["page_quarantine"] = with_frames("SELECT provider_name, event_id FROM reports WHERE event_id % 3 = 0", "reports")
+SQL["quarantine_counts"] = with_frames("""
+SELECT CASE event_id % 5 WHEN 0 THEN 'page' ELSE 'item' END AS kind, 'VOI' AS provider, 'EVENTS' AS endpoint, count(*) AS found
+FROM reports WHERE event_id % 5 < 3 GROUP BY ALL
+UNION ALL
+SELECT 'route', 'DOTT', 'TRIPS', count(*) FROM trips WHERE trip_no % 6 = 0""", "reports", "trips")
 
 # Marts
 

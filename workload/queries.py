@@ -28,6 +28,7 @@ from kerbside.operators.timeline import change_points, validity_intervals
 from kerbside.operators.upsert import incremental_slice, key_bucket, late_rows, publish, read_mart, upsert
 from kerbside.plans import silver, status, trips
 from kerbside.plans.build import refresh_reports
+from kerbside.plans.quarantine import quarantine
 from kerbside.plans.feeds import dott_pings, poppy_bikes
 from kerbside.sources.bronze import append_pages, read_bronze
 from kerbside.sources.files import import_dump, read_seed, read_table
@@ -96,6 +97,10 @@ def _written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _trip_number() -> Column:
+    return F.regexp_extract("trip_id", r"\d+", 0).cast("bigint")
+
+
 def _typed_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frames.reports(spark, sf_dir).withColumn("vehicle_type", F.lit("scooter"))
 
@@ -363,17 +368,35 @@ def poppy_latest_snapshot(spark, sf_dir):
 
 @query
 def page_quarantine(spark, sf_dir):
-    """Pages without an item array, counted by kind: events read as Voi events, vehicles as events."""
-    good = pages.mds_events(spark, sf_dir, "VOI", False)
-    wrong = pages.vehicles(spark, sf_dir, "VOI").dropDuplicates(["filename"])
-    n_wrong = unreadable_pages(wrong, ("data.events", "events"), ("filename",)).agg(F.count("*").alias("n"))
-    n_good = unreadable_pages(good, ("data.events", "events"), ("filename",)).agg(F.count("*").alias("n"))
-    n_elements = wrong.select(F.explode(F.from_json("content", "struct<vehicles:array<string>>")["vehicles"])).agg(F.count("*").alias("n"))
-    return (
-        n_wrong.select(F.lit("pages of the wrong kind").alias("kind"), (F.col("n") > 0).cast("bigint").alias("found"))
-        .unionByName(n_good.select(F.lit("pages of the right kind").alias("kind"), (F.col("n") > 0).cast("bigint").alias("found")))
-        .unionByName(n_elements.select(F.lit("elements in quarantine").alias("kind"), F.col("n").alias("found")))
+    """Reports without an item array under the paths of Voi events, one page per report."""
+    rows = frames.reports(spark, sf_dir)
+    event = F.array(F.struct("device_id"))
+    body = (
+        F.when(F.col("event_id") % 3 == 0, F.to_json(F.struct(event.alias("vehicles"))))
+        .when(F.col("event_id") % 3 == 1, F.to_json(F.struct(F.struct(event.alias("events")).alias("data"))))
+        .otherwise(F.to_json(F.struct(event.alias("events"))))
     )
+    landed = rows.select(F.col("provider_name"), "event_id", body.alias("content"))
+    return unreadable_pages(landed, ("data.events", "events"), ("provider_name", "event_id"))
+
+
+@query
+def quarantine_counts(spark, sf_dir):
+    """Pages, items and routes that the feeds leave out, by kind and raw table."""
+    name = F.lit("f").alias("filename")
+    report, trip = F.struct("device_id", F.array("event_type").alias("event_types")), F.col("event_id") % 5
+    events = frames.reports(spark, sf_dir).select(
+        name,
+        F.when(trip == 0, F.to_json(F.struct(F.array(report).alias("vehicles"))))
+        .when(trip == 1, F.to_json(F.struct(F.array(F.col("device_id")).alias("events"))))
+        .when(trip == 2, F.lit('{"events":[null,{"other":1}]}'))
+        .otherwise(F.to_json(F.struct(F.array(report).alias("events")))).alias("content"),
+    )
+    route = F.struct(F.when(_trip_number() % 3 == 0, F.lit("Point")).otherwise(F.lit("LineString")).alias("type"), F.array(F.array("start_lon", "start_lat"), F.array("start_lat", "start_lon")).alias("coordinates"))
+    sent = F.struct("trip_id", F.when(_trip_number() % 2 == 0, route).alias("route"))
+    trips_ = frames.trips(spark, sf_dir).select(name, F.to_json(F.struct(F.array(sent).alias("trips"))).alias("content"))
+    found = quarantine({"VOI_EVENTS": events, "DOTT_TRIPS": trips_}, (("VOI", "EVENTS"), ("DOTT", "TRIPS")))
+    return found.groupBy("kind", "provider", "endpoint").agg(F.count("*").alias("found"))
 
 
 # Marts
@@ -590,10 +613,6 @@ def _report_pages(spark, sf_dir) -> DataFrame:
     )
 
 
-def _trip_number() -> Column:
-    return F.regexp_extract("trip_id", r"\d+", 0).cast("bigint")
-
-
 @query
 def landing_envelope(spark, sf_dir):
     """Trips as page files under every form of name that lands; names of no endpoint keep their file time alone."""
