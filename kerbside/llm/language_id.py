@@ -92,19 +92,24 @@ def means(texts: list[str], weights: np.ndarray) -> np.ndarray:
 
 def _training(labelled: DataFrame, per_language: int) -> DataFrame:
     """(lang, features) of the bounded sample."""
-    labelled = labelled.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("doc_id", "text", "lang")
-    counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("all_of_it"))
-    parts = F.lit(1 << 30)
-    share = F.least(F.lit(1.0), F.lit(float(per_language)) / F.col("all_of_it"))
-    drawn = F.pmod(F.xxhash64("doc_id", "text", F.lit("sample")), parts) < share * parts
-    sample = labelled.join(counts, "lang").filter(drawn).select("lang", "text")
+
+    def rows_of(sample: DataFrame) -> DataFrame:
+        rows = map_texts(sample, make, [field("shares", "[float]")], ("lang",))
+        rows = written(rows.repartition(SAMPLE_PARTITIONS), "language-sample")
+        return rows.select("lang", array_to_vector("shares").alias("features"))
 
     def make(texts: pa.Array) -> list:
         return [list(shares(texts.to_pylist()))]
 
-    rows = map_texts(sample, make, [field("shares", "[float]")], ("lang",))
-    rows = written(rows.repartition(SAMPLE_PARTITIONS), "language-sample")
-    return rows.select("lang", array_to_vector("shares").alias("features"))
+    labelled = labelled.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("doc_id", "text", "lang")
+    # one number per language; the texts stay where they are
+    counts = {r.lang: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    if not counts:
+        return rows_of(labelled)
+    parts = 1 << 30
+    bounds = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, int(min(1.0, per_language / n) * parts))])
+    drawn = F.pmod(F.xxhash64("doc_id", "text", F.lit("sample")), F.lit(parts)) < F.element_at(bounds, F.col("lang"))
+    return rows_of(labelled.filter(drawn))
 
 
 def fit(labelled: DataFrame, families: dict[str, str] | None = None, per_language: int = SAMPLE_PER_LANGUAGE) -> Model | None:
