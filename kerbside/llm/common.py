@@ -40,11 +40,13 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or an own one where it is unset."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``. Local mode, as in tests, can do without."""
     global _own_folder
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if spark.sparkContext.master.partition("[")[0] != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if _own_folder is None:
         _own_folder = "file://" + tempfile.mkdtemp(prefix="kerbside-")
     return _own_folder

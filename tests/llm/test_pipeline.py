@@ -1,8 +1,11 @@
 from collections import Counter
 
+import pytest
+
 import corpus_pipeline
 from kerbside.llm import decontamination, mixing
-from test_simhash_dedup import slow_components, slow_print
+from kerbside.llm.queries import QUERIES
+from llm.test_simhash_dedup import slow_components, slow_print
 
 
 def test_stages_by_brute_force(spark, sf_dir):
@@ -16,7 +19,10 @@ def test_stages_by_brute_force(spark, sf_dir):
         assert one.columns == docs.columns
         seen.append({r.doc_id: r.text for r in one.collect()})
     texts = {r.doc_id: r.text for r in docs.collect()}
-    assert seen[0] == {i: t for i, t in texts.items() if any(c.isalpha() for c in t or "")}
+    judged = QUERIES["op1_language_id"](spark, sf_dir).collect()
+    assert set(seen[0]) == {r.doc_id for r in judged if r.lang_pred != "und" and r.score >= corpus_pipeline.LEAST_SCORE}
+    assert set(seen[0]) >= {i for i, t in texts.items() if sum(c.isalpha() for c in t or "") > 40}
+    assert all(texts[i] == t for i, t in seen[0].items())
     groups = slow_components([(i, slow_print(t)) for i, t in seen[0].items()])
     assert set(seen[1]) == {d for d, _, c in groups if d == c}
     bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
@@ -37,7 +43,31 @@ def test_stages_on_odd_and_empty_rows(spark, sf_dir, odd, none):
             assert docs is not none or made.count() == 0
 
 
-def test_shared_folder_is_the_cluster_s(spark):
+def test_shared_folder_is_the_one_the_cluster_names():
+    from types import SimpleNamespace
+
     from kerbside.llm.common import shared_folder
 
-    assert spark.conf.get("spark.checkpoint.dir", None) is None and shared_folder(spark).startswith("file:")
+    def session(named, master):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: named), sparkContext=SimpleNamespace(master=master))
+
+    assert shared_folder(session("hdfs://a/b/", "yarn")) == "hdfs://a/b"
+    assert shared_folder(session(None, "local[2]")).startswith("file:")
+    for master in ("yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError):
+            shared_folder(session(None, master))
+
+
+def test_queries_are_registered_with_their_sql():
+    import __spark_entry__ as contract
+    from kerbside.llm.queries import SQL
+
+    assert [n.partition("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert set(QUERIES) | {"pipeline"} <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
+
+
+@pytest.mark.parametrize("name", ["op2_url_filter", "op6_decontamination"])
+def test_query_equals_sql(spark, sf_dir, name):
+    from compare import connect, difference
+
+    assert difference(spark, connect(sf_dir), name, sf_dir) is None
