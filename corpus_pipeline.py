@@ -11,10 +11,14 @@ from kerbside.llm import decontamination, language_id, mixing, secret_scan, simh
 from kerbside.llm.common import written
 
 
+# A guess among two families of two languages has a score of about 0.25, an ordinary text one of 0.8 and more.
+LEAST_SCORE = 0.3
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language go: no text, no letter."""
+    """Documents go that have no letter, or whose language is no more than a guess."""
     model = language_id.fit(docs.filter(~language_id.held_out()))
-    return language_id.with_language(docs, model)
+    return language_id.with_language(docs, model, LEAST_SCORE)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
