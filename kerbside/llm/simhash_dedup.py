@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import field, map_texts, ship, text_bytes, text_key, written
+from kerbside.llm.common import field, map_texts, ship, text_bytes, written
 
 SHINGLE = 3
 SEED = 42
@@ -171,10 +171,15 @@ def components(edges: DataFrame) -> DataFrame:
     return roots
 
 
+def _row_keys() -> dict:
+    """Two hashes that tell rows of other ids or texts apart and agree on repeated rows; never null."""
+    return {"dedup__a": F.xxhash64("doc_id", "text"), "dedup__b": F.xxhash64("text", "doc_id", F.lit("b"))}
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """doc_id, text_key, bits and component_id (the smallest doc_id reachable by links) of every row of ``docs``."""
-    keyed = docs.select("doc_id", "text").withColumn("text_key", text_key())
-    prints = written(fingerprints(keyed, shingle, ("doc_id", "text_key")), "prints")
+    """doc_id, row keys, bits, root and component_id (the smallest doc_id reachable by links) of every row of ``docs``."""
+    keyed = docs.select("doc_id", "text").withColumns(_row_keys())
+    prints = written(fingerprints(keyed, shingle, ("doc_id", *_row_keys())), "prints")
     first = prints.groupBy("bits").agg(F.min("doc_id").alias("first"))
     roots = components(links(first.select("bits"), radius))
     rooted = first.join(roots.withColumnRenamed("node", "bits"), "bits", "left").withColumn("root", F.coalesce("root", "bits"))
@@ -186,15 +191,13 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
 def representatives(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """The rows of ``docs`` with all their columns, one per component: that of the smallest doc_id.
 
-    Of repeated rows one stays; among rows of one id but other texts, that of the smallest text hash.
+    Of repeated rows one stays; among rows of one id but other texts, that of the smallest hash. Texts are shuffled
+    once: the join and the removal of repeated rows share their keys.
     """
+    keys = list(_row_keys())
     found = near_duplicates(docs, shingle, radius)
-    rank = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "text_key")
-    kept = found.groupBy("root").agg(F.min(rank).alias("kept")).select("kept.doc_id", "kept.text_key")
-    kept = written(kept.select(F.col("doc_id").alias("kept_id"), F.col("text_key").alias("kept_key")), "kept")
-    key = text_key()
-    same = docs["doc_id"].eqNullSafe(kept["kept_id"]) & key.eqNullSafe(kept["kept_key"])
-    chosen = docs.join(kept, same, "left_semi")
-    number = F.row_number().over(Window.partitionBy("doc_id", key).orderBy(key))
-    name = "_row_" + "_".join(docs.columns)
-    return chosen.withColumn(name, number).filter(F.col(name) == 1).drop(name)
+    rank = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", *keys)
+    kept = found.groupBy("root").agg(F.min(rank).alias("kept")).select(*[f"kept.{k}" for k in keys])
+    chosen = docs.withColumns(_row_keys()).join(written(kept, "kept"), keys, "left_semi")
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy(keys[0]))
+    return chosen.withColumn("dedup__n", number).filter("dedup__n = 1").select(*docs.columns)
