@@ -12,19 +12,20 @@ to the position of the shingle in the window and the length of the document. Can
 from __future__ import annotations
 
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import field, filter_texts, map_texts, ship, slices, text_bytes
+from kerbside.llm.common import field, filter_texts, map_texts, ship, slices, text_bytes, written
 
 WINDOW = 13
 SHINGLE = 3
-# Windows are broadcast in shards of about this many bytes of benchmark text; more text means more shards, one after
-# the other within the same pass over the documents.
-SHARD_BYTES = 16 << 20
+# An index is broadcast for about this many bytes of benchmark text. More text means more shards, each with a pass of
+# its own over the documents, so that a task never holds two; their hits are joined by row.
+SHARD_BYTES = 8 << 20
 
 # Letters a-z (A-Z lower-cased), digits and all bytes beyond ASCII make words.
 _WORD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -41,19 +42,13 @@ def shingles(words: list[bytes], size: int) -> list[bytes]:
     return list(map(b" ".join, zip(*(words[i:] for i in range(size)), strict=False)))
 
 
-def windows_of(words: list[bytes], window: int = WINDOW) -> list[tuple[bytes, ...]]:
-    if not words:
-        return []
-    return [tuple(words[i : i + window]) for i in range(max(1, len(words) - window + 1))]
-
-
 def shards(benchmark: DataFrame, shard_bytes: int) -> Iterator[list[tuple]]:
-    """The items in lists of about ``shard_bytes`` of text, read one list at a time."""
-    items = benchmark.select("item_id", "text").filter(F.col("item_id").isNotNull() & F.col("text").isNotNull())
+    """The items in lists of about ``shard_bytes`` of text, read one list at a time; repeated rows once."""
+    items = benchmark.select("item_id", "text").filter(F.col("item_id").isNotNull() & F.col("text").isNotNull()).distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = -(-total // shard_bytes)
     for number in range(count):
-        mine = items.filter(F.pmod(F.xxhash64(F.col("item_id").cast("string")), F.lit(count)) == number)
+        mine = items.filter(F.pmod(F.xxhash64(F.col("item_id").cast("string"), "text"), F.lit(count)) == number)
         yield [(str(r.item_id), r.text.encode()) for r in mine.collect()]
 
 
@@ -79,17 +74,33 @@ def shingle_counts(docs: DataFrame, wanted: frozenset[bytes], size: int) -> dict
     return {bytes(r.s): r.n for r in counted.collect()}
 
 
+def spans_of(words: list[bytes], counts: dict[bytes, int], window: int, size: int) -> Iterator[tuple[int, int, int, bytes]]:
+    """(start, end, place, shingle): neighbouring windows that share their rarest shingle at one place, as one span."""
+    if not words:
+        return
+    parts, width = shingles(words, size), min(window, len(words))
+    inside = width - (len(words) - len(parts))  # shingles of a window
+    first, held = 0, None
+    for start in range(len(words) - width + 1):
+        place = min(range(start, start + inside), key=lambda i: (counts.get(parts[i], 0), parts[i]))
+        if held is not None and place != held:
+            yield first, start - 1 + width, held, parts[held]
+            first = start
+        held = place
+    yield first, len(words), held, parts[held]
+
+
 def index_windows(items: list[tuple], counts: dict[bytes, int], window: int, size: int) -> dict[bytes, list]:
-    """Each distinct window under its rarest shingle: [(offset of the shingle, words, item ids)]."""
+    """The spans of all items under their shingle: [(offset of the shingle, window length, words, item ids)]."""
     holders: dict[tuple, set] = defaultdict(set)
+    known: dict[bytes, bytes] = {}
     for item, text in items:
-        for w in windows_of(words_of(text), window):
-            holders[w].add(item)
+        words = [known.setdefault(w, w) for w in words_of(text)]
+        for start, end, place, shingle in spans_of(words, counts, window, size):
+            holders[shingle, place - start, min(window, len(words)), tuple(words[start:end])].add(item)
     index: dict[bytes, list] = defaultdict(list)
-    for w, ids in holders.items():
-        parts = shingles(list(w), size)
-        offset = min(range(len(parts)), key=lambda i: (counts.get(parts[i], 0), parts[i]))
-        index[parts[offset]].append((offset, list(w), tuple(sorted(ids))))
+    for (shingle, *span), ids in holders.items():
+        index[shingle].append((*span, tuple(sorted(ids))))
     return dict(index)
 
 
@@ -103,36 +114,71 @@ def find_hits(words: list[bytes], index: dict[bytes, list], size: int, single: b
         if index.keys().isdisjoint(grams):
             continue
         for position, gram in enumerate(grams):
-            for offset, window, ids in index.get(gram, ()):
-                start, end = position - offset, position - offset + len(window)
-                if start >= 0 and end <= len(words) and words[start:end] == window:
-                    hit[start:end] = b"\x01" * (end - start)
+            for offset, width, span, ids in index.get(gram, ()):
+                base = position - offset  # where the span begins
+                low, high = max(0, -base), min(len(span), len(words) - base)
+                if high - low < width:
+                    continue
+                # the span is compared from the shingle outwards; what agrees is hit if a window fits in
+                left = right = offset
+                while right < high and words[base + right] == span[right]:
+                    right += 1
+                while left > low and words[base + left - 1] == span[left - 1]:
+                    left -= 1
+                if right - left >= width:
+                    hit[base + left : base + right] = b"\x01" * (right - left)
                     items.update(ids)
     return hit, items
 
 
 class Searcher:
-    """Finds the windows of a benchmark in texts; holds one broadcast index per shard."""
-
-    def __init__(self, docs: DataFrame, benchmark: DataFrame, window: int, size: int, shard_bytes: int):
-        if size > window:
-            raise ValueError("a shingle is no longer than a window")
-        self.size, self.shards = size, []
-        for items in shards(benchmark, shard_bytes):
-            wanted = {s for _, text in items for w in windows_of(words_of(text), window) for s in shingles(list(w), size)}
-            index = index_windows(items, shingle_counts(docs, frozenset(wanted), size), window, size)
-            self.shards.append((docs.sparkSession.sparkContext.broadcast(index), any(b" " not in s for s in index)))
-
-    def __call__(self, text: bytes) -> tuple[int, int, list[str]]:
-        """Number of words, of hit words, and the items found, sorted."""
+    """Finds the windows of one shard of a benchmark in texts; holds its broadcast index."""
+
+    def __init__(self, docs: DataFrame, items: list[tuple], window: int, size: int):
+        wanted = frozenset(s for _, text in items for s in shingles(words_of(text), size))
+        index = index_windows(items, shingle_counts(docs, wanted, size), window, size)
+        self.index, self.size = docs.sparkSession.sparkContext.broadcast(index), size
+        self.single = any(b" " not in s for s in index)
+
+    def __call__(self, text: bytes) -> tuple[int, list[int], list[str]]:
+        """Number of words, positions of hit words, and the items found, sorted."""
         words = words_of(text)
-        hit, items = bytearray(len(words)), set()
-        for shard, single in self.shards:
-            more, found = find_hits(words, shard.value, self.size, single)
-            if found:
-                hit = bytearray(a | b for a, b in zip(hit, more, strict=True))
-                items |= found
-        return len(words), sum(hit), sorted(items)
+        hit, items = find_hits(words, self.index.value, self.size, self.single)
+        return len(words), [i for i, flag in enumerate(hit) if flag] if items else [], sorted(items)
+
+
+def searchers(docs: DataFrame, benchmark: DataFrame, window: int, size: int, shard_bytes: int) -> list[Callable]:
+    """One searcher per shard, at least one. Their indexes are used by one job after the other, never side by side."""
+    if size > window:
+        raise ValueError("a shingle is no longer than a window")
+    return [Searcher(docs, items, window, size) for items in shards(benchmark, shard_bytes)] or [lambda text: (len(words_of(text)), [], [])]
+
+
+def _row_keys() -> dict:
+    """Two hashes that tell rows of other ids or texts apart; repeated rows share them, and their result."""
+    return {"decon__a": F.xxhash64("doc_id", "text"), "decon__b": F.xxhash64("text", "doc_id", F.lit("b"))}
+
+
+def _merged(docs: DataFrame, found: list[Callable]) -> DataFrame:
+    """Row keys, n_words, n_hit and item_ids of the distinct rows of ``docs`` with hits of any of several searchers."""
+    keyed = docs.select("doc_id", "text").withColumns(_row_keys())
+    fields = [field("n_words", "bigint"), field("hits", "[int]"), field("items", "[string]")]
+    parts = []
+    for search in found:
+
+        def make(texts: pa.Array, search=search) -> list:
+            return list(zip(*map(search, text_bytes(texts)), strict=True)) or [[], [], []]
+
+        hits = map_texts(keyed, make, fields, tuple(_row_keys())).filter(F.size("items") > 0)
+        parts.append(written(hits, "hits"))
+    # sets: repeated rows of a shard become one before the shuffle, so a group has one entry per shard
+    together = reduce(DataFrame.unionByName, parts).groupBy(*_row_keys()).agg(
+        F.first("n_words").alias("n_words"), F.collect_set("hits").alias("hits"), F.collect_set("items").alias("items")
+    )
+    return together.select(
+        *_row_keys(), "n_words", F.size(F.array_distinct(F.flatten("hits"))).cast("bigint").alias("n_hit"),
+        F.array_sort(F.array_distinct(F.flatten("items"))).alias("item_ids"),
+    )
 
 
 def is_contaminated(n_words, n_hit):
@@ -144,13 +190,20 @@ def contamination(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE, shard_bytes: int = SHARD_BYTES
 ) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, item_ids (sorted as strings) and contaminated of every row of ``docs``."""
-    search = Searcher(docs, benchmark, window, shingle, shard_bytes)
-
-    def make(texts: pa.Array) -> list:
-        return list(zip(*map(search, text_bytes(texts)), strict=True)) or [[], [], []]
-
-    fields = [field("n_words", "bigint"), field("n_hit", "bigint"), field("item_ids", "[string]")]
-    return map_texts(docs, make, fields).select(
+    first, *more = found = searchers(docs, benchmark, window, shingle, shard_bytes)
+    if more:
+        keyed = docs.select("doc_id", "text").withColumns(_row_keys())
+        counted = map_texts(keyed, lambda texts: [[len(words_of(t)) for t in text_bytes(texts)]], [field("n_words", "bigint")], ("doc_id", *_row_keys()))
+        hits = counted.join(_merged(docs, found).drop("n_words"), list(_row_keys()), "left")
+        hits = hits.withColumns({"n_hit": F.coalesce("n_hit", F.lit(0)), "item_ids": F.coalesce("item_ids", F.array().cast("array<string>"))})
+    else:
+
+        def make(texts: pa.Array) -> list:
+            rows = [(n, len(hit), items) for n, hit, items in map(first, text_bytes(texts))]
+            return list(zip(*rows, strict=True)) or [[], [], []]
+
+        hits = map_texts(docs, make, [field("n_words", "bigint"), field("n_hit", "bigint"), field("item_ids", "[string]")])
+    return hits.select(
         "doc_id", "n_words", "n_hit", F.size("item_ids").cast("bigint").alias("n_items"), "item_ids",
         is_contaminated(F.col("n_words"), F.col("n_hit")).alias("contaminated"),
     )
@@ -160,5 +213,13 @@ def uncontaminated(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE, shard_bytes: int = SHARD_BYTES
 ) -> DataFrame:
     """The rows of ``docs``, unchanged, that are not contaminated."""
-    search = Searcher(docs, benchmark, window, shingle, shard_bytes)
-    return filter_texts(docs, lambda texts: [not is_contaminated(*search(t)[:2]) for t in text_bytes(texts)])
+    first, *more = found = searchers(docs, benchmark, window, shingle, shard_bytes)
+    if more:
+        bad = _merged(docs, found).filter(is_contaminated(F.col("n_words"), F.col("n_hit"))).select(*_row_keys())
+        return docs.withColumns(_row_keys()).join(bad, list(_row_keys()), "left_anti").select(*docs.columns)
+
+    def clean(text: bytes) -> bool:
+        n, hit, _ = first(text)
+        return not is_contaminated(n, len(hit))
+
+    return filter_texts(docs, lambda texts: list(map(clean, text_bytes(texts))))
