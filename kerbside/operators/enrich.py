@@ -42,26 +42,23 @@ def with_type_lookup(df: DataFrame, types: DataFrame, default: str = "car", into
     return joined.withColumn(into, F.coalesce("_type", F.lit(default))).drop("_type", "vehicle_type_id")
 
 
-def one_seed_row(seeds: DataFrame) -> DataFrame:
-    """One correction per provider and trip, should a list name a trip twice."""
-    picked = seeds.groupBy("provider_name", F.col("TRIP_ID").alias("trip_id")).agg(
-        F.min(F.struct("VEHICLE_ID", "VEHICLE_TYPE")).alias("fix")
-    )
-    return picked.select(
-        "provider_name", "trip_id", F.col("fix.VEHICLE_ID").alias("seed_vehicle_id"), F.col("fix.VEHICLE_TYPE").alias("seed_vehicle_type")
-    )
+def seed_rows(seeds: DataFrame) -> DataFrame:
+    """``trip_id, fixes``: the corrections of a trip by provider, one each should a list name a trip twice."""
+    picked = seeds.where(F.col("provider_name").isNotNull() & F.col("TRIP_ID").isNotNull()).groupBy("provider_name", F.col("TRIP_ID").alias("trip_id"))
+    fixed = picked.agg(F.min(F.struct("VEHICLE_ID", "VEHICLE_TYPE")).alias("fix"))
+    return fixed.groupBy("trip_id").agg(F.map_from_entries(F.collect_list(F.struct("provider_name", "fix"))).alias("fixes"))
 
 
 def patch_lost_vehicles(trips: DataFrame, seeds: DataFrame) -> DataFrame:
     """Correct vehicles by trip: the list wins for the id, the trip wins for the type (Voi only).
 
-    ``seeds``: ``provider_name, TRIP_ID, VEHICLE_ID, VEHICLE_TYPE``.
+    ``seeds``: ``provider_name, TRIP_ID, VEHICLE_ID, VEHICLE_TYPE``. The join is by trip alone, so that trips which are
+    laid out by trip, or will be, are not shuffled for it.
     """
-    joined = trips.join(one_seed_row(seeds), ["provider_name", "trip_id"], "left")
-    kind = F.when(F.col("provider_name") == "Voi", F.coalesce("vehicle_type", "seed_vehicle_type")).otherwise(F.col("vehicle_type"))
-    return joined.withColumns(
-        {"vehicle_id": F.coalesce("seed_vehicle_id", "vehicle_id"), "vehicle_type": kind}
-    ).select(*trips.columns)
+    joined = trips.join(seed_rows(seeds), "trip_id", "left")
+    fix = F.try_element_at("fixes", "provider_name")
+    kind = F.when(F.col("provider_name") == "Voi", F.coalesce("vehicle_type", fix["VEHICLE_TYPE"])).otherwise(F.col("vehicle_type"))
+    return joined.withColumns({"vehicle_id": F.coalesce(fix["VEHICLE_ID"], "vehicle_id"), "vehicle_type": kind}).select(*trips.columns)
 
 
 def only_ids(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:

@@ -83,17 +83,16 @@ def to_mart(trips: DataFrame) -> DataFrame:
 def assemble_trips(trips: DataFrame, pings: DataFrame, registry: DataFrame, seeds: DataFrame | None) -> DataFrame:
     """Union of trips to mart rows.
 
-    The newest record per trip is picked first, on the slim trip rows. Routes, vehicles and corrections
-    are then looked up once per surviving trip, and the route join finds its rows already laid out by trip.
+    The newest record per trip is picked first. Vehicles are then looked up once per surviving trip, then corrections and
+    routes, both by trip, so that no shuffle carries a finished line.
     """
     # Ties are settled by a hash of the route: no sort compares whole geometries.
     ties = [c for c in TRIP_ROW if c not in ("trip_id", "start_ts", "route_json")]
     keyed = trips.withColumn("_route", F.xxhash64("route_json"))
     newest = latest_per_key(keyed, ["trip_id"], "start_ts", [*ties, "_route"]).drop("_route")
-    routed = attach_routes(newest, trip_lines(pings))
-    named = name_vehicles(routed, registry)
+    named = name_vehicles(newest, registry)
     patched = patch_lost_vehicles(named, seeds) if seeds is not None else named
-    return to_mart(patched)
+    return to_mart(attach_routes(patched, trip_lines(pings)))
 
 
 def all_trips(bronze: Bronze, seeds: DataFrame | None = None, strict: bool = True) -> DataFrame:

@@ -100,3 +100,21 @@ def test_route_join_needs_no_shuffle_beyond_its_inputs(spark, sf_dir):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
     # One for the trips, two for the lines (hours, then trips).
     assert text.count("Exchange hashpartitioning") == 3
+
+
+def test_routes_come_last_and_corrections_share_their_layout(spark, sf_dir):
+    from kerbside.plans.trips import TRIP_ROW, assemble_trips, trip_registry, union_trips
+
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        trips = union_trips(frames.trip_copies(spark, sf_dir).select(*[c for c in TRIP_ROW if c in frames.trip_copies(spark, sf_dir).columns]))
+        devices = spark.range(10).selectExpr("cast(id as string) AS device_id", "'v' AS vehicle_id", "'t' AS vehicle_type")
+        seeds = spark.range(10).selectExpr("'Voi' AS provider_name", "cast(id as string) AS TRIP_ID", "'v' AS VEHICLE_ID", "'t' AS VEHICLE_TYPE")
+        text = plan(assemble_trips(trips, frames.pings(spark, sf_dir), trip_registry(devices, devices, devices), seeds))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    joins = re.findall(r"SortMergeJoin \[(\w+?)#", text)  # the last join comes first
+    assert joins == ["trip_id", "trip_id", "provider_name"]
+    between = text[text.index("SortMergeJoin [trip_id") : text.index("SortMergeJoin [provider_name")]
+    assert len(re.findall(r"Exchange hashpartitioning\(trip_id", between)) == 1
