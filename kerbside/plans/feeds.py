@@ -29,10 +29,11 @@ def _double(path: str, strict: bool) -> Column:
     return convert(_get(path), "double", strict)
 
 
-def registry(bronze: Bronze, provider: str) -> DataFrame:
+def registry(bronze: Bronze, provider: str, keep=()) -> DataFrame:
     """``device_id, vehicle_id, vehicle_type``; Bolt leaves out the type of scooters."""
     kind = _get("vehicle_type")
-    return items(bronze, provider, "VEHICLES", S.VEHICLE).select(
+    return items(bronze, provider, "VEHICLES", S.VEHICLE, keep).select(
+        *keep,
         _get("device_id").alias("device_id"),
         _get("vehicle_id").alias("vehicle_id"),
         (F.coalesce(kind, F.lit("scooter")) if provider == "BOLT" else kind).alias("vehicle_type"),
@@ -59,7 +60,7 @@ def mds_trips(bronze: Bronze, provider: str, strict: bool = True) -> DataFrame:
     )
 
 
-def poppy_trips(bronze: Bronze, strict: bool = True) -> DataFrame:
+def poppy_trips(bronze: Bronze, strict: bool = True, keep=()) -> DataFrame:
     """Every delivered copy of every Poppy trip, with ``load_ts``; end points come from the route."""
     geometry = F.get(_get("route.features"), F.lit(0))["geometry"]
     shape = F.from_json(geometry, "struct<coordinates:array<array<string>>>")
@@ -68,12 +69,13 @@ def poppy_trips(bronze: Bronze, strict: bool = True) -> DataFrame:
         positions = parsed["coordinates"]
         return F.struct(first_item(positions).alias("first"), last_item(positions).alias("last"))
 
-    rows = items(bronze, "POPPY", "TRIPS", S.POPPY_TRIP, keep=("load_ts",)).withColumn("ends", once(shape, both_ends))
+    rows = items(bronze, "POPPY", "TRIPS", S.POPPY_TRIP, keep=("load_ts", *keep)).withColumn("ends", once(shape, both_ends))
 
     def number(text: Column) -> Column:
         return convert(text, "double", strict)
 
     return rows.select(
+        *keep,
         _get("trip_id").alias("trip_id"),
         _get("vehicle_id").alias("vehicle_id"),
         _get("vehicle_type").alias("vehicle_type"),
@@ -197,9 +199,9 @@ def bolt_pings(bronze: Bronze, strict: bool = True) -> DataFrame:
     )
 
 
-def poppy_types(bronze: Bronze) -> DataFrame:
-    return items(bronze, "POPPY", "VEHICLE_TYPES", S.POPPY_TYPE).select(
-        _get("vehicle_type_id").alias("vehicle_type_id"), _get("form_factor").alias("vehicle_type")
+def poppy_types(bronze: Bronze, keep=()) -> DataFrame:
+    return items(bronze, "POPPY", "VEHICLE_TYPES", S.POPPY_TYPE, keep).select(
+        *keep, _get("vehicle_type_id").alias("vehicle_type_id"), _get("form_factor").alias("vehicle_type")
     )
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -57,13 +58,39 @@ def page_reports(bronze: Bronze, strict: bool = True, keep: Sequence[str] = ())
     return reduce(DataFrame.unionByName, parts)
 
 
-def complete_reports(reports: DataFrame, bronze: Bronze, strict: bool = True) -> DataFrame:
+def page_registry(bronze: Bronze, keep: Sequence[str] = ()) -> DataFrame:
+    """Registry entries of all providers, every delivered copy."""
+    sides = [feeds.registry(bronze, code, keep).withColumn("provider_name", F.lit(code.capitalize())) for code in ("VOI", "DOTT", "BOLT")]
+    return reduce(DataFrame.unionByName, sides)
+
+
+@dataclass(frozen=True)
+class Parsed:
+    """What the status mart takes from pages. Each row depends on its page alone, so all of it may be stored page by page."""
+
+    reports: DataFrame
+    registry: DataFrame
+    types: DataFrame
+    trips: DataFrame
+
+
+def parse_pages(bronze: Bronze, strict: bool = True, keep: Sequence[str] = ()) -> Parsed:
+    """Reports and registries of all providers, vehicle types and trips (without routes) of Poppy."""
+    return Parsed(
+        page_reports(bronze, strict, keep), page_registry(bronze, keep), feeds.poppy_types(bronze, keep),
+        feeds.poppy_trips(bronze, strict, keep).drop("route_json"),
+    )
+
+
+def complete_reports(parsed: Parsed) -> DataFrame:
     """Page reports with what other pages decide: Poppy's vehicle types, and two reports per newest Poppy trip."""
+    reports = parsed.reports
     is_poppy = F.col("provider_name") == "Poppy"
-    types = feeds.poppy_types(bronze).distinct().select("vehicle_type_id", F.col("vehicle_type").alias("_form"))
+    types = parsed.types.select("vehicle_type_id", F.col("vehicle_type").alias("_form")).distinct()
     # Only Poppy has type ids: the reports of the others would all meet at one NULL key.
     bikes = reports.where(is_poppy).join(types, "vehicle_type_id", "left").withColumn("own_type", F.coalesce("_form", F.lit("car")))
-    trips = latest_per_key(feeds.poppy_trips(bronze, strict), ["trip_id"], "load_ts")
+    ties = [c for c in parsed.trips.columns if c not in ("trip_id", "load_ts", "load_date")]
+    trips = latest_per_key(parsed.trips, ["trip_id"], "load_ts", ties)
     ends = unpivot_trips(trips).withColumnRenamed("vehicle_id", "device_id")
     parts = [conform(reports.where(~is_poppy), REPORT_ROW), conform(bikes, REPORT_ROW), _side("Poppy", ends, F.col("vehicle_type"))]
     return reduce(DataFrame.unionByName, parts)
@@ -71,15 +98,12 @@ def complete_reports(reports: DataFrame, bronze: Bronze, strict: bool = True) ->
 
 def union_reports(bronze: Bronze, strict: bool = True) -> DataFrame:
     """All reports of all providers by device, straight from the pages."""
-    return complete_reports(page_reports(bronze, strict), bronze, strict)
+    return complete_reports(parse_pages(bronze, strict))
 
 
-def status_registry(bronze: Bronze, squash: bool = False) -> DataFrame:
-    """Registries of all providers. Unless squashed, a device registered twice reports as two vehicles."""
-    whole = None
-    for code, name in (("VOI", "Voi"), ("DOTT", "Dott"), ("BOLT", "Bolt")):
-        side = feeds.registry(bronze, code).withColumn("provider_name", F.lit(name))
-        whole = side if whole is None else whole.unionByName(side)
+def status_registry(entries: DataFrame, squash: bool = False) -> DataFrame:
+    """One row per entry of ``page_registry``. Unless squashed, a device registered twice reports as two vehicles."""
+    whole = entries.select("provider_name", "device_id", "vehicle_id", "vehicle_type")
     return squash_registry(whole, ["provider_name", "device_id"]) if squash else whole.distinct()
 
 
@@ -131,10 +155,10 @@ def assemble_status(reports: DataFrame, target: DataFrame | None = None, lookbac
 
 
 def vehicles_status(bronze: Bronze, target: DataFrame | None = None, lookback: str = DAY_LOOKBACK,
-                    squash: bool = False, strict: bool = True, parsed: DataFrame | None = None) -> DataFrame:
+                    squash: bool = False, strict: bool = True, parsed: Parsed | None = None) -> DataFrame:
     """The status mart, or its next batch, from bronze pages.
 
-    ``parsed`` are stored ``page_reports``: with them no event or snapshot page is parsed again.
+    ``parsed`` are the stored pages of ``build.refresh``: with them no page is parsed again.
     """
-    reports = union_reports(bronze, strict) if parsed is None else complete_reports(parsed, bronze, strict)
-    return assemble_status(name_vehicles(reports, status_registry(bronze, squash)), target, lookback)
+    parsed = parsed or parse_pages(bronze, strict)
+    return assemble_status(name_vehicles(complete_reports(parsed), status_registry(parsed.registry, squash)), target, lookback)

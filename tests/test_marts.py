@@ -245,3 +245,21 @@ def test_whole_build_from_stored_bronze(spark, page, tmp_path):
     # Parsed pages that were kept between runs give the same mart as parsing everything again.
     assert rows(status.vehicles_status(read_bronze(spark, bronze)), "UID", "VEHICLE_TYPE", "VEHICLE_STATE") == got
     assert spark.read.parquet(f"{gold}/parsed_reports").count() == 4
+
+
+def test_stored_pages_follow_registries_types_and_trips(spark, page, tmp_path):
+    bronze, store = str(tmp_path / "bronze"), str(tmp_path / "store")
+    batches = (
+        [registered("VOI", lambda v: body(vehicles=v)), ("VOI", "EVENTS", body(events=[event("d1", T1, "available", "ping")]))],
+        [("POPPY", "TRIPS", json.dumps([poppy_trip("p1")]), "2024-01-05 00:00:00")],
+        [(*registered("BOLT", lambda v: body(vehicles=v)), "2024-01-03 00:00:00"), ("BOLT", "EVENTS", body(events=[event("d1", T1, "available", "ping")]), "2024-01-05 00:00:00")],
+    )
+    for batch in batches:
+        append_pages(page(*batch), bronze)
+        landed = read_bronze(spark, bronze)
+        stored, fresh = build.refresh(spark, landed, store), status.parse_pages(landed, keep=("load_date",))
+        for name, part in vars(fresh).items():
+            columns = part.columns
+            got, want = (sorted(map(str, df.select(columns).collect())) for df in (getattr(stored, name), part))
+            assert got == want, name
+    assert stored.trips.count() == 1 and stored.registry.count() > 2
