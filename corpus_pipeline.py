@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from kerbside.llm import decontamination, language_id, mixing, secret_scan, simhash_dedup
 from kerbside.llm.common import written
+from kerbside.llm.queries import token_model
 
 
 # An even guess between two families of two languages still scores 0.25 and an ordinary text 0.8 and more: short clean
@@ -43,7 +44,7 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources are mixed to their weights: every document comes at least once, those of small sources more often."""
-    return mixing.mix(docs)
+    return mixing.mix(docs, model=token_model())
 
 
 STAGES = [

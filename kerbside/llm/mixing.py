@@ -3,7 +3,9 @@
 ``docs`` needs doc_id, text and source; all its columns are kept, but ``mix_epoch``, ``mix_block``, ``mix_position`` and
 ``n_tokens``, if it has any of those, are replaced. A null source is a source of its own. Null and empty texts have no
 tokens; a source without tokens has weight 0 and each of its rows comes once. Repeated rows count and come each. An
-empty table gives an empty table.
+empty table gives an empty table. With ``model``, the path of a sentencepiece model that every executor can open, tokens
+are its tokens; without, they are what the function ``tokens`` makes of a text: words, which say nothing of texts without
+spaces.
 
 A source's weight is its share of tokens to the power of an exponent between 0 and 1. The exponent is the largest that
 meets the target entropy, raised as far as needed to keep within the repetition limit. Without a budget the mixture is
@@ -20,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbside.llm.common import written
+from kerbside.llm.token_counts import with_tokens
 
 # Share of the largest possible entropy (all sources alike) to reach, and how often a document may come at most.
 TARGET_ENTROPY = 0.95
@@ -42,7 +45,7 @@ class Plan:
 
 
 def n_tokens(text: Column) -> Column:
-    """Words, as a cheap stand-in for tokens; any other count of tokens can be given instead."""
+    """Words, as a cheap stand-in for tokens where no model is given."""
     return F.coalesce(F.regexp_count(text, F.lit(r"\S+")), F.lit(0)).cast("bigint")
 
 
@@ -143,19 +146,25 @@ def mix(
     budget: int | None = None,
     seed: int = SEED,
     tokens=n_tokens,
+    model: str | None = None,
+    columns: tuple[str, ...] | None = None,
 ) -> DataFrame:
     """The mixture: a row for each time a document comes, with its n_tokens, epoch, block and block's position (0 to 1).
 
-    Read in the order of mix_position, sources come in proportion to their weights all along.
+    Read in the order of mix_position, sources come in proportion to their weights all along. ``columns`` names those of
+    ``docs`` to keep, source among them, instead of all. A model's tokens are counted once and kept with these columns.
     """
     order = F.xxhash64("doc_id", "text", F.lit(seed))
-    slim = written(docs.select("source", order.alias("h"), tokens(F.col("text")).alias("n")), "slim")
+    kept = [c for c in columns or docs.columns if c not in RESULT]
+    if model is None:
+        at = docs.select(*kept, order.alias("mix__h"), tokens(F.col("text")).alias("n_tokens"))
+    else:
+        at = written(with_tokens(docs.withColumn("mix__h", order), model, (*kept, "mix__h")), "counted")
+    slim = written(at.select("source", F.col("mix__h").alias("h"), F.col("n_tokens").alias("n")), "slim")
     totals = written(slim.groupBy("source").agg(F.sum("n").alias("tokens")), "totals")
     steps = schedule(slim, plan(totals, target, max_repeats, budget).sources, seed)
     steps = written(steps.select(*[F.col(c).alias(f"mix__{c}") for c in steps.columns]), "schedule")
     counts = steps.select("mix__source", "mix__blocks").distinct().select(F.col("mix__source").alias("mix__of"), F.col("mix__blocks").alias("mix__n"))
-    kept = [c for c in docs.columns if c not in RESULT]
-    at = docs.select(*kept, order.alias("mix__h"), tokens(F.col("text")).alias("n_tokens"))
     at = at.join(counts, F.col("source").eqNullSafe(F.col("mix__of")))
     same = F.col("source").eqNullSafe(F.col("mix__source")) & (F.pmod("mix__h", "mix__n").cast("int") == F.col("mix__block"))
     found = at.join(steps, same & (F.col("mix__h") <= F.col("mix__upto")))

@@ -19,6 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def token_model() -> str:
+    """The model of ``op10``, whose tokens ``op7`` and the pipeline's mixture count too."""
+    return str(public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language_id.fit(docs.filter(~language_id.held_out()))
@@ -72,7 +77,7 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = mixing.mix(table(spark, sf_dir, "documents"))
+    found = mixing.mix(table(spark, sf_dir, "documents"), model=token_model(), columns=("doc_id", "source"))
     return found.select("doc_id", "source", *mixing.RESULT)
 
 
@@ -86,8 +91,7 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = str(public_tokenizers.path("piece_bpe_32k.model"))
-    return token_counts.token_counts(table(spark, sf_dir, "documents"), model)
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), token_model())
 
 
 QUERIES = {

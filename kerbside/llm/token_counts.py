@@ -87,6 +87,12 @@ def count_tokens(texts: list[str], model: str) -> list[int]:
     return [sum(map(counts.__getitem__, parts)) for parts in split]
 
 
+def with_tokens(docs: DataFrame, model: str, keep: tuple[str, ...]) -> DataFrame:
+    """The ``keep`` columns of every row and its n_tokens, the number that ``token_counts`` gives."""
+    count = lambda texts: [count_tokens([t or "" for t in texts.to_pylist()], model)]
+    return map_texts(docs, count, [field("n_tokens", "bigint")], keep)
+
+
 def token_counts(docs: DataFrame, model: str, limit: int = TOKEN_LIMIT) -> DataFrame:
     """doc_id, n_bytes, n_tokens and whether the text has more than ``limit`` tokens.
 

@@ -91,3 +91,22 @@ def test_query(spark, sf_dir):
     found = QUERIES["op7_mixing"](spark, sf_dir)
     assert {r.doc_id for r in found.select("doc_id").collect()} == {r.doc_id for r in docs.select("doc_id").collect()}
     assert found.columns == ["doc_id", "source", "n_tokens", "mix_epoch", "mix_block", "mix_position"]
+
+
+def test_query_and_stage_count_the_tokens_of_op10(spark, sf_dir, tmp_path):
+    import corpus_pipeline
+
+    # one word of many tokens against many words of few
+    rows = [(i, "".join(chr(0x4E00 + (i * 37 + j) % 900) for j in range(300)), "zh") for i in range(20)]
+    rows += [(100 + i, "the of and " * 20, "en") for i in range(20)] + [(200, None, "en")]
+    made = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    made.write.parquet(f"{tmp_path}/documents.parquet")
+    counts = {r.doc_id: r.n_tokens for r in QUERIES["op10_token_counts"](spark, str(tmp_path)).collect()}
+    found = QUERIES["op7_mixing"](spark, str(tmp_path)).collect()
+    assert {r.doc_id for r in found} == set(counts) and all(r.n_tokens == counts[r.doc_id] for r in found)
+    assert min(counts[i] for i in range(20)) > 100
+    # the source of many tokens is the largest: it comes once, the other more often
+    assert max(Counter(r.doc_id for r in found if r.source == "zh").values()) == 1
+    assert max(Counter(r.doc_id for r in found if r.source == "en").values()) > 1
+    staged = corpus_pipeline.source_mixing(spark, made, str(tmp_path)).collect()
+    assert sorted((r.doc_id, r.n_tokens, r.mix_epoch) for r in staged) == sorted((r.doc_id, r.n_tokens, r.mix_epoch) for r in found)
