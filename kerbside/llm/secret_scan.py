@@ -42,14 +42,49 @@ _RUN = r"A-Za-z0-9+/_~.\-"
 _CANDIDATE = re.compile(
     rf"(?<![{_RUN}])(?:[{_RUN}]{{16,}}={{0,2}}|(?:(?<=[\"'=:])|(?<=[=:] ))[{_RUN}]{{8,15}}+={{0,2}}(?![{_RUN}]))"
 )
+# Whatever is assigned to something named like a credential, up to a space or quote; in a query string up to its next part.
+_ASSIGNED = re.compile(
+    r"""(?i:passw|passphrase|pwd|secret|token|key|credential|auth|bearer|private)[\w\-]{0,32}["'`]?[ \t]{0,3}(?:[=:]>|:=|[=:])[ \t]{0,3}"""
+    r"""(?:["'`](?P<quoted>[^\s"'`]{6,})|(?P<bare>[^\s"'`]{6,}))"""
+)
 _SECRET_WORDS = ("token", "secret", "passw", "pwd", "key", "credential", "auth", "bearer", "private")
 _PLAIN_WORDS = ("commit", "sha", "md5", "checksum", "digest", "uuid", "version", "build", "hash", "example", "file", "path", "id", "tel", "card")
+_NAMED = re.compile(r"""(?i:passw|passphrase|pwd|secret|token|key|credential|auth|private)[\w\-]*["'`]?\s*[=:>]+\s*["'`]?$""")
+# Code and fillers that stand where a value would.
+_HOLDER = re.compile(r"""[({<\[]|\$\{|\*{4}|(?i:x{6}|your|example|change)""")
 _PREFIX = re.compile(r"AKIA|ASIA|gh[pousr]_|xox[abprs]-|sk[_-]|pk_|rk_|AIza|eyJ|glpat-|npm_|SG\.")
 _WORD = re.compile(r"[^\W\d_]+")
 _SENTENCE = re.compile(r"[A-Za-z]+(?:[.\-/_][A-Za-z]+)*\.?$")
 
 
+def _assigned(text: str) -> Iterator[tuple[int, int]]:
+    for found in _ASSIGNED.finditer(text):
+        start, end = found.span(found.lastgroup)
+        if found.lastgroup == "bare":
+            line = text.rfind("\n", 0, found.start()) + 1
+            if re.search(r"[?&][\w.\-]*$", text[max(line, found.start() - 64) : found.start()]):
+                end = start + re.match(r"[^&#]*", text[start:end]).end()
+            while end > start and text[end - 1] in ".,;)]}>":
+                end -= 1
+        if end - start >= 6:
+            yield start, end
+
+
 def candidates(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of what may be a secret, in order and apart; an assigned value is one as a whole, with any run that leaves it."""
+    last = None
+    for start, end in sorted([*_assigned(text), *_runs(text)]):
+        if last is None or start >= last[1]:
+            if last:
+                yield last
+            last = start, end
+        else:
+            last = last[0], max(last[1], end)
+    if last:
+        yield last
+
+
+def _runs(text: str) -> Iterator[tuple[int, int]]:
     for found in _CANDIDATE.finditer(text):
         start, end = found.span()
         while end - start > 8 and text[end - 1] in ".-/~":
@@ -110,6 +145,10 @@ def features(text: str, start: int, end: int, dictionary: frozenset[str]) -> lis
         float(value.isalpha() and (value[1:].islower() or value.isupper())),
         float(before[-1:].isalpha() or after[:1].isalpha()),
         float(before[-1:] == "@" or after[:1] == "@" or before[-3:] == "://"),
+        kinds.count(3) / n,
+        float(len(set(kinds))),
+        float(bool(_NAMED.search(before))),
+        float(bool(_HOLDER.search(value))),
     ]
 
 
@@ -144,7 +183,22 @@ def _secret(rng: random.Random) -> str:
     pick = lambda chars, n: "".join(rng.choice(chars) for _ in range(n))
     both, up = string.ascii_letters + string.digits, string.ascii_uppercase + string.digits
     hexes = "0123456789abcdef"
-    kind = rng.randrange(9)
+    kind = rng.randrange(12)
+    if kind > 8:
+        # what people type: any printable characters, or words made odd
+        marks = "!#$%&*+-.?@^_~"
+        word = lambda: "".join(rng.choice("bcdfghklmnprstvwz") + rng.choice("aeiou") for _ in range(rng.randrange(2, 4)))
+        odd = lambda w: "".join({"a": "@", "e": "3", "i": "1", "o": "0", "s": "$"}.get(c, c) if rng.random() < 0.5 else c for c in w)
+        shapes = (
+            lambda: pick(both + marks * 2, rng.randrange(7, 20)) + rng.choice(marks) + rng.choice(string.digits),
+            lambda: odd(word()).capitalize() + odd(word()) + rng.choice(marks) + pick(string.digits, rng.randrange(1, 5)),
+            lambda: word() + pick(string.digits, rng.randrange(1, 3)) + rng.choice(marks) + rng.choice(marks) + word(),
+            lambda: rng.choice(marks[:-3]).join(word() for _ in range(3)) + rng.choice(marks) + rng.choice(string.digits),
+            lambda: odd(word()) + rng.choice(string.digits) + rng.choice("bcdfgh") + rng.choice(string.digits),
+            lambda: odd(word()) + rng.choice(string.digits) + rng.choice(marks) + pick(both, rng.randrange(2, 5)),
+        )
+        name = rng.choice((*_NAMES, "password", "db_password", "passwd", "pwd", "pwd"))
+        return rng.choice(_ASSIGN[:6]).format(n=name, v=rng.choice(shapes)())
     if kind < 3:
         return rng.choice(_ASSIGN).format(n=rng.choice(_NAMES), v=pick(hexes, rng.choice((32, 40, 40, 64))))
     if kind < 5:
@@ -160,7 +214,13 @@ def _lookalike(rng: random.Random, words: list[str]) -> str:
     pick = lambda chars, n: "".join(rng.choice(chars) for _ in range(n))
     some = lambda n: [rng.choice(words) for _ in range(n)]
     hexes = "0123456789abcdef"
-    kind = rng.randrange(16)
+    kind = rng.randrange(19)
+    if kind > 15:
+        # words and code after the name of a credential
+        code = (f"os.environ['{some(1)[0].upper()}']", f"get_{some(1)[0]}()", f"${{{'_'.join(some(2)).upper()}}}", f"{{{{ {some(1)[0]} }}}}", f"<{'-'.join(some(2))}>", "********", f"{some(1)[0]}.{some(1)[0]}({some(1)[0]})")
+        word = rng.choice(sorted(w for w in words if len(w) > 5)) if rng.random() < 0.5 else "".join(some(2))
+        value = rng.choice(code) if rng.random() < 0.4 else rng.choice((word, word.capitalize(), f"{word},", f"{word}.", f"({word})"))
+        return rng.choice(("{n}: {v}", "{n} = {v}", "{n}={v}", '{n}: "{v}"')).format(n=rng.choice((*_NAMES, "password", "key", "pwd")), v=value)
     if kind > 13:
         # a word of no known language, maybe cut at a letter beyond ASCII
         word = "".join(rng.choice("bcdfghklmnprstvwz") + rng.choice(("a", "e", "i", "o", "u", "ei", "au", "io")) + rng.choice(("", "n", "r", "st", "ng", "ch", "t")) for _ in range(rng.randrange(6, 11)))

@@ -56,3 +56,24 @@ def test_query(spark, sf_dir):
     for r in found:
         planted = ss.re.findall(r'(?i)token = "([0-9a-f]{40})"', docs[r.doc_id])
         assert [f.secret for f in r.findings] == planted
+
+
+TYPED = {
+    'password = "P@ssw0rd!2024"': "P@ssw0rd!2024", "db_password: hunter2!#secret": "hunter2!#secret",
+    'secret: "correct$horse*battery%9"': "correct$horse*battery%9", 'pwd="s3cr3t7"': "s3cr3t7", 'password = "Tr0ub4dor&3xyz"': "Tr0ub4dor&3xyz",
+}
+
+
+def test_typed_passwords_are_candidates_as_a_whole():
+    for line, value in TYPED.items():
+        text = f"some words {line} and more"
+        assert [text[a:b] for a, b in ss.candidates(text)] == [value]
+    url = "see http://a.example/x?token=ab!12$cd&page=3 there"
+    assert "ab!12$cd" in [url[a:b] for a, b in ss.candidates(url)]
+
+
+def test_typed_passwords_are_masked_and_words_stay(spark, scanner):
+    plain = ["The password: please ask them.", "the secret: nothing matters", "password = get_password()", "key: important words"]
+    docs = spark.createDataFrame([(i, f"some words {t} and more") for i, t in enumerate([*TYPED, *plain])], "doc_id long, text string")
+    masked = [r.text for r in ss.redact(docs, scanner).orderBy("doc_id").collect()]
+    assert masked == [f"some words {t.replace(v, ss.MASK)} and more" for t, v in TYPED.items()] + [f"some words {t} and more" for t in plain]
