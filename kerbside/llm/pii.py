@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from kerbside.llm.common import text_key, written
 
-# After so many draws the format has no room left: the surrogate is then a label of the type with a keyed hash.
+# Names and e-mail addresses gain a syllable or letter for each two draws. After so many draws the format has no room left: the surrogate is then a label of the type with a keyed hash.
 DRAWS = 16
 
 _MALE = "Mr|Herrn|Herr|Monsieur|Señor|Sr|Signor|Господин"
@@ -121,16 +121,22 @@ _MIDDLE = {"latin": "bi do fe ga li mo na pe ri so ta ve wi xa yo ze".split(), "
 _END = {"latin": ("n", "na"), "cyrillic": ("в", "ва"), "greek": ("ς", "α")}
 
 
-def _name(value: Column, hexes: Column) -> Column:
+def _more(draw: Column) -> Column:
+    """By how many syllables or letters a surrogate is longer in this draw, so that its space outgrows the entities."""
+    return F.floor(draw / 2).cast("int")
+
+
+def _name(value: Column, hexes: Column, draw: Column) -> Column:
     """The form of address, then a made word for each word of the name: gendered, of its script and letter case."""
     address = F.regexp_extract(value, rf"^{_ADDRESS}", 0)
     female = address.rlike(rf"^(?:{_FEMALE})(?!\p{{L}})")
 
     def made(script: str, i: Column) -> Column:
-        digit = lambda k: F.instr(F.lit(_HEX), F.substring(hexes, i * 5 + k, 1))
+        digit = lambda k: F.instr(F.lit(_HEX), F.substring(hexes, i * 20 + k, 1))
         syllable = lambda parts, k: F.element_at(F.array(*map(F.lit, parts)), digit(k))
         parts = [syllable(_START[script], 1), *(syllable(_MIDDLE[script], k) for k in (2, 3, 4))]
-        return F.concat(*parts, F.when(female, _END[script][1]).otherwise(_END[script][0]))
+        extra = F.transform(F.slice(F.sequence(F.lit(5), F.lit(5 + DRAWS // 2)), F.lit(1), _more(draw)), lambda k: syllable(_MIDDLE[script], k))
+        return F.concat(*parts, F.array_join(extra, ""), F.when(female, _END[script][1]).otherwise(_END[script][0]))
 
     def word(w: Column, i: Column) -> Column:
         drawn = F.when(w.rlike(r"\p{IsCyrillic}"), made("cyrillic", i)).when(w.rlike(r"\p{IsGreek}"), made("greek", i)).otherwise(made("latin", i))
@@ -140,11 +146,14 @@ def _name(value: Column, hexes: Column) -> Column:
     return F.concat(address, F.array_join(F.transform(words, word), " "))
 
 
-def _email(value: Column, hexes: Column, key: str) -> Column:
+def _email(value: Column, hexes: Column, draw: Column, key: str) -> Column:
     def made(domain: Column) -> Column:
         host, last = F.regexp_replace(domain, r"[^.]+$", ""), F.substring_index(domain, ".", -1)
         local = F.substring(value, 1, F.length(value) - F.length(domain) - 1)
-        return F.concat(_reshaped(local, hexes), F.lit("@"), let(_hash(key, F.lower(domain), F.length(domain)), lambda h: _reshaped(host, h)), last)
+        last_letter = F.regexp_extract(local, r"(\p{L})[^\p{L}]*$", 1)
+        extra = F.repeat(F.when(last_letter == "", "a").otherwise(last_letter), _more(draw))
+        longer = F.when(draw < 2, "").otherwise(_reshaped(extra, F.substring(hexes, -DRAWS, DRAWS)))
+        return F.concat(_reshaped(local, hexes), longer, F.lit("@"), let(_hash(key, F.lower(domain), F.length(domain)), lambda h: _reshaped(host, h)), last)
 
     return let(F.substring_index(value, "@", -1), made)
 
@@ -190,7 +199,7 @@ def surrogate(value: Column, draw: Column, key: str) -> Column:
         v, of, hexes = e["v"], e["of"], e["hexes"]
         label = F.concat(F.lit("["), F.upper(of), F.lit("-"), F.substring(hexes, 1, 24), F.lit("]"))
         return (
-            F.when(e["draw"] >= DRAWS, label).when(of == "email", _email(v, hexes, key)).when(of == "name", _name(v, hexes))
+            F.when(e["draw"] >= DRAWS, label).when(of == "email", _email(v, hexes, e["draw"], key)).when(of == "name", _name(v, hexes, e["draw"]))
             .when(of == "ip", _ip(hexes)).when(of == "iban", _iban(v, hexes)).otherwise(_number(v, hexes, of))
         )
 

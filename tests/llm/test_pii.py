@@ -88,3 +88,12 @@ def test_query(spark, sf_dir):
         assert all(v not in r.text for v in values)
         assert (r.n_entities == 0) == (r.text == docs[r.doc_id])
         assert len(re.findall(r"\s", r.text)) == len(re.findall(r"\s", docs[r.doc_id]))
+
+
+def test_full_mailboxes_and_names_grow_instead_of_ending_in_labels(spark):
+    texts = [f"mail {c}@mail8.example.com now" for c in "abcdefghijklmnopqrstuvwxyz"]
+    got = [r.text for r in run(spark, texts).values()]
+    assert all(re.fullmatch(r"mail [a-z]+@\w{4}\d\.\w{7}\.com now", t) for t in got) and len(set(got)) == 26
+    drawn = spark.range(pii.DRAWS).select(pii.surrogate(F.lit("Frau Weber"), F.col("id").cast("int"), KEY).alias("s"))
+    names = [r.s for r in drawn.collect()]
+    assert all(re.fullmatch(r"Frau [A-Z][a-z]+na", n) for n in names) and len(max(names, key=len)) >= len(names[0]) + 14
