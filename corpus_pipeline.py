@@ -12,13 +12,13 @@ from kerbside.llm.common import written
 from kerbside.llm.queries import token_model
 
 
-# An even guess between two families of two languages still scores 0.25 and an ordinary text 0.8 and more: short clean
-# documents stay, texts that fit none of many languages go.
+# An even guess between two families of two languages still scores 0.25, so with four such languages this removes nothing
+# and only texts without a letter go; texts in other languages stay. It bites from three families or languages on.
 LEAST_SCORE = 0.2
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents go that have no letter, or whose language is no more than a guess."""
+    """Documents go that have no letter; with many families or languages also those of less than LEAST_SCORE."""
     model = language_id.fit(docs.filter(~language_id.held_out()))
     return language_id.with_language(docs, model, LEAST_SCORE)
 
