@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.llm import (
-    chat_format, decontamination, fingerprints, language_id, mixing, pii, secret_scan, simhash_dedup, token_counts, url_filter,
+    chat_format, decontamination, fingerprints, language_id, mixing, pii, secret_scan, simhash_dedup, spelling_variants, token_counts,
+    url_filter,
 )
 
 
@@ -94,6 +95,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), token_model())
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_url_filter": op2_url_filter,
@@ -105,6 +110,7 @@ QUERIES = {
     "op8_pii_surrogates": op8_pii_surrogates,
     "op9_secret_scan": op9_secret_scan,
     "op10_token_counts": op10_token_counts,
+    "op11_spelling_variants": op11_spelling_variants,
 }
 
 SQL = {
