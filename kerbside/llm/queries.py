@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.llm import (
-    chat_format, decontamination, fingerprints, language_id, mixing, pii, secret_scan, simhash_dedup, spelling_variants, token_counts,
-    url_filter,
+    chat_format, decontamination, fill_in_middle, fingerprints, language_id, mixing, pii, secret_scan, simhash_dedup,
+    spelling_variants, token_counts, url_filter,
 )
 
 
@@ -99,6 +99,15 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants.variants(table(spark, sf_dir, "documents"))
 
 
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.transform(table(spark, sf_dir, "documents"))
+    restored = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored, 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_url_filter": op2_url_filter,
@@ -111,6 +120,7 @@ QUERIES = {
     "op9_secret_scan": op9_secret_scan,
     "op10_token_counts": op10_token_counts,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_fill_in_middle": op12_fill_in_middle,
 }
 
 SQL = {
@@ -158,4 +168,25 @@ SQL = {
             coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
         FROM doc LEFT JOIN hit USING (d) LEFT JOIN items USING (d)
     """,
+    "op12_fill_in_middle": r"""
+        WITH drawn AS (
+            SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+            FROM documents
+        ), numbers AS (
+            SELECT doc_id, t, n, CAST('0x' || substr(h, 1, 8) AS UBIGINT) % (n + 1) AS c1, CAST('0x' || substr(h, 9, 8) AS UBIGINT) % (n + 1) AS c2,
+                t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR CAST('0x' || substr(h, 17, 8) AS UBIGINT) % 100 >= 90 AS plain,
+                CAST('0x' || substr(h, 25, 8) AS UBIGINT) % 100 < 20 AS suffix_first
+            FROM drawn
+        ), cut AS (
+            SELECT doc_id, t, n, CASE WHEN plain THEN 'plain' WHEN suffix_first THEN 'spm' ELSE 'psm' END AS form,
+                CAST(least(c1, c2) AS BIGINT) AS a, CAST(greatest(c1, c2) AS BIGINT) AS b
+            FROM numbers
+        ), parts AS (
+            SELECT *, substr(t, 1, a) AS p, substr(t, a + 1, b - a) AS m, substr(t, b + 1) AS s FROM cut
+        )
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+            sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+            sha256(t) AS restored_sha256
+        FROM parts
+    """,
 }
