@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.llm import (
-    chat_format, decontamination, fill_in_middle, fingerprints, language_id, mixing, pii, secret_scan, simhash_dedup,
-    spelling_variants, token_counts, url_filter,
+    byte_bpe, chat_format, decontamination, fill_in_middle, fingerprints, language_id, mixing, pii, secret_scan,
+    simhash_dedup, spelling_variants, token_counts, url_filter,
 )
 
 
@@ -108,6 +108,11 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = byte_bpe.round_trip(table(spark, sf_dir, "documents"), str(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")))
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_url_filter": op2_url_filter,
@@ -121,6 +126,7 @@ QUERIES = {
     "op10_token_counts": op10_token_counts,
     "op11_spelling_variants": op11_spelling_variants,
     "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_byte_bpe": op13_byte_bpe,
 }
 
 SQL = {
