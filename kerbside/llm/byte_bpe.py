@@ -17,6 +17,7 @@ only, so segments are encoded apart, and the ids of short ones are remembered in
 from __future__ import annotations
 
 import base64
+import re
 import tempfile
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -26,7 +27,6 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import regex
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -34,8 +34,10 @@ from pyspark.sql import types as T
 from kerbside.llm.common import field, ship, slices
 
 # Segments of at most SHORT characters are remembered in a worker up to this many; then the memory starts anew.
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 19
 SHORT = 32
+# Words of more bytes are contracted by ENCODE_LONG.
+LONG = 64
 # Words that one recursive query contracts have about this many bytes together, unless a single one has more.
 ENCODE_BYTES = 1 << 18
 # What DuckDB may hold in a worker; beyond, it spills to the worker's temporary folder.
@@ -53,9 +55,26 @@ TABLES = """
         SELECT l, r, m, m NOT IN (SELECT l FROM merge WHERE m < l UNION ALL SELECT r FROM merge WHERE m < r) AS calm FROM merge;
 """
 
-# The working table holds the words that changed in the last round. A word contracts its pairs of least rank from the
-# left, where one does not overlap another, up to the first that makes a pair of lesser rank (``risk``): that one is next.
+# The working table holds the words that changed in the last round; each contracts its leftmost pair of least rank.
 ENCODE = """
+    WITH RECURSIVE state(word, round, ids) AS (
+        SELECT word, 0, ids FROM fresh
+        UNION ALL
+        SELECT word, round + 1, ids[1 : best % 256 - 1] || [best // 256] || ids[best % 256 + 2 :]
+        FROM state JOIN (
+            SELECT word, min(m * 256 + pos) AS best
+            FROM (SELECT word, unnest(ids[:-2]) AS id, unnest(ids[2:]) AS after, generate_subscripts(ids, 1) AS pos FROM state) AS s
+            JOIN pair ON pair.l = s.id AND pair.r = s.after
+            GROUP BY word
+        ) USING (word)
+    )
+    SELECT word, arg_max(ids, round) AS ids FROM state GROUP BY word
+"""
+
+# The same for long words, of which the last state alone is kept. A round contracts a word's pairs of least rank from
+# the left, where one does not overlap another, up to the first that makes a pair of lesser rank (``risk``): that one is
+# next.
+ENCODE_LONG = """
     WITH RECURSIVE state(word, ids) USING KEY (word) AS (
         SELECT word, ids FROM fresh
         UNION
@@ -106,12 +125,12 @@ def _members(kind: str) -> str:
     return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(first.tolist(), last.tolist(), strict=True))
 
 
-def _splitter(pattern: str) -> tuple[regex.Pattern, str]:
+def _splitter(pattern: str) -> tuple[re.Pattern, str]:
     """The pattern with its classes of letters, numbers and white space written out, and the class of white space."""
     letters, numbers, spaces = _members(r"\p{L}"), _members(r"\p{N}"), _members(r"\s")
     inside = pattern.replace(r"[^\s\p{L}\p{N}]", f"[^{spaces}{letters}{numbers}]")
     outside = inside.replace(r"\p{L}", f"[{letters}]").replace(r"\p{N}", f"[{numbers}]")
-    return regex.compile(outside.replace(r"\S", f"[^{spaces}]").replace(r"\s", f"[{spaces}]")), spaces
+    return re.compile(outside.replace(r"\S", f"[^{spaces}]").replace(r"\s", f"[{spaces}]")), spaces
 
 
 class Coder:
@@ -124,7 +143,9 @@ class Coder:
             raise ValueError("the rank file must hold every single byte")
         self.of_byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.words, spaces = _splitter(pattern)
-        self.safe, self.odd = regex.compile(f"(?V1)(?= [^{spaces}])"), regex.compile(f" (?:[{spaces}]|$)")
+        # By this pattern a run of letters, with or without a space before it, is one word.
+        self.plain = pattern == public_tokenizers.PATTERN
+        self.safe, self.odd = re.compile(f"(?= [^{spaces}])"), re.compile(f" (?:[{spaces}]|$)")
         self.database = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": MEMORY, "temp_directory": tempfile.gettempdir()})
         # ``chars`` holds a character for each byte.
         tokens, ids = list(self.ranks), list(self.ranks.values())
@@ -140,40 +161,43 @@ class Coder:
 
     def _contracted(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
         """Ids of words that are no tokens, in queries of about ENCODE_BYTES."""
-        batch: list[np.ndarray] = []
-        start = size = 0
-        for i, word in enumerate(words):
-            batch.append(self.of_byte[np.frombuffer(word.encode(), np.uint8)])
-            size += len(batch[-1])
-            if size >= ENCODE_BYTES or i == len(words) - 1:
-                offsets = np.cumsum([0, *map(len, batch)], dtype=np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(batch)))
-                self._register("fresh", word=pa.array(np.arange(len(batch), dtype=np.int32)), ids=ids)
-                done = self.database.sql(ENCODE).to_arrow_table().combine_chunks()
+        coded = [word.encode() for word in words]
+        for query, kept in ((ENCODE, [i for i, c in enumerate(coded) if len(c) <= LONG]), (ENCODE_LONG, [i for i, c in enumerate(coded) if len(c) > LONG])):
+            ends = np.cumsum([len(coded[i]) for i in kept], dtype=np.int64)
+            start = 0
+            while start < len(kept):
+                base = int(ends[start - 1]) if start else 0
+                stop = max(start + 1, int(np.searchsorted(ends, base + ENCODE_BYTES, "right")))
+                part = kept[start:stop]
+                ids = self.of_byte[np.frombuffer(b"".join([coded[i] for i in part]), np.uint8)]
+                offsets = np.append(0, ends[start:stop] - base).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))
+                self._register("fresh", word=pa.array(np.arange(len(part), dtype=np.int32)), ids=lists)
+                done = self.database.sql(query).to_arrow_table().combine_chunks()
                 lists = done.column("ids").combine_chunks()
-                values, ends = lists.values.to_numpy().astype("<u4"), lists.offsets.to_numpy()
-                for row, at in enumerate(done.column("word").to_numpy()):
-                    yield words[start + at], values[ends[row] : ends[row + 1]].tobytes()
-                batch, start, size = [], i + 1, 0
+                raw, offsets = lists.values.to_numpy().astype("<u4").tobytes(), (lists.offsets.to_numpy() * 4).tolist()
+                for row, at in enumerate(done.column("word").to_pylist()):
+                    yield words[part[at]], raw[offsets[row] : offsets[row + 1]]
+                start = stop
 
     def _encode_words(self, words: set[str]) -> dict[str, bytes]:
-        found = {}
-        others = []
-        for word in words:
+        """Ids of distinct words. Those of short ones stay in ``known_words``."""
+        fresh = words - self.known_words.keys()
+        if len(self.known_words) + len(fresh) > REMEMBERED:
+            self.known_words, fresh = {}, words
+        found, others = {}, []
+        for word in fresh:
             rank = self.ranks.get(word.encode())
-            if rank is not None:
-                found[word] = rank.to_bytes(4, "little")
-            elif word in self.known_words:
-                found[word] = self.known_words[word]
-            else:
+            if rank is None:
                 others.append(word)
-        if len(self.known_words) + len(others) > REMEMBERED:
-            self.known_words = {}
-        for word, ids in self._contracted(others):
-            found[word] = ids
-            if len(word) <= SHORT:
-                self.known_words[word] = ids
-        return found
+            else:
+                found[word] = rank.to_bytes(4, "little")
+        found.update(self._contracted(others))
+        self.known_words.update(found)
+        made = dict(zip(words, map(self.known_words.__getitem__, words), strict=True))
+        for word in [w for w in found if len(w) > SHORT]:
+            del self.known_words[word]
+        return made
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
@@ -182,18 +206,21 @@ class Coder:
             first, *rest = [s[i > 0 :] for i, s in enumerate(self.safe.split(text))] if self.odd.search(text) else text.split(" ")
             split.append((first, rest))
         wanted = ({first for first, _ in split}, set(chain.from_iterable(rest for _, rest in split)))
-        if sum(map(len, self.known)) + sum(map(len, wanted)) > REMEMBERED:
-            self.known = ({}, {})
-        fresh = [(before, segment) for k, before in enumerate(("", " ")) for segment in wanted[k] if segment not in self.known[k]]
-        words = [self.words.findall(before + segment) for before, segment in fresh]
-        ids = self._encode_words(set(chain.from_iterable(words)))
-        for (before, segment), parts in zip(fresh, words, strict=True):
-            self.known[before == " "][segment] = b"".join([ids[word] for word in parts])
+        fresh = [of - known.keys() for of, known in zip(wanted, self.known, strict=True)]
+        if sum(map(len, self.known)) + sum(map(len, fresh)) > REMEMBERED:
+            self.known, fresh = ({}, {}), wanted
+        for before, segments, known in zip(("", " "), fresh, self.known, strict=True):
+            single = {s for s in segments if s.isalpha() and s.isascii()} if self.plain else set()
+            parts = {s: self.words.findall(before + s) for s in segments - single}
+            ids = self._encode_words({before + s for s in single}.union(chain.from_iterable(parts.values())))
+            known.update((s, ids[before + s]) for s in single)
+            known.update((s, b"".join([ids[word] for word in words])) for s, words in parts.items())
         begin, after = self.known
-        made = [begin[first] + b"".join([after[s] for s in rest]) for first, rest in split]
-        for before, segment in fresh:
-            if len(segment) > SHORT:
-                del self.known[before == " "][segment]
+        made = [begin[first] + b"".join(map(after.__getitem__, rest)) for first, rest in split]
+        for segments, known in zip(fresh, self.known, strict=True):
+            for segment in segments:
+                if len(segment) > SHORT:
+                    del known[segment]
         return made
 
     def decode(self, texts: list[bytes]) -> list[bytes]:
