@@ -29,9 +29,10 @@ _MALE, _FEMALE = (f"{names}|{names.upper()}" for names in (_MALE, _FEMALE))
 _ADDRESS = rf"(?<!\p{{L}})(?:{_MALE}|{_FEMALE})\.?[ \u00a0]"
 _NAMED = r"\p{Lu}[\p{L}'’-]++(?:[ \u00a0]\p{Lu}[\p{L}'’-]++){0,2}"
 _BYTE = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+# The JVM's engine recurses for each turn of a group, so groups are bounded or possessive: a domain name has 127 labels at most.
 PATTERN = "|".join(
     (
-        r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}_%+-](?:[\p{L}\p{N}._%+-])*+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
+        r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}_%+-](?:[\p{L}\p{N}._%+-])*+@(?:[A-Za-z0-9-]++\.){1,126}[A-Za-z]{2,}",
         rf"(?<![\p{{L}}\d.])(?:{_BYTE}\.){{3}}{_BYTE}(?![\p{{L}}\d]|\.\d)",
         r"(?<![\p{L}\d])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,5}){1,4}(?!\d)",
         r"(?<![\p{L}\d])(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?!\d)",

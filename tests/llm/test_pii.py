@@ -97,3 +97,15 @@ def test_full_mailboxes_and_names_grow_instead_of_ending_in_labels(spark):
     drawn = spark.range(pii.DRAWS).select(pii.surrogate(F.lit("Frau Weber"), F.col("id").cast("int"), KEY).alias("s"))
     names = [r.s for r in drawn.collect()]
     assert all(re.fullmatch(r"Frau [A-Z][a-z]+na", n) for n in names) and len(max(names, key=len)) >= len(names[0]) + 14
+
+
+def test_long_runs_of_each_group(spark):
+    """No group of a pattern may recurse as deep as a text is long."""
+    n = 100_000
+    runs = ["ab." * n, "a" * n, "a." * n, "-" * n, "1.2.3." * n, "12 " * n, "123-" * n, "(1)" * n, "A1B2 " * n, "AB" * n, "Ab-" * n, "Ab " * n, "Mr. " * n, "é’" * n]
+    texts = [f"{before}{run}{after}" for run in runs for before in ("", "x@", "Mr ", "+1 ", "DE44 ") for after in ("", "com", "@mail.example.com")]
+    found = run(spark, texts)
+    assert len(found) == len(texts)
+    # A domain of more than its 127 labels is an address as far as these go.
+    assert found[texts.index("x@" + "ab." * n + "com")].n_entities == 1
+    assert "mail.example.com" not in found[texts.index("a." * n + "@mail.example.com")].text
