@@ -100,12 +100,11 @@ def test_full_mailboxes_and_names_grow_instead_of_ending_in_labels(spark):
 
 
 def test_long_runs_of_each_group(spark):
-    """No group of a pattern may recurse as deep as a text is long."""
+    """No group of the pattern may recurse as deep as a text is long."""
     n = 100_000
-    runs = ["ab." * n, "a" * n, "a." * n, "-" * n, "1.2.3." * n, "12 " * n, "123-" * n, "(1)" * n, "A1B2 " * n, "AB" * n, "Ab-" * n, "Ab " * n, "Mr. " * n, "é’" * n]
-    texts = [f"{before}{run}{after}" for run in runs for before in ("", "x@", "Mr ", "+1 ", "DE44 ") for after in ("", "com", "@mail.example.com")]
-    found = run(spark, texts)
-    assert len(found) == len(texts)
+    runs = ["a", "a.", "-", "1.2.3.", "12 ", "123-", "+1 (1)", "A1B2 ", "Mr Ab-", "é’"]
+    texts = spark.createDataFrame([(r * n,) for r in runs], "text string")
+    assert texts.where(F.regexp_count("text", F.lit(pii.PATTERN)) >= 0).count() == len(runs)
     # A domain of more than its 127 labels is an address as far as these go.
-    assert found[texts.index("x@" + "ab." * n + "com")].n_entities == 1
-    assert "mail.example.com" not in found[texts.index("a." * n + "@mail.example.com")].text
+    (found,) = run(spark, ["x@" + "ab." * n + "com"]).values()
+    assert found.n_entities == 1 and not found.text.startswith("x@")
