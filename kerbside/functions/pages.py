@@ -7,8 +7,11 @@ then spoils only itself, never its page.
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Callable, Iterable, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -121,35 +124,26 @@ def convert(text: Column, kind: str, strict: bool = True) -> Column:
     return text.cast(kind) if strict else text.try_cast(kind)
 
 
-def _canonical_items(text: Column) -> Column:
-    """The elements of a JSON array, each with its keys in order, in the order of the array."""
-    one = lambda item: F.coalesce(F.to_json(F.try_parse_json(item)), item, F.lit("null"))
-    return F.concat(F.lit("["), F.array_join(F.transform(F.from_json(text, "array<string>"), one), ","), F.lit("]"))
-
+def content_hash(content: Column) -> Column:
+    """md5 of a page's canonical JSON: keys in order at every depth, one space after commas and colons, ASCII.
 
-def _canonical_fields(text: Column, inner: Callable[[Column], Column]) -> Column:
-    """The fields of a JSON object in the order of their keys, each value by ``inner``."""
-    fields = F.array_sort(F.map_entries(F.from_json(text, "map<string,string>")))
-    one = lambda e: F.concat(e["key"], F.lit(":"), F.coalesce(inner(e["value"]), F.lit("null")))
-    return F.concat(F.lit("{"), F.array_join(F.transform(fields, one), ","), F.lit("}"))
+    Texts, numbers, booleans and nulls keep their kind, by one rule for pages of any size and depth; of a repeated key
+    the last value counts. Text that is no JSON, or is nested deeper than the parser goes, is hashed as it stands. The
+    built-in functions lose the kind of a value or refuse large pages, so this runs on Arrow batches in Python.
+    """
 
+    def canonical(body: str) -> str:
+        try:
+            return json.dumps(json.loads(body), sort_keys=True)
+        except (ValueError, RecursionError):
+            return body
 
-def content_hash(content: Column) -> Column:
-    """md5 that ignores key order and white space, by one rule for pages of all sizes.
+    # A local function is sent to the executors with the job.
+    def digests(bodies: pa.Array) -> pa.Array:
+        texts = (None if body.as_py() is None else canonical(body.as_py()) for body in bodies)
+        return pa.array([None if t is None else hashlib.md5(t.encode("utf-8", "surrogatepass")).hexdigest() for t in texts], pa.string())
 
-    A page is taken apart as all pages are: fields, the fields of those, and items, of which each is brought into
-    one form by itself. Field values lose their quotes on the way, so the number of characters that are no white
-    space is part of the hash. Text that is no JSON is hashed as it stands.
-    """
-    array = lambda v: F.coalesce(_canonical_items(v), v)
-    inside = lambda v: F.when(v.startswith("["), array(v)).otherwise(v)
-    value = lambda v: (
-        F.when(v.startswith("{"), F.coalesce(_canonical_fields(v, inside), v)).when(v.startswith("["), array(v)).otherwise(v)
-    )
-    body = F.ltrim(content)
-    known = F.when(body.startswith("{"), _canonical_fields(content, value)).when(body.startswith("["), _canonical_items(content))
-    size = F.length(F.translate(content, " \n\r\t", ""))
-    return F.md5(F.coalesce(F.concat(known, F.lit("\u0001"), size.cast("string")), content))
+    return F.arrow_udf(digests, "string")(content)
 
 
 def next_link(content: Column) -> Column:

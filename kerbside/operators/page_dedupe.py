@@ -1,8 +1,9 @@
 """Which landed pages are new.
 
-The decision is taken on slim rows (page, hash, order); page bodies only pass through the final semi join, which Spark
-turns into a broadcast while the list of kept pages is small. Raw tables and pages are compared as structs, so an
-unknown provider or endpoint is a raw table like any other.
+Each filter decides once. ``keep_if_changed`` decides on slim rows (page, hash, order) and lets the bodies pass a semi join;
+``keep_if_unseen`` groups the batch by hash and joins the slim history in the same layout. Both cut each map-side partition
+to one body per page or hash before bodies move. Raw tables and pages are compared as structs, so an unknown provider or
+endpoint is a raw table like any other.
 """
 
 from __future__ import annotations
@@ -33,11 +34,11 @@ def _identified(pages: DataFrame, page_key: Sequence[str], order: Sequence[str])
     return pages.withColumn("_page", F.struct(*parts)).withColumn("_table", F.struct(*TABLE))
 
 
-def _bodies(pages: DataFrame, kept: DataFrame) -> DataFrame:
-    """The pages named by ``kept``, each once: copies that agree in name, order and hash are one page."""
-    found = pages.join(kept.select("_page"), "_page", "left_semi")
-    known, unknown = found.where(F.col("md5_hash").isNotNull()), found.where(F.col("md5_hash").isNull())
-    return first_per_key(known, ["_page"], [F.col("md5_hash")]).unionByName(unknown).drop("_page", "_table")
+def _first_known(pages: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The first page of each key; pages without a hash are keys of their own and all stay."""
+    own = F.when(F.col("md5_hash").isNull(), F.monotonically_increasing_id())
+    ranked = [F.col(name).asc_nulls_last() for name in order]
+    return first_per_key(pages.withColumn("_own", own), [*keys, "_own"], ranked, ["_page"]).drop("_own")
 
 
 def last_hashes(stored: DataFrame) -> DataFrame:
@@ -66,7 +67,9 @@ def keep_if_changed(new: DataFrame, stored: DataFrame | None = None, order: Sequ
     chunk = F.when(F.col("_new"), time_chunk(F.col(order[0]), chunk_seconds)).otherwise(F.lit(-(2**62)).cast("bigint"))
     told = lag_by(slim, ["_table"], [*order, "md5_hash"], chunk, ["md5_hash"])
     repeated = F.coalesce(F.col("prev")["md5_hash"] == F.col("md5_hash"), F.lit(False))
-    return _bodies(pages, told.where(F.col("_new") & ~repeated))
+    kept = told.where(F.col("_new") & ~repeated).select("_page")
+    # Copies that agree in name, order and hash are one page.
+    return _first_known(pages.join(kept, "_page", "left_semi"), ["_page"], ()).drop("_page", "_table")
 
 
 def keep_if_unseen(new: DataFrame, stored: DataFrame | None = None, order: Sequence[str] = ("load_ts", "filename"),
@@ -75,14 +78,12 @@ def keep_if_unseen(new: DataFrame, stored: DataFrame | None = None, order: Seque
 
     A missing hash was never seen.
     """
-    pages = _identified(new, page_key, order)
-    slim = pages.select("_page", "_table", *order, "md5_hash")
-    known = slim.where(F.col("md5_hash").isNotNull())
-    firsts = first_per_key(known, ["_table", "md5_hash"], [F.col(c).asc_nulls_last() for c in order], ["_page"])
+    firsts = _first_known(_identified(new, page_key, order), ["_table", "md5_hash"], order)
     if stored is not None:
-        seen = stored.where(F.col("md5_hash").isNotNull()).select(F.struct(*TABLE).alias("_table"), "md5_hash")
+        # A hash that is NULL equals nothing. The history arrives in the layout that the batch already has.
+        seen = stored.select(F.struct(*TABLE).alias("_table"), "md5_hash").where(F.col("md5_hash").isNotNull())
         firsts = firsts.join(seen, ["_table", "md5_hash"], "left_anti")
-    return _bodies(pages, firsts.unionByName(slim.where(F.col("md5_hash").isNull())))
+    return firsts.drop("_page", "_table")
 
 
 def drop_empty(pages: DataFrame, leaf: str = "leaf") -> DataFrame:

@@ -35,7 +35,7 @@ def refresh(spark: SparkSession, bronze: DataFrame, store: str, strict: bool = T
     from what was noted beside the store is parsed again, whenever its pages came. Dates are as many as days. Reports
     lie in ``store``, registries and Poppy's types and trips beside it.
     """
-    page = F.xxhash64("provider", "endpoint", "filename", "load_ts", "md5_hash", F.length("content"))
+    page = F.xxhash64("provider", "endpoint", "filename", "load_ts", "md5_hash")
     marks = bronze.groupBy("load_date").agg(F.count("*").alias("pages"), F.bit_xor(page).alias("mark")).collect()
     noted_at = f"{store}_pages"
     places = {f.name: store if f.name == "reports" else f"{store}_{f.name}" for f in fields(Parsed)}

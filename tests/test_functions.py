@@ -1,3 +1,5 @@
+import hashlib
+
 import pytest
 from conftest import rows
 from pyspark.errors import PySparkException
@@ -74,7 +76,7 @@ def test_hash_ignores_key_order_and_space(spark):
 
 
 def test_one_hash_rule_for_all_sizes(spark):
-    for size in (10, 14_000_000):  # eight items of the larger size are beyond what a VARIANT value can hold
+    for size in (10, 20_000_000):  # eight items of the larger size are beyond what a VARIANT value can hold
         text = F.repeat(F.lit("x"), size)
         one = F.concat(F.lit('{"k":"'), text, F.lit('","l":1}'))
         turned = F.concat(F.lit('{"l": 1, "k": "'), text, F.lit('"}'))
@@ -91,6 +93,19 @@ def test_hash_tells_texts_from_numbers(spark):
     assert len({value(spark, content_hash(F.lit(b))) for b in bodies}) == len(bodies)
 
 
+def test_hash_keeps_kinds_at_every_depth(spark):
+    def hashes(*bodies):
+        return [r[0] for r in spark.createDataFrame([(b,) for b in bodies], "content string").select(content_hash(F.col("content"))).collect()]
+
+    apart = hashes(
+        '{"a":"1","b":2}', '{"a":1,"b":"2"}', '{"x":null,"y":"null"}', '{"x":"null","y":null}', '{"a":true}', '{"a":"true"}', '{"a":1}', '{"a":1.0}',
+        '{"a":{"b":{"c":"1","d":2}}}', '{"a":{"b":{"c":1,"d":"2"}}}', '{"a":1} x', "x", "", "[" * 100_000, "[" * 100_001,
+    )
+    assert len(set(apart)) == len(apart)
+    one, turned = hashes('{"d":{"e":{"p":1,"q":2}},"l":[{"a":1,"b":"\\u00e9"}]}', '{ "l": [ {"b":"é", "a":1} ],\n"d":{"e":{"q":2,"p":1}}}')
+    assert one == turned == hashlib.md5(b'{"d": {"e": {"p": 1, "q": 2}}, "l": [{"a": 1, "b": "\\u00e9"}]}').hexdigest()
+
+
 def test_next_link(spark):
     assert value(spark, next_link(F.lit('{"links":{"next":"u"}}'))) == "u"
     for body in ('{"links":{"next":null}}', '{"links":{}}', "[1]"):

@@ -427,6 +427,14 @@ SELECT provider, filename, load_ts FROM (
     FROM reports WHERE event_type <> 'maintenance_pick_up')
 WHERE n = 1 AND load_ts >= TIMESTAMP '2024-01-15 00:00:00'""", "reports")
 
+# Canonical JSON: keys in order, a space after each comma and colon.
+SQL["page_hash_canonical"] = with_frames("""
+SELECT event_id, md5(CASE event_id % 4
+    WHEN 2 THEN '{"a": null, "data": {"events": [{"id": "' || i || '", "place": {"p": true, "q": ["' || i || '", ' || i || ']}}], "n": 1}}'
+    WHEN 3 THEN '{"a": "null", "data": {"events": [{"id": ' || i || ', "place": {"p": "true", "q": [' || i || ', "' || i || '"]}}], "n": "1"}}'
+    ELSE '{"a": null, "data": {"events": [{"id": ' || i || ', "place": {"p": true, "q": [' || i || ', "' || i || '"]}}], "n": 1}}' END) AS md5_hash
+FROM (SELECT event_id, event_id // 4 AS i FROM reports)""", "reports")
+
 SQL["landing_parse"] = with_frames("""
 SELECT trip_id,
        CASE WHEN merged THEN 'telemetry_' || hour || '.json'

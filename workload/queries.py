@@ -468,6 +468,30 @@ def page_hash_any(spark, sf_dir):
     return keep_if_unseen(new, stored).select("provider", "filename", "load_ts")
 
 
+@query
+def page_hash_canonical(spark, sf_dir):
+    """Hashes of pages that must agree (keys turned at every depth, white space) and of pages that must not (kinds exchanged)."""
+    rows = frames.reports(spark, sf_dir)
+    # A fourth of the events each: plain, turned, numbers as texts, nulls as texts.
+    bodies = [
+        '{{"a":null,"data":{{"events":[{{"id":{0},"place":{{"p":true,"q":[{0},"{0}"]}}}}],"n":1}}}}',
+        '{{"data": {{"n": 1,\n "events": [{{"place": {{"q": [{0}, "{0}"], "p": true}}, "id": {0}}}]}}, "a": null}}',
+        '{{"a":null,"data":{{"events":[{{"id":"{0}","place":{{"p":true,"q":["{0}",{0}]}}}}],"n":1}}}}',
+        '{{"a":"null","data":{{"events":[{{"id":{0},"place":{{"p":"true","q":[{0},"{0}"]}}}}],"n":"1"}}}}',
+    ]
+    # The same number stands in all four bodies of neighbouring events.
+    number = F.floor(F.col("event_id") / 4).cast("string")
+    made = [F.concat(*[F.lit(part) if i % 2 == 0 else number for i, part in enumerate(_apart(body))]) for body in bodies]
+    content = F.element_at(F.array(*made), (F.col("event_id") % 4 + 1).cast("int"))
+    return rows.select("event_id", content_hash(content).alias("md5_hash"))
+
+
+def _apart(body: str) -> list[str]:
+    """Constant parts of a body with a number between each two."""
+    parts = body.format("\0").split("\0")
+    return [x for part in parts for x in (part, "")][:-1]
+
+
 @query
 def landing_parse(spark, sf_dir):
     """File names built from trips, parsed again; telemetry bodies wrapped."""
