@@ -161,6 +161,24 @@ SQL["status_incremental"] = SQL["status_incremental"].replace("\n, on_time AS",
     "SELECT * FROM reports", "SELECT * FROM reports WHERE reported_at < TIMESTAMP '2024-01-20 00:00:00' AND event_type <> 'maintenance_pick_up'"
 ) + "),\non_time AS")
 
+# Three runs: what each knows, its slice of that, and the mart with the slice put in.
+RUN = """(SELECT *, CASE WHEN event_type = 'ping' THEN 3
+    WHEN reported_at < TIMESTAMP '2024-01-13 00:00:00' THEN CASE event_type WHEN 'maintenance_pick_up' THEN 2 ELSE 1 END
+    WHEN reported_at < TIMESTAMP '2024-01-20 00:00:00' AND event_type <> 'maintenance_pick_up' THEN 2 ELSE 3 END AS run FROM reports)"""
+
+
+def _after_run(k: int) -> str:
+    best = FRAMES["best"][1].replace("SELECT * FROM reports", f"SELECT * FROM {RUN} WHERE run <= {k}")
+    known = f"best_{k} AS ({best}), typed_{k} AS (SELECT *, CASE provider_name WHEN 'Poppy' THEN 'car' ELSE 'scooter' END AS vehicle_type FROM best_{k})"
+    if k == 1:
+        return f"{known}, mart_1 AS ({timeline('typed_1')})"
+    sliced = timeline(f"typed_{k}", f'reported_at >= (SELECT max("VALID_FROM_TS") - INTERVAL 1 DAY FROM mart_{k - 1})')
+    merged = f'SELECT * FROM mart_{k - 1} WHERE "UID" NOT IN (SELECT "UID" FROM slice_{k}) UNION ALL SELECT * FROM slice_{k}'
+    return f"{known}, slice_{k} AS ({sliced}), mart_{k} AS ({merged})"
+
+
+SQL["status_state_runs"] = with_frames(", " + ", ".join(map(_after_run, (1, 2, 3))) + "\nSELECT * FROM mart_3", "reports")
+
 CUT = "(SELECT max(reported_at) - INTERVAL 1 DAY FROM reports WHERE reported_at < TIMESTAMP '2024-01-20 00:00:00')"
 SQL["status_late_rows"] = with_frames(f"SELECT count(*) AS late_rows FROM reports WHERE reported_at < {CUT}", "reports")
 SQL["incremental_rows"] = with_frames(f"SELECT event_id, vehicle_id, reported_at FROM reports WHERE reported_at >= {CUT}", "reports")
