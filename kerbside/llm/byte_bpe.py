@@ -39,7 +39,7 @@ SHORT = 32
 # Words of more bytes are contracted by ENCODE_LONG.
 LONG = 64
 # Words that one recursive query contracts have about this many bytes together, unless a single one has more.
-ENCODE_BYTES = 1 << 18
+ENCODE_BYTES = 1 << 19
 # What DuckDB may hold in a worker; beyond, it spills to the worker's temporary folder.
 MEMORY = "500MB"
 # Ids that one query decodes.
@@ -107,8 +107,10 @@ ENCODE_LONG = """
     SELECT word, ids FROM state
 """
 
+# The database has one thread, so the aggregate meets the rows as they are sorted.
 DECODE = """
-    SELECT text, array_to_string(list(chars ORDER BY pos), '') AS chars FROM given JOIN token USING (id) GROUP BY text
+    SELECT text, string_agg(chars, '') AS chars
+    FROM (SELECT text, chars FROM given JOIN token USING (id) ORDER BY pos) GROUP BY text
 """
 
 
@@ -125,12 +127,16 @@ def _members(kind: str) -> str:
     return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(first.tolist(), last.tolist(), strict=True))
 
 
-def _splitter(pattern: str) -> tuple[re.Pattern, str]:
-    """The pattern with its classes of letters, numbers and white space written out, and the class of white space."""
+def _splitter(pattern: str) -> tuple[re.Pattern, str, bool]:
+    """The pattern with its classes written out, the class of white space, and whether ``str.isalpha`` tells single words."""
     letters, numbers, spaces = _members(r"\p{L}"), _members(r"\p{N}"), _members(r"\s")
     inside = pattern.replace(r"[^\s\p{L}\p{N}]", f"[^{spaces}{letters}{numbers}]")
     outside = inside.replace(r"\p{L}", f"[{letters}]").replace(r"\p{N}", f"[{numbers}]")
-    return re.compile(outside.replace(r"\S", f"[^{spaces}]").replace(r"\s", f"[{spaces}]")), spaces
+    words = re.compile(outside.replace(r"\S", f"[^{spaces}]").replace(r"\s", f"[{spaces}]"))
+    # By the public pattern a run of letters, with or without a space before it, is one word.
+    alphabet = "".join(c for c in map(chr, range(0x110000)) if c.isalpha())
+    known = re.fullmatch(f"[{letters}]+", alphabet) is not None
+    return words, spaces, pattern == public_tokenizers.PATTERN and known
 
 
 class Coder:
@@ -142,9 +148,7 @@ class Coder:
         if len(self.ranks.keys() & {bytes([b]) for b in range(256)}) < 256:
             raise ValueError("the rank file must hold every single byte")
         self.of_byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
-        self.words, spaces = _splitter(pattern)
-        # By this pattern a run of letters, with or without a space before it, is one word.
-        self.plain = pattern == public_tokenizers.PATTERN
+        self.words, spaces, self.plain = _splitter(pattern)
         self.safe, self.odd = re.compile(f"(?= [^{spaces}])"), re.compile(f" (?:[{spaces}]|$)")
         self.database = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": MEMORY, "temp_directory": tempfile.gettempdir()})
         # ``chars`` holds a character for each byte.
@@ -210,7 +214,7 @@ class Coder:
         if sum(map(len, self.known)) + sum(map(len, fresh)) > REMEMBERED:
             self.known, fresh = ({}, {}), wanted
         for before, segments, known in zip(("", " "), fresh, self.known, strict=True):
-            single = {s for s in segments if s.isalpha() and s.isascii()} if self.plain else set()
+            single = {s for s in segments if s.isalpha()} if self.plain else set()
             parts = {s: self.words.findall(before + s) for s in segments - single}
             ids = self._encode_words({before + s for s in single}.union(chain.from_iterable(parts.values())))
             known.update((s, ids[before + s]) for s in single)
