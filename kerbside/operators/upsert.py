@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kerbside.operators.quality import Check, require
 
@@ -55,6 +57,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
+def drop(spark: SparkSession, path: str) -> None:
+    """Remove what lies at ``path``, if anything."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def read_mart(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
     """The stored mart, None before its first load. Older files may lack newer columns.
 
@@ -71,28 +79,58 @@ def in_values(df: DataFrame, column: str, values: Sequence) -> DataFrame:
     return df.where(wanted | F.col(column).isNull() if None in values else wanted)
 
 
+def _mart_schema(spark: SparkSession, mart: str) -> T.StructType:
+    """All columns of the mart, as ``publish`` notes them; marts without a note are asked file by file."""
+    if exists(spark, f"{mart}/_columns"):
+        return T.StructType.fromJson(json.loads(spark.read.text(f"{mart}/_columns", wholetext=True).first()[0]))
+    return read_mart(spark, mart).schema
+
+
+def _note_schema(spark: SparkSession, mart: str, schema: T.StructType) -> None:
+    spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{mart}/_columns")
+
+
+def merged_schema(stored: T.StructType, batch: T.StructType) -> T.StructType:
+    """The batch's columns, then those that only the mart has. A column of two types is refused."""
+    known = {f.name.lower(): f for f in batch.fields}
+    for f in stored.fields:
+        mine = known.get(f.name.lower())
+        if mine is not None and mine.dataType.simpleString() != f.dataType.simpleString():
+            raise ValueError(f"column {f.name}: {mine.dataType.simpleString()} in the batch, {f.dataType.simpleString()} in the mart")
+    return T.StructType([*batch.fields, *[f for f in stored.fields if f.name.lower() not in known]])
+
+
 def publish(spark: SparkSession, batch: DataFrame, mart: str, staging: str, key: str, partition: str,
-            partition_value: Column, checks: Sequence[Check] = ()) -> str:
+            partition_value: Column, checks: Sequence[Check] = (), also: Sequence = ()) -> str:
     """Upsert ``batch`` into the Parquet mart, after its checks have passed.
 
-    ``partition_value`` must follow from the key: then only partitions the batch names are read and
-    rewritten, whatever the size of the mart, and no partition is ever left with stale rows. Their values, no more
-    than the mart has partitions, become literals of the scan. The batch holds all columns of the mart. The merged
+    ``partition_value`` must follow from the key, or ``also`` must name every other partition that can hold a row of the
+    batch's keys: then only these partitions are read and rewritten, whatever the size of the mart, and no partition is
+    ever left with stale rows. Their values, no more than the mart has partitions, become literals of the scan. Columns
+    that only one side has are kept, NULL on the other; one of two types is refused. The merged
     partitions are written to ``staging`` (a new folder per run), checked there and then swapped in with
-    one dynamic partition overwrite. When a check fails the mart is untouched.
+    one dynamic partition overwrite; partitions that have lost all rows are removed after it. When a check fails the
+    mart is untouched.
     """
     batch_path, merged_path = f"{staging}/batch", f"{staging}/merged"
     batch.withColumn(partition, partition_value).write.mode("overwrite").parquet(batch_path)
     staged = spark.read.parquet(batch_path)
 
-    stored = read_mart(spark, mart, staged.schema)
-    if stored is not None:
-        stored = in_values(stored, partition, [r[0] for r in staged.select(partition).distinct().collect()])
+    stored, noted, schema = None, None, staged.schema
+    named = _partitions(staged, partition)
+    if exists(spark, mart):
+        noted = _mart_schema(spark, mart)
+        # The type of a partition column is guessed from folder names where it is not noted.
+        schema = merged_schema(T.StructType([f for f in noted.fields if f.name != partition]), staged.schema)
+        stored = in_values(read_mart(spark, mart, schema), partition, list({*named, *also}))
     merged = upsert(stored, staged, key)
     merged.write.mode("overwrite").parquet(merged_path)
 
     ready = spark.read.parquet(merged_path)
     require(ready, checks)
+    same = noted is not None and {f.name for f in noted.fields} == {f.name for f in schema.fields}
+    if noted is not None and not same:
+        _note_schema(spark, mart, schema)
     (
         # Few files per partition, and a partition that holds most of the rows is split among tasks.
         ready.hint("rebalance", partition)
@@ -101,5 +139,13 @@ def publish(spark: SparkSession, batch: DataFrame, mart: str, staging: str, key:
         .partitionBy(partition)
         .parquet(mart)
     )
+    if noted is None:
+        _note_schema(spark, mart, schema)
+    emptied = set(also) - set(named)
+    for value in emptied and emptied - set(_partitions(ready, partition)):
+        drop(spark, f"{mart}/{partition}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}")
     return merged_path
 
+
+def _partitions(df: DataFrame, partition: str) -> list:
+    return [r[0] for r in df.select(partition).distinct().collect()]

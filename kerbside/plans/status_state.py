@@ -22,10 +22,10 @@ from kerbside.functions.labels import event_priority
 from kerbside.operators.enrich import unpivot_trips
 from kerbside.operators.latest import STATUS_TIES, latest_per_key
 from kerbside.operators.quality import STATUS_CHECKS
-from kerbside.operators.upsert import DAY_LOOKBACK, exists, key_date, publish, read_mart
+from kerbside.operators.upsert import DAY_LOOKBACK, drop, exists, key_date, publish, read_mart
 from kerbside.plans.status import REPORT_ROW, Parsed, complete_reports, parse_pages, vehicles_status
 from kerbside.schemas import conform
-from kerbside.sources.bronze import read_bronze
+from kerbside.sources.bronze import new_files, read_bronze
 
 DEVICE = ("provider_name", "device_id")
 
@@ -77,11 +77,6 @@ def _start(mart: DataFrame, lookback: str) -> datetime | None:
     return mart.agg((F.max("VALID_FROM_TS") - F.expr(lookback)).alias("start")).first()["start"]
 
 
-def _drop(spark: SparkSession, path: str) -> None:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-
-
 def run_status(spark: SparkSession, fresh: Parsed, mart: str, staging: str, state: str, lookback: str = DAY_LOOKBACK,
                squash: bool = False, files: Sequence[str] = ()) -> int:
     """Publish the slice that follows from the state and from ``fresh``, and keep the next state.
@@ -114,7 +109,7 @@ def run_status(spark: SparkSession, fresh: Parsed, mart: str, staging: str, stat
     noted.write.mode("overwrite").parquet(f"{place}/files")
     spark.range(1).select(F.lit(after).cast("timestamp").alias("start")).coalesce(1).write.mode("overwrite").parquet(f"{state}/whole/run={run}")
     for part in ("whole/", ""):
-        _drop(spark, f"{state}/{part}run={run - 2}")
+        drop(spark, f"{state}/{part}run={run - 2}")
     return late
 
 
@@ -129,6 +124,6 @@ def build_status_state(spark: SparkSession, bronze: str, mart: str, staging: str
     newest = _newest(spark, state)
     if newest is not None:
         noted = spark.read.schema("file string").parquet(f"{state}/run={newest.run}/files")
-        files = [r.file for r in spark.createDataFrame([(f,) for f in files], "file string").join(noted, "file", "left_anti").collect()]
+        files = new_files(spark, table, noted)
     pages = spark.read.schema(table.schema).option("basePath", bronze).parquet(*files) if files else table.limit(0)
     return run_status(spark, parse_pages(pages, strict), mart, staging, state, lookback, squash, files)

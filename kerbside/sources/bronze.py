@@ -32,6 +32,12 @@ def scan(bronze: Bronze, provider: str, endpoint: str) -> DataFrame:
     return bronze.where((F.col("provider") == provider) & (F.col("endpoint") == endpoint))
 
 
+def new_files(spark: SparkSession, table: DataFrame, noted: DataFrame) -> list[str]:
+    """Files of a stored table that ``noted`` (``file``) does not name. Names pass the driver, as Spark's own listing does."""
+    there = spark.createDataFrame([(name,) for name in table.inputFiles()], "file string")
+    return [r.file for r in there.join(noted, "file", "left_anti").collect()]
+
+
 def append_pages(pages: DataFrame, path: str, load_ts: Column | None = None) -> None:
     """Append pages. ``load_ts`` defaults to the current time for pages that have none."""
     now = load_ts if load_ts is not None else F.current_timestamp()

@@ -53,6 +53,22 @@ def test_publish_rewrites_only_named_partitions(spark, tmp_path):
     assert len(rows(read_mart(spark, str(mart)))) == 41
 
 
+def test_publish_keeps_columns_of_both_sides(spark, tmp_path):
+    mart = str(tmp_path / "mart")
+
+    def run(name, batch):
+        publish(spark, batch, mart, str(tmp_path / name), "k", "bucket", F.lit(0))
+
+    run("s1", frame(spark, ("a", 1), ("b", 2)).withColumn("extra", F.lit("x")))
+    run("s2", frame(spark, ("b", 20)))
+    run("s3", frame(spark, ("c", 3)).withColumn("new", F.lit(1.5)))
+    got = rows(read_mart(spark, mart), "k", "v", "extra", "new")
+    assert got == [("a", 1, "x", None), ("b", 20, None, None), ("c", 3, None, 1.5)]
+    with pytest.raises(ValueError, match="column v: string in the batch, int in the mart"):
+        run("s4", frame(spark, ("b", 2)).withColumn("v", F.col("v").cast("string")))
+    assert rows(read_mart(spark, mart), "k", "v", "extra", "new") == got
+
+
 def test_missing_mart_is_none(spark, tmp_path):
     assert read_mart(spark, str(tmp_path / "nothing")) is None
 

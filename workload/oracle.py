@@ -392,6 +392,12 @@ LEFT JOIN picked r ON r.device_id = t.device_id AND r.provider_name = t.provider
     "routes_in_pages", "trip_copies", "registry", "seeds").replace("\n, record", ",\nrecord")
 SQL["bronze_to_gold_trips"] = SQL["bronze_to_gold_trips"].replace("\n\n,", ",\n")
 
+# Runs on a kept state end where one run over all pages does.
+SQL["trips_delta_runs"] = SQL["bronze_to_gold_trips"].replace('SELECT t.trip_id AS "TRIP_ID"', ', mart AS (SELECT t.trip_id AS "TRIP_ID"') + """)
+SELECT m.* EXCLUDE (START_LAT, START_LON, END_LAT, END_LON, N_POINTS, ROUTE_TYPE),
+       coalesce(p.seq, -1) AS seq, round(p.lon, 6) AS lon, round(p.lat, 6) AS lat
+FROM mart m LEFT JOIN routes_in_pages p ON p.trip_id = m."TRIP_ID\""""
+
 SQL["bronze_to_gold_status"] = with_frames(f"""
 , sent AS (
     SELECT provider_name, device_id, vehicle_state, event_type, lat, lon, CASE WHEN provider_name <> 'Dott' OR NOT {SNAPSHOT} THEN trip_id END AS trip_id,

@@ -22,7 +22,7 @@ from kerbside.operators.enrich import (
 from kerbside.operators.gaps import expected_grid, landed_hours, landing_gaps, page_gaps
 from kerbside.operators.latest import best_report, latest_per_key
 from kerbside.operators.page_dedupe import drop_empty, keep_if_changed, keep_if_unseen, last_hashes
-from kerbside.operators.quality import Check, duplicates, run_checks
+from kerbside.operators.quality import SEED_CHECKS, Check, duplicates, run_checks
 from kerbside.operators.routes import attach_routes, line_agg, rejected_routes, trip_lines
 from kerbside.operators.timeline import change_points, validity_intervals
 from kerbside.operators.upsert import incremental_slice, key_bucket, late_rows, publish, read_mart, upsert
@@ -30,6 +30,7 @@ from kerbside.plans import silver, status, trips
 from kerbside.plans.build import refresh_reports
 from kerbside.plans.quarantine import quarantine
 from kerbside.plans.status_state import run_status
+from kerbside.plans.trips_state import build_trips_state
 from kerbside.plans.feeds import dott_pings, poppy_bikes
 from kerbside.schemas import STATUS_MART
 from kerbside.sources.bronze import append_pages, read_bronze
@@ -436,6 +437,22 @@ def bronze_to_gold_trips(spark, sf_dir):
     )
 
 
+@query
+def trips_delta_runs(spark, sf_dir):
+    """The trips mart after three runs on a kept state, with the points of its routes. Pages of a trip, its pings and its vehicle
+    come in different runs, corrections in the last."""
+    folder = _shared_folder(spark, "trips_state")
+    names = [f"{p}_{kind}" for kind in ("TRIPS", "VEHICLES") for p in ("VOI", "DOTT", "BOLT")]
+    landed = _stored_bronze(spark, sf_dir, *names, "POPPY_TRIPS", "DOTT_TELEMETRY", "BOLT_TELEMETRY")
+    run = F.pmod(F.xxhash64("filename"), F.lit(3))
+    for number in range(3):
+        append_pages(landed.where(run == number).drop("load_date"), f"{folder}/bronze")
+        seeds = frames.seeds(spark, sf_dir) if number == 2 else None
+        build_trips_state(spark, f"{folder}/bronze", f"{folder}/mart", f"{folder}/staging-{number}", f"{folder}/kept", seeds, checks=SEED_CHECKS, width=365)
+    mart = read_mart(spark, f"{folder}/mart")
+    return points(mart, "GEOM", "TRIP_ID", "VEHICLE_ID", "VEHICLE_TYPE", "PROVIDER_NAME", "START_TS", "END_TS", "TRIP_DURATION", "TRIP_DISTANCE")
+
+
 @query
 def bronze_to_gold_status(spark, sf_dir):
     """The status mart over the pages of all providers."""
