@@ -6,8 +6,9 @@ verdict throughout.
 
 A rule is a host and the start of a path. It fits its host and all subdomains; the longest rule that fits wins. The
 rules lie in one file: sorted 64-bit xxhash keys, offsets, and the full texts. Each executor gets the file through Spark
-and maps it into memory, so its workers share one copy. An url is probed under each suffix of its host with each length
-of path that a rule has; a key that is found is confirmed by its text, so two texts of one key do no harm.
+and maps it into memory, so its workers share one copy. An url is probed under each suffix of its host that has no more
+labels than a rule, with each length of path that a rule has, so the cost of a long host is that of reading it; a key that
+is found is confirmed by its text, so two texts of one key do no harm.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ MAX_BYTES = 2 << 30
 ALLOW, BLOCK = "allow", "block"
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_HEAD = struct.Struct("<QQQ")
+_HEAD = struct.Struct("<QQQQ")
 
 
 @dataclass(frozen=True)
@@ -53,7 +54,7 @@ def _key(host: str, path: str) -> int:
 
 
 def write_rules(rules: Iterable[Rule], path: Path, key=_key) -> None:
-    """The file: counts, sorted keys, offsets of the texts, lengths of paths, texts (verdict, host, path by line)."""
+    """The file: counts, labels of the longest host, sorted keys, offsets of the texts, lengths of paths, texts (verdict, host, path by line)."""
     unique = {(r.host, r.path): r for r in rules}
     ordered = sorted(unique.values(), key=lambda r: (key(r.host, r.path), r.host, r.path))
     texts = [f"{r.verdict}\n{r.host}\n{r.path}".encode() for r in ordered]
@@ -62,8 +63,9 @@ def write_rules(rules: Iterable[Rule], path: Path, key=_key) -> None:
     keys = np.array([key(r.host, r.path) for r in ordered], "<u8")
     offsets = np.cumsum([0, *map(len, texts)]).astype("<u8")
     lengths = np.unique(np.array([len(r.path) for r in ordered], "<u8"))
+    labels = max((r.host.count(".") + 1 for r in ordered), default=0)
     with path.open("wb") as out:
-        out.write(_HEAD.pack(len(keys), len(lengths), int(offsets[-1])))
+        out.write(_HEAD.pack(len(keys), len(lengths), int(offsets[-1]), labels))
         for part in (keys, offsets, lengths):
             out.write(part.tobytes())
         for text in texts:
@@ -75,7 +77,7 @@ class DigestArray:
 
     def __init__(self, path: str, key=_key):
         raw = np.memmap(path, np.uint8, "r")
-        count, kinds, size = _HEAD.unpack(raw[: _HEAD.size].tobytes())
+        count, kinds, size, self.labels = _HEAD.unpack(raw[: _HEAD.size].tobytes())
         at = _HEAD.size
         self.keys = raw[at : (at := at + 8 * count)].view("<u8")
         self.offsets = raw[at : (at := at + 8 * (count + 1))].view("<u8")
@@ -104,7 +106,7 @@ class DigestArray:
         for i, (host, path) in enumerate(zip(hosts, paths, strict=True)):
             if not host:
                 continue
-            labels = host.split(".")
+            labels = host.rsplit(".", self.labels)[-self.labels :] if self.labels else []
             for suffix in {".".join(labels[j:]) for j in range(len(labels))}:
                 for length in self.lengths:
                     if length <= len(path):

@@ -39,6 +39,17 @@ def test_collisions_are_confirmed_by_text(tmp_path):
     assert array.match(hosts, paths) == (["net/", "example.net/en/", "example.com/de/", None], ["block", "allow", "block", None])
 
 
+def test_long_hosts_cost_their_length(tmp_path):
+    uf.write_rules(URL_RULES, tmp_path / "r")
+    array = uf.DigestArray(tmp_path / "r")
+    asked = []
+    probe = array.probe
+    array.probe = lambda candidates: (asked.extend(candidates), probe(candidates))[1]
+    long = "a." * 500_000 + "example.net"
+    assert array.match([long, "." * 500_000 + "net"], ["/en/x", "/"]) == (["example.net/en/", "net/"], ["allow", "block"])
+    assert sum(len(host) + len(path) for host, path in asked) < 1000
+
+
 def test_no_rules_no_pages_too_many_rules(spark, tmp_path, monkeypatch):
     pages = spark.createDataFrame([(1, "http://a.net/")], "page_id int, url string")
     assert [tuple(r) for r in uf.judge(pages, []).collect()] == [(1, "a.net", "/", None, "allow")]
