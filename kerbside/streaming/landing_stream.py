@@ -1,7 +1,8 @@
 """Take up newly landed page files with a file stream.
 
-Each trigger handles the files that arrived since the last one and appends the unseen pages to bronze.
-The stream's own checkpoint remembers the files; the hash check makes a repeated batch harmless.
+Each trigger handles the files that arrived since the last one and appends the new pages to bronze, by one of the rules
+of ``page_state.land``. The stream's own checkpoint remembers the files, a folder in it the hashes: bronze is not read
+to decide, but for one slim pass when the folder is new. A batch that died is repeated without storing a page twice.
 """
 
 from __future__ import annotations
@@ -10,17 +11,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from kerbside.operators.page_dedupe import drop_empty, keep_if_unseen
-from kerbside.operators.upsert import exists
-from kerbside.sources.bronze import append_pages, read_bronze
+from kerbside.operators.page_dedupe import drop_empty
 from kerbside.sources.landing import to_envelope
+from kerbside.sources.page_state import land
 
 FILE_SCHEMA = "value string"
 
 
-def take_up(spark: SparkSession, landing: str, bronze: str, checkpoint: str, quarantine: str | None = None) -> StreamingQuery:
+def take_up(spark: SparkSession, landing: str, bronze: str, checkpoint: str, quarantine: str | None = None,
+            rule: str = "seen") -> StreamingQuery:
     """Start a stream that drains ``landing`` once and stops.
 
+    ``rule`` ``seen`` keeps pages whose hash was never stored, ``changed`` those that differ from the page before them.
     Pages without payload are dropped; files of unknown name go to ``quarantine`` (by default beside the bronze table).
     """
     files = (
@@ -35,14 +37,12 @@ def take_up(spark: SparkSession, landing: str, bronze: str, checkpoint: str, qua
     )
 
     def append_new(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
         named = to_envelope(batch)
         # A file of unknown name is kept with its body: the checkpoint will not offer it again.
         unknown = named.where(F.col("endpoint").isNull())
         unknown.select("path", "filename", "content", "landed_at").write.mode("append").parquet(quarantine or f"{bronze}_unknown")
-        stored = read_bronze(session, bronze) if exists(session, bronze) else None
         pages = drop_empty(named.where(F.col("endpoint").isNotNull()))
-        append_pages(keep_if_unseen(pages, stored, order=("landed_at", "path"), page_key=("path",)), bronze)
+        land(pages, bronze, f"{checkpoint}/pages", batch_id, rule)
 
     return (
         files.writeStream.foreachBatch(append_new)

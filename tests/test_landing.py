@@ -7,10 +7,11 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from kerbside.catalogue import endpoint_catalogue, with_endpoints
-from kerbside.operators.gaps import expected_grid, landing_gaps, page_gaps
+from kerbside.operators.gaps import expected_grid, landing_gaps, page_gaps, page_runs, unbroken_pages
 from kerbside.operators.page_dedupe import drop_empty, keep_if_changed, keep_if_unseen, last_hashes, with_hash
 from kerbside.sources.bronze import append_pages, read_bronze, scan
 from kerbside.sources.files import import_dump, read_seed, read_table
+from kerbside.sources import page_state
 from kerbside.sources.landing import merged_items, parse_names, read_pages, write_hours
 from kerbside.streaming.landing_stream import take_up
 
@@ -195,6 +196,21 @@ def test_page_runs(spark):
     assert rows(page_gaps(landed, run=("run",))) == [("r2", 2)]
 
 
+def test_how_far_runs_are_unbroken(spark):
+    more, end = '{"links":{"next":"u"}}', "[1]"
+    landed = spark.createDataFrame(
+        [("whole", 1, more), ("whole", 2, more), ("whole", 3, end), ("whole", 3, end), ("cut", 1, more), ("cut", 2, more), ("hole", 1, more), ("hole", 3, end),
+         ("hole", 4, end), ("late", 2, end), ("one", 1, None), (None, 1, more), (None, 2, end), ("odd", None, end), ("odd", 0, more), ("odd", 1, end)],
+        "run string, page_no int, content string",
+    )
+    want = [("whole", 3, 3, 3, True), ("cut", 2, 2, 2, False), ("hole", 3, 4, 1, False), ("late", 1, 2, 0, False), ("one", 1, 1, 1, True), (None, 2, 2, 2, True),
+            ("odd", 1, 1, 1, True)]
+    assert rows(page_runs(landed, run=("run",)), "run", "n_pages", "last_page", "unbroken", "whole") == sorted(want, key=repr)
+    used = [(name, n) for name, _, _, reach, _ in want for n in range(1, reach + 1)] + [("whole", 3)]
+    assert rows(unbroken_pages(landed, run=("run",)), "run", "page_no") == sorted(used, key=repr)
+    assert page_runs(landed.limit(0), run=("run",)).count() == 0
+
+
 def test_seed_list(spark, tmp_path):
     (tmp_path / "lost.csv").write_text('TRIP_ID,VEHICLE_ID,VEHICLE_TYPE\nt1,"a,b",bicycle\nt2,,\n')
     assert rows(read_seed(spark, str(tmp_path / "lost.csv"), "Voi")) == [("Voi", "t1", "a,b", "bicycle"), ("Voi", "t2", None, None)]
@@ -210,3 +226,94 @@ def test_dump_import_is_all_or_nothing(spark, tmp_path):
     assert rows(read_table(spark, target)) == [(1, 'say "hi", twice'), (2, "plain")]
     wide = read_table(spark, target, "id int, note string, md5_hash string")
     assert rows(wide, "id", "md5_hash") == [(1, None), (2, None)]
+
+
+ORDER = {"order": ("load_ts", "filename"), "page_key": ("filename",)}
+
+
+def batches(spark):
+    """A, B | B, A | A2, C in one raw table and A in another."""
+    return [
+        arrivals(spark, ("E", A, 0), ("E", B, 1)),
+        arrivals(spark, ("E", B, 2), ("E", A, 3), ("T", A, 3)),
+        arrivals(spark, ("E", A2, 4), ("E", '{"x":3}', 5), (None, A, 5)),
+    ]
+
+
+def stored_pages(spark, bronze):
+    return rows(read_bronze(spark, bronze).selectExpr("endpoint", "filename", "dense_rank() OVER (ORDER BY load_ts) AS batch"), "batch", "endpoint", "filename")
+
+
+WANT = {
+    "seen": [(1, "E", "f0"), (1, "E", "f1"), (2, "T", "f2"), (3, "E", "f1"), (3, None, "f2")],
+    "changed": [(1, "E", "f0"), (1, "E", "f1"), (2, "E", "f1"), (2, "T", "f2"), (3, "E", "f1"), (3, None, "f2")],
+}
+
+
+def with_file_ts(df):
+    return df.withColumn("file_ts", F.col("load_ts"))
+
+
+@pytest.mark.parametrize("rule", ["seen", "changed"])
+def test_batches_are_decided_on_the_kept_state(spark, tmp_path, rule):
+    bronze, state = str(tmp_path / "bronze"), str(tmp_path / "state")
+    for number, batch in enumerate(batches(spark)):
+        assert page_state.land(with_file_ts(batch), bronze, state, number, rule, **ORDER)
+        assert not page_state.land(with_file_ts(batch), bronze, state, number, rule, **ORDER)
+        if number == 1:
+            page_state.compact(spark, state)
+    assert stored_pages(spark, bronze) == sorted(WANT[rule], key=repr)
+    with pytest.raises(ValueError, match="rule"):
+        page_state.land(with_file_ts(batch), bronze, state, 9, "other", **ORDER)
+    assert page_state.land(with_file_ts(batch).limit(0), bronze, state, 9, rule, **ORDER)
+    assert len(stored_pages(spark, bronze)) == len(WANT[rule])
+
+
+@pytest.mark.parametrize("rule", ["seen", "changed"])
+@pytest.mark.parametrize("step", ["append_pages", "add_hashes", "_write_last", "_mark"])
+def test_a_batch_that_died_is_repeated_without_loss_or_copies(spark, tmp_path, monkeypatch, rule, step):
+    bronze, state = str(tmp_path / "bronze"), str(tmp_path / "state")
+    first, second, third = map(with_file_ts, batches(spark))
+    page_state.land(first, bronze, state, 0, rule, **ORDER)
+    real = getattr(page_state, step)
+
+    def half(pages, *args):
+        if step == "append_pages":  # one page is stored, then the driver is lost
+            real(pages.orderBy("filename").limit(1), *args)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(page_state, step, half)
+    with pytest.raises(RuntimeError, match="lost"):
+        page_state.land(second, bronze, state, 1, rule, **ORDER)
+    monkeypatch.setattr(page_state, step, real)
+    assert page_state.land(second, bronze, state, 1, rule, **ORDER)
+    assert page_state.land(third, bronze, state, 2, rule, **ORDER)
+    assert stored_pages(spark, bronze) == sorted(WANT[rule], key=repr)
+
+
+def test_a_new_state_takes_up_what_bronze_holds(spark, tmp_path):
+    bronze = str(tmp_path / "bronze")
+    first, second, _ = map(with_file_ts, batches(spark))
+    append_pages(first, bronze)
+    # The second state finds the first one's page of table T in bronze.
+    for rule, found in (("seen", [("f2",)]), ("changed", [("f1",), ("f2",)])):
+        page_state.land(second, bronze, str(tmp_path / rule), 0, rule, **ORDER)
+        assert rows(read_bronze(spark, bronze).where("load_date > '2024-12-31'"), "filename") == found
+
+
+def test_a_batch_opens_only_the_partitions_of_its_hashes(spark, tmp_path):
+    state = str(tmp_path / "state")
+    page_state.add_hashes(arrivals(spark, *[("E", f'{{"x":{i}}}', i) for i in range(60)]), state)
+    few = arrivals(spark, ("E", '{"x":7}', 0), ("E", "new", 1))
+    text = page_state.seen_hashes(few, state)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [(" in text and "ReadSchema: struct<md5_hash:string>" in text and "PushedFilters: []" in text
+    found = {r.md5_hash[:2] for r in page_state.seen_hashes(few, state).collect()}
+    assert found <= {r.md5_hash[:2] for r in few.collect()} and len(found) >= 1
+
+
+def test_stream_with_the_last_hash_rule_keeps_a_b_a_over_restarts(spark, tmp_path):
+    landing, bronze, state = tmp_path / "in", str(tmp_path / "bronze"), str(tmp_path / "state")
+    for hour, body in enumerate((A, B, A2, A, B)):
+        land(landing, **{f"voi_trips_2024-04-15T1{hour}_p1": body})
+        take_up(spark, str(landing), bronze, state, rule="changed").awaitTermination()
+    assert [name[0][21:23] for name in rows(read_bronze(spark, bronze), "filename")] == ["10", "11", "12", "14"]

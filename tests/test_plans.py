@@ -25,7 +25,7 @@ def final_plan(df):
 
 STORED = (
     "csv_dump_import", "hourly_files", "status_incremental", "refresh_late_pages", "publish_round_trip", "bronze_page_gaps", "hour_files_back",
-    "seed_files", "bronze_views", "status_state_runs", "trips_delta_runs",
+    "seed_files", "bronze_views", "status_state_runs", "trips_delta_runs", "page_hash_index", "page_hash_last_runs",
 )  # they write tables on the way; other tests cover their plans
 
 

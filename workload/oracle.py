@@ -451,6 +451,17 @@ SELECT provider, filename, load_ts FROM (
     FROM reports WHERE event_type <> 'maintenance_pick_up')
 WHERE n = 1 AND load_ts >= TIMESTAMP '2024-01-15 00:00:00'""", "reports")
 
+SQL["page_hash_index"] = with_frames(f"""
+SELECT provider, filename, load_ts AS file_ts FROM (
+    SELECT upper(provider_name) AS provider, {ARRIVAL}, row_number() OVER (PARTITION BY provider_name, device_id, event_type, clock ORDER BY seen_at, event_id) AS n
+    FROM reports WHERE event_type <> 'maintenance_pick_up')
+WHERE n = 1""", "reports")
+SQL["page_hash_last_runs"] = with_frames(f"""
+SELECT provider, filename, load_ts AS file_ts FROM (
+    SELECT upper(provider_name) AS provider, {ARRIVAL}, event_type, lag(event_type) OVER (PARTITION BY provider_name ORDER BY seen_at, event_id) AS prev
+    FROM reports)
+WHERE prev IS DISTINCT FROM event_type""", "reports")
+
 # Canonical JSON: keys in order, a space after each comma and colon.
 SQL["page_hash_canonical"] = with_frames("""
 SELECT event_id, md5(CASE event_id % 4
@@ -520,6 +531,21 @@ SQL["page_gaps_by_run"] = """
 SELECT DISTINCT l_orderkey AS run, (l_linenumber + 1)::BIGINT AS missing_page FROM lineitem WHERE l_linenumber < 7
 EXCEPT SELECT l_orderkey, l_linenumber FROM lineitem"""
 
+BROKEN_RUNS = """
+WITH landed AS (
+    SELECT l_orderkey AS run, l_linenumber::BIGINT AS page_no, l_linenumber < max(l_linenumber) OVER (PARTITION BY l_orderkey) AS more, l_returnflag FROM lineitem
+), once AS (
+    SELECT DISTINCT run, page_no, more FROM landed WHERE l_returnflag <> 'R'
+), islands AS (
+    SELECT *, page_no - row_number() OVER (PARTITION BY run ORDER BY page_no) AS island FROM once
+)"""
+SQL["page_runs_by_run"] = BROKEN_RUNS + """
+SELECT run, count(*) AS n_pages, max(page_no) AS last_page, count(*) FILTER (island = 0) AS unbroken,
+       count(*) FILTER (island = 0) > 0 AND count(*) FILTER (island <> 0) = 0 AND NOT arg_max(more, page_no) AS whole
+FROM islands GROUP BY run"""
+SQL["page_runs_used"] = BROKEN_RUNS + """
+SELECT run, page_no FROM landed WHERE l_returnflag <> 'R' AND (run, page_no) IN (SELECT (run, page_no) FROM islands WHERE island = 0)"""
+
 SQL["dq_unique"] = with_frames("SELECT trip_id, count(*) AS n_records FROM trip_copies GROUP BY trip_id HAVING count(*) > 1", "trip_copies")
 SQL["dq_checks"] = with_frames("""
 SELECT 'trip_id' AS column_name, 'unique' AS check_kind, count(*) AS failures FROM (SELECT trip_id FROM trip_copies GROUP BY trip_id HAVING count(*) > 1)

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,9 +19,9 @@ from kerbside.functions.pages import content_hash, unreadable_pages
 from kerbside.operators.enrich import (
     only_ids, patch_lost_vehicles, squash_registry, unpivot_trips, with_registry, with_type_lookup,
 )
-from kerbside.operators.gaps import expected_grid, landed_hours, landing_gaps, page_gaps
+from kerbside.operators.gaps import expected_grid, landed_hours, landing_gaps, page_gaps, page_runs, unbroken_pages
 from kerbside.operators.latest import best_report, latest_per_key
-from kerbside.operators.page_dedupe import drop_empty, keep_if_changed, keep_if_unseen, last_hashes
+from kerbside.operators.page_dedupe import PAGE_KEY, drop_empty, keep_if_changed, keep_if_unseen, last_hashes
 from kerbside.operators.quality import SEED_CHECKS, Check, duplicates, run_checks
 from kerbside.operators.routes import attach_routes, line_agg, rejected_routes, trip_lines
 from kerbside.operators.timeline import change_points, validity_intervals
@@ -38,6 +38,7 @@ from kerbside.sources.files import import_dump, read_seed, read_table
 from kerbside.sources.landing import (
     hour_pages, merged_items, page_filename, parse_names, read_hours, to_envelope, wrap_telemetry, write_hours,
 )
+from kerbside.sources.page_state import land
 from workload import frames, pages
 from workload.pages import LOADED
 
@@ -489,25 +490,52 @@ def page_hash_last_stored(spark, sf_dir):
     return last_hashes(_event_pages(spark, sf_dir)).select("provider", "endpoint", "load_ts")
 
 
-@query
-def page_hash_any(spark, sf_dir):
-    """Pages kept when each is compared with everything stored, empty ones dropped."""
+def _filled_or_empty_pages(spark, sf_dir) -> DataFrame:
+    """One page per report; bodies of equal device, kind and clock are equal, those of one kind carry nothing."""
     rows = frames.reports(spark, sf_dir)
     event = F.struct("device_id", "event_type", F.col("clock").cast("string").alias("clock"))
     full = F.to_json(F.struct(F.struct(F.array(event).alias("events")).alias("data")))
     empty = F.lit('{"data":{"events":[]}}')
     content = F.when(F.col("event_type") == "maintenance_pick_up", empty).otherwise(full)
-    arrived = rows.select(
+    return rows.select(
         F.upper("provider_name").alias("provider"), F.lit("EVENTS").alias("endpoint"), content.alias("content"),
         F.lit("events").alias("leaf"),
         F.concat(F.lit("page_"), F.lpad(F.col("event_id").cast("string"), 12, "0")).alias("filename"),
         F.col("seen_at").alias("load_ts"), content_hash(content).alias("md5_hash"),
     )
+
+
+@query
+def page_hash_any(spark, sf_dir):
+    """Pages kept when each is compared with everything stored, empty ones dropped."""
+    arrived = _filled_or_empty_pages(spark, sf_dir)
     filled = drop_empty(arrived)
     stored, new = filled.where(F.col("load_ts") < HALF), filled.where(F.col("load_ts") >= HALF)
     return keep_if_unseen(new, stored).select("provider", "filename", "load_ts")
 
 
+def _landed_in_batches(spark, arrived: DataFrame, rule: str) -> DataFrame:
+    """Bronze after three batches in order of arrival, each decided on the kept state; the second is offered twice."""
+    folder = _shared_folder(spark, "landed")
+    filed = arrived.withColumn("file_ts", F.col("load_ts"))
+    middle, last = F.col("load_ts") >= WEEK_BEFORE, F.col("load_ts") >= STORED_BEFORE
+    for number, mine in ((0, ~middle), (1, middle & ~last), (1, middle & ~last), (2, last)):
+        land(filed.where(mine), f"{folder}/bronze", f"{folder}/state", number, rule, ("load_ts", "filename"), PAGE_KEY)
+    return read_bronze(spark, f"{folder}/bronze").select("provider", "filename", "file_ts")
+
+
+@query
+def page_hash_index(spark, sf_dir):
+    """Pages stored when each batch is compared with the kept index of all hashes, empty ones dropped."""
+    return _landed_in_batches(spark, drop_empty(_filled_or_empty_pages(spark, sf_dir)), "seen")
+
+
+@query
+def page_hash_last_runs(spark, sf_dir):
+    """Pages stored when each is compared with the page before it only, over batches that keep the last hashes."""
+    return _landed_in_batches(spark, _event_pages(spark, sf_dir), "changed")
+
+
 @query
 def page_hash_canonical(spark, sf_dir):
     """Hashes of pages that must agree (keys turned at every depth, white space) and of pages that must not (kinds exchanged)."""
@@ -614,6 +642,29 @@ def page_gaps_by_run(spark, sf_dir):
     return page_gaps(landed, run=("run",))
 
 
+def _broken_runs(spark, sf_dir) -> DataFrame:
+    """Line items as pages of their order; returned ones have not landed, and the last page of a run announces no other."""
+    more = F.col("l_linenumber") < F.max("l_linenumber").over(Window.partitionBy("l_orderkey"))
+    lines = frames.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", more.alias("more"))
+    link = F.when(F.col("more"), F.lit("https://example.org/next"))
+    return lines.where("l_returnflag <> 'R'").select(
+        F.col("l_orderkey").alias("run"), F.col("l_linenumber").cast("bigint").alias("page_no"),
+        F.to_json(F.struct(F.struct(link.alias("next")).alias("links"))).alias("content"),
+    )
+
+
+@query
+def page_runs_by_run(spark, sf_dir):
+    """How far each run of pages is unbroken, and whether it is whole."""
+    return page_runs(_broken_runs(spark, sf_dir), run=("run",))
+
+
+@query
+def page_runs_used(spark, sf_dir):
+    """Pages of each run up to the first one missing."""
+    return unbroken_pages(_broken_runs(spark, sf_dir), run=("run",)).select("run", "page_no")
+
+
 # Quality, files
 
 
