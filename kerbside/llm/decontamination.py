@@ -1,8 +1,8 @@
 """Benchmark decontamination: a prefix-filtered set join of documents with the word windows of benchmark items.
 
 ``docs`` needs doc_id and text, ``benchmark`` item_id and text; other columns are not read. Null and empty texts have
-no words and no hits; an item without words has no window; null ids are kept on documents and count as no item. Repeated
-items count once by id. Empty tables on either side give no hits.
+no words and no hits; an item without words has no window; null ids are kept on documents. The words of an item without
+an id are hit like any other's, but it is not counted or named among the items. Repeated items count once by id. Empty tables on either side give no hits.
 
 A window is contained in a document only if its rarest shingle is. So shingles of the benchmark are counted over all
 documents, each window is indexed by its rarest one alone, and a document position that holds it is a candidate, subject
@@ -44,12 +44,12 @@ def shingles(words: list[bytes], size: int) -> list[bytes]:
 
 def shards(benchmark: DataFrame, shard_bytes: int) -> Iterator[list[tuple]]:
     """The items in lists of about ``shard_bytes`` of text, read one list at a time; repeated rows once."""
-    items = benchmark.select("item_id", "text").filter(F.col("item_id").isNotNull() & F.col("text").isNotNull()).distinct()
+    items = benchmark.select("item_id", "text").filter(F.col("text").isNotNull()).distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = -(-total // shard_bytes)
     for number in range(count):
         mine = items.filter(F.pmod(F.xxhash64(F.col("item_id").cast("string"), "text"), F.lit(count)) == number)
-        yield [(str(r.item_id), r.text.encode()) for r in mine.collect()]
+        yield [(None if r.item_id is None else str(r.item_id), r.text.encode()) for r in mine.collect()]
 
 
 def shingle_counts(docs: DataFrame, wanted: frozenset[bytes], size: int) -> dict[bytes, int]:
@@ -100,7 +100,7 @@ def index_windows(items: list[tuple], counts: dict[bytes, int], window: int, siz
             holders[shingle, place - start, min(window, len(words)), tuple(words[start:end])].add(item)
     index: dict[bytes, list] = defaultdict(list)
     for (shingle, *span), ids in holders.items():
-        index[shingle].append((*span, tuple(sorted(ids))))
+        index[shingle].append((*span, tuple(sorted(ids - {None}))))
     return dict(index)
 
 
@@ -144,7 +144,7 @@ class Searcher:
         """Number of words, positions of hit words, and the items found, sorted."""
         words = words_of(text)
         hit, items = find_hits(words, self.index.value, self.size, self.single)
-        return len(words), [i for i, flag in enumerate(hit) if flag] if items else [], sorted(items)
+        return len(words), [i for i, flag in enumerate(hit) if flag], sorted(items)
 
 
 def searchers(docs: DataFrame, benchmark: DataFrame, window: int, size: int, shard_bytes: int) -> list[Callable]:
@@ -169,7 +169,7 @@ def _merged(docs: DataFrame, found: list[Callable]) -> DataFrame:
         def make(texts: pa.Array, search=search) -> list:
             return list(zip(*map(search, text_bytes(texts)), strict=True)) or [[], [], []]
 
-        hits = map_texts(keyed, make, fields, tuple(_row_keys())).filter(F.size("items") > 0)
+        hits = map_texts(keyed, make, fields, tuple(_row_keys())).filter(F.size("hits") > 0)
         parts.append(written(hits, "hits"))
     # sets: repeated rows of a shard become one before the shuffle, so a group has one entry per shard
     together = reduce(DataFrame.unionByName, parts).groupBy(*_row_keys()).agg(

@@ -167,7 +167,7 @@ SQL = {
         ), hit AS (
             SELECT d, count(DISTINCT p) AS n_hit FROM (SELECT d, unnest(generate_series(i, i + size - 1)) AS p FROM found) GROUP BY d
         ), items AS (
-            SELECT d, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+            SELECT d, count(item_id) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
             FROM (SELECT DISTINCT d, item_id FROM found) GROUP BY d
         )
         SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,

@@ -1,7 +1,7 @@
 import pytest
 
 from kerbside.llm import decontamination as dc
-from kerbside.llm.queries import QUERIES
+from kerbside.llm.queries import QUERIES, SQL
 
 
 def words(text):
@@ -19,13 +19,14 @@ def brute(text, items, size=13):
             for j in range(len(doc) - n + 1):
                 if doc[j : j + n] == w[i : i + n]:
                     hit.update(range(j, j + n))
-                    found.add(str(item_id))
+                    found.update([] if item_id is None else [str(item_id)])
     return len(doc), len(hit), sorted(found), bool(hit) and 20 * len(hit) >= len(doc)
 
 
 ITEMS = [
     (1, "The quick brown fox jumps over the lazy dog near the river bank today"), (2, "one two"), (3, "a"), (4, None), (5, ""), (6, "!!!"),
     (7, " ".join(f"t{i}" for i in range(40))), (8, " ".join(f"t{i}" for i in range(40))), (9, "of of of of of of of of of of of of of of of"), (None, "the"),
+    (None, "jumps over the lazy"), (None, None),
     (10, "écrit à la main"), (12, "w0x0"), (2, "one two"),
 ]
 
@@ -40,7 +41,7 @@ def test_against_brute_force(spark, odd, none, shard_bytes):
         spark.createDataFrame([(*r, "x") for r in more], "doc_id long, text string, n_words string")
     )
     items = spark.createDataFrame([(*r, "x") for r in ITEMS], "item_id long, text string, doc_id string")
-    want = [(r.doc_id, *brute(r.text, [i for i in ITEMS if i[0] is not None])) for r in docs.collect()]
+    want = [(r.doc_id, *brute(r.text, ITEMS)) for r in docs.collect()]
     got = [(r.doc_id, r.n_words, r.n_hit, list(r.item_ids), r.contaminated) for r in dc.contamination(docs, items, shard_bytes=shard_bytes).collect()]
     assert got == want
     kept = dc.uncontaminated(docs, items, shard_bytes=shard_bytes)
@@ -67,3 +68,17 @@ def test_query(spark, sf_dir):
         n, hit, ids, flag = brute(r.text, items)
         got = found[r.doc_id]
         assert (got.n_words, got.n_hit, got.n_items, got.contaminated) == (n, hit, len(ids), flag)
+
+
+def test_sql_agrees_on_odd_rows(spark, odd, tmp_path):
+    """Items without an id, null and empty texts, repeated rows: the query against its SQL."""
+    duckdb = pytest.importorskip("duckdb")
+    odd.select("doc_id", "text").filter("length(text) < 1000 OR text IS NULL").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(ITEMS, "item_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/benchmark.parquet")
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    want = con.execute(SQL["op6_decontamination"])
+    columns = [d[0] for d in want.description]
+    got = QUERIES["op6_decontamination"](spark, str(tmp_path)).select(*columns).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(want.fetchall(), key=repr)
