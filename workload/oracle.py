@@ -559,8 +559,8 @@ SELECT o_orderkey, o_orderstatus, o_orderpriority || ', "' || o_orderstatus || '
 FROM (SELECT *, NULL AS h FROM orders UNION ALL SELECT *, md5(o_orderpriority || ', "' || o_orderstatus || '"') FROM orders)"""
 
 SQL["hourly_files"] = with_frames("""
-SELECT strftime(reported_at, '%Y-%m-%dT%H') AS hour, device_id AS item, count(*) AS n_pings
-FROM reports WHERE provider_name = 'Dott' GROUP BY ALL""", "reports")
+SELECT strftime(reported_at, '%Y-%m-%dT%H') AS hour, upper(provider_name) AS provider, event_id % 3 + 1 AS page_no, device_id AS item, count(*) AS n_pings
+FROM reports GROUP BY ALL""", "reports")
 
 # Stored tables: landing, bronze, publication
 

@@ -702,16 +702,16 @@ def csv_dump_import(spark, sf_dir):
 
 @query
 def hourly_files(spark, sf_dir):
-    """Merged telemetry written in hour folders as JSON lines and read back."""
+    """Merged items of every provider, three pages an hour, written in hour folders as JSON lines and read back."""
     folder = _shared_folder(spark, "hours")
-    rows = frames.reports(spark, sf_dir).where("provider_name = 'Dott'")
+    rows = frames.reports(spark, sf_dir)
     items = rows.select(
-        F.col("reported_at").alias("hour"), F.lit("DOTT").alias("provider"), F.lit("TELEMETRY").alias("endpoint"),
-        F.lit(1).alias("page_no"), F.col("event_id").alias("pos"), F.col("device_id").alias("item"),
+        F.col("reported_at").alias("hour"), F.upper("provider_name").alias("provider"), F.lit("TELEMETRY").alias("endpoint"),
+        (F.col("event_id") % 3 + 1).cast("int").alias("page_no"), F.col("event_id").alias("pos"), F.col("device_id").alias("item"),
     )
     write_hours(items, folder)
-    back = spark.read.schema("provider string, item string, hour string").json(folder)
-    return back.groupBy("hour", "item").agg(F.count("*").alias("n_pings"))
+    back = spark.read.schema("provider string, page_no int, item string, hour string").json(folder)
+    return back.groupBy("hour", "provider", "page_no", "item").agg(F.count("*").alias("n_pings"))
 
 
 # Stored tables: landing, bronze, publication
