@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kerbside.catalogue import file_slugs
@@ -111,9 +111,14 @@ def merged_items(pages: DataFrame, path: str = "telemetry") -> DataFrame:
 
 
 def hour_pages(items: DataFrame, path: str = "telemetry", size: int = 1000) -> DataFrame:
-    """Merged items as pages again, at most ``size`` items each, with the name of their hour's file."""
+    """Merged items as pages again, at most ``size`` items each, with the name of their hour's file.
+
+    Pages delivered under one number hold items of one place: the first of each place go together, then the second ones.
+    """
     hour = F.date_format("hour", HOUR_FORMAT)
-    packed = items.groupBy("provider", "endpoint", "hour", "page_no", F.floor(F.col("pos") / size).alias("part")).agg(
+    place = Window.partitionBy("provider", "endpoint", "hour", "page_no", "pos").orderBy("item")
+    told = items.withColumn("copy", F.row_number().over(place))
+    packed = told.groupBy("provider", "endpoint", "hour", "page_no", F.floor(F.col("pos") / size).alias("part"), "copy").agg(
         F.sort_array(F.collect_list(F.struct("pos", "item"))).alias("sorted")
     )
     body = F.concat(F.lit(f'{{"{path}":['), F.array_join(F.transform("sorted", lambda s: s["item"]), ","), F.lit("]}"))

@@ -12,7 +12,7 @@ from kerbside.operators.page_dedupe import drop_empty, keep_if_changed, keep_if_
 from kerbside.sources.bronze import append_pages, read_bronze, scan
 from kerbside.sources.files import import_dump, read_seed, read_table
 from kerbside.sources import page_state
-from kerbside.sources.landing import merged_items, parse_names, read_pages, write_hours
+from kerbside.sources.landing import hour_pages, merged_items, parse_names, read_pages, write_hours
 from kerbside.streaming.landing_stream import take_up
 
 
@@ -161,6 +161,16 @@ def test_merged_hours_round_trip(spark, tmp_path):
     assert rows(spark.read.json(str(tmp_path / "hours")), "item") == [('{"a":1}',), ('{"a":2}',), ('{"a":3}',)]
 
 
+def test_pages_of_an_hour_stay_small_where_places_repeat(spark):
+    made = spark.range(0, 500, 1, 4).selectExpr("'DOTT' AS provider", "'TELEMETRY' AS endpoint", "timestamp'2024-04-15 10:00:00' AS hour", "1 AS page_no",
+                                                "int(id % 7) AS pos", "concat('{\"a\":', id, '}') AS item")
+    packed = hour_pages(made, size=5)
+    counted = packed.select(F.size(F.from_json("content", "struct<telemetry:array<string>>")["telemetry"]).alias("n"), "content")
+    assert counted.agg(F.max("n"), F.sum("n")).first()[:] == (5, 500)
+    again = counted.select(F.explode(F.from_json("content", "struct<telemetry:array<struct<a:int>>>")["telemetry"]["a"]).alias("a"))
+    assert sorted(r.a for r in again.collect()) == list(range(500))
+
+
 def test_catalogue(spark):
     cat = endpoint_catalogue(spark)
     assert cat.count() == 18 and cat.where("cadence = 'daily'").count() == 3 and cat.where("in_backfill").count() == 7
