@@ -59,7 +59,8 @@ def keep_if_changed(new: DataFrame, stored: DataFrame | None = None, order: Sequ
     column is a timestamp that spreads the pages over time; pages of one instant go on in the order of the others.
     """
     pages = _identified(new, page_key, order)
-    slim = pages.select("_page", "_table", *order, "md5_hash", F.lit(True).alias("_new")).distinct()
+    # A copy equals the one before it, so copies need not be merged here: their page is decided by the first of them.
+    slim = pages.select("_page", "_table", *order, "md5_hash", F.lit(True).alias("_new"))
     if stored is not None:
         # The stored page gets an order before every new page and its own, earliest chunk.
         seed = last_hashes(stored).select(F.struct(*TABLE).alias("_table"), "md5_hash", F.lit(False).alias("_new"))

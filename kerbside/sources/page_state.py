@@ -153,6 +153,12 @@ def land(pages: DataFrame, bronze: str, state: str, batch: int, rule: str = "see
     # Hashes are worked out once; a lost executor's part is worked out again.
     offered = pages.persist()
     try:
+        # The only job over the batch as it comes: those that follow find its pages held, also where they run side by side.
+        rank = F.struct(*[c for name in order for c in (F.col(name).isNull().alias(f"{name}_null"), F.col(name).alias(name))], "md5_hash")
+        mine = offered.groupBy(*TABLE).agg(F.max_by("md5_hash", rank).alias("md5_hash")).select(*TABLE, instant.alias("load_ts"), "md5_hash")
+        both = last.withColumn("n", F.lit(0)).unionByName(mine.withColumn("n", F.lit(1)))
+        newest = both.groupBy(*TABLE).agg(F.max_by(F.struct("load_ts", "md5_hash"), "n").alias("kept")).select(*TABLE, "kept.*")
+        _write_last(newest, state, batch)
         if rule == "seen":
             kept = keep_if_unseen(offered, seen_hashes(offered, state), order, page_key)
         else:
@@ -161,11 +167,6 @@ def land(pages: DataFrame, bronze: str, state: str, batch: int, rule: str = "see
             kept = _without(kept, _stamped(spark, bronze, instant), order)
         append_pages(kept.withColumn("load_ts", instant), bronze)
         add_hashes(_stamped(spark, bronze, instant), state)
-        rank = F.struct(*[c for name in order for c in (F.col(name).isNull().alias(f"{name}_null"), F.col(name).alias(name))], "md5_hash")
-        mine = offered.groupBy(*TABLE).agg(F.max_by("md5_hash", rank).alias("md5_hash")).select(*TABLE, instant.alias("load_ts"), "md5_hash")
-        both = last.withColumn("n", F.lit(0)).unionByName(mine.withColumn("n", F.lit(1)))
-        newest = both.groupBy(*TABLE).agg(F.max_by(F.struct("load_ts", "md5_hash"), "n").alias("kept")).select(*TABLE, "kept.*")
-        _write_last(newest, state, batch)
     finally:
         offered.unpersist()
     _mark(spark, f"{state}/whole/batch={batch}")

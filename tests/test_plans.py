@@ -138,3 +138,30 @@ def test_page_filters_decide_once(spark, tmp_path, page):
     assert sorted("content" in s for s in scans(unseen)) == [False, True]
     assert unseen.count("Exchange hashpartitioning") == 3
     assert sum("content" in s for s in scans(changed)) == 1
+
+
+def test_changed_pages_are_told_apart_without_merging_copies(spark, page):
+    """No aggregate by page: pages are shuffled by time chunk for the comparison and once by page for the bodies."""
+    from kerbside.operators.page_dedupe import keep_if_changed, with_hash
+
+    text = plan(keep_if_changed(with_hash(page(("VOI", "EVENTS", '{"events":[1]}')))))
+    assert not re.search(r"HashAggregate\(keys=\[_page#", text)
+
+
+def test_a_batch_is_held_before_pages_are_compared(spark, tmp_path, page, monkeypatch):
+    """The first job over the batch is one pass that holds it, so that no two stages work out its hashes side by side."""
+    from kerbside.operators.page_dedupe import with_hash
+    from kerbside.sources import page_state
+
+    held = []
+    compare = page_state.keep_if_changed
+
+    def watched(offered, *args):
+        held.append(spark._jsc.getPersistentRDDs().size())
+        return compare(offered, *args)
+
+    monkeypatch.setattr(page_state, "keep_if_changed", watched)
+    before = spark._jsc.getPersistentRDDs().size()
+    new = with_hash(page(("VOI", "EVENTS", '{"events":[1]}'))).withColumn("load_ts", F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    assert page_state.land(new, str(tmp_path / "bronze"), str(tmp_path / "state"), 0, "changed", ("load_ts", "filename"), ("filename",))
+    assert held == [before + 1]
