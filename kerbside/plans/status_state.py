@@ -23,11 +23,12 @@ from kerbside.operators.enrich import unpivot_trips
 from kerbside.operators.latest import STATUS_TIES, latest_per_key
 from kerbside.operators.quality import STATUS_CHECKS
 from kerbside.operators.upsert import DAY_LOOKBACK, drop, exists, key_date, publish, read_mart
-from kerbside.plans.status import REPORT_ROW, Parsed, complete_reports, parse_pages, vehicles_status
+from kerbside.plans.status import REPORT_ROW, Parsed, parse_pages, vehicles_status
 from kerbside.schemas import conform
 from kerbside.sources.bronze import new_files, read_bronze
 
 DEVICE = ("provider_name", "device_id")
+NEWEST = "VALID_FROM_TS timestamp"  # all that the next slice's start follows from
 
 
 def _newest_trips(trips: DataFrame) -> DataFrame:
@@ -68,9 +69,24 @@ def _newest(spark: SparkSession, state: str) -> tuple[int, datetime] | None:
     return marks.agg(F.max(F.struct("run", "start")).alias("m")).select("m.*").first()
 
 
-def _read(spark: SparkSession, state: str, run: int, shape: Parsed) -> Parsed:
+def _read(spark: SparkSession, place: str, shape: Parsed) -> Parsed:
     parts = {f.name: getattr(shape, f.name).schema for f in fields(Parsed)}
-    return Parsed(**{name: spark.read.schema(schema).parquet(f"{state}/run={run}/{name}") for name, schema in parts.items()})
+    return Parsed(**{name: spark.read.schema(schema).parquet(f"{place}/{name}") for name, schema in parts.items()})
+
+
+def _write(parsed: Parsed, place: str) -> None:
+    for f in fields(Parsed):
+        getattr(parsed, f.name).write.mode("overwrite").parquet(f"{place}/{f.name}")
+
+
+def late_reports(parsed: Parsed, start: Column) -> int:
+    """How many of ``complete_reports`` are older than ``start``. Reports of a type id are counted before they meet its types."""
+    late, is_poppy = F.col("reported_at") < start, F.col("provider_name") == "Poppy"
+    old = parsed.reports.where(late & is_poppy.isNotNull()).groupBy(F.when(is_poppy, F.col("vehicle_type_id")).alias("vehicle_type_id"))
+    forms = parsed.types.select("vehicle_type_id", "vehicle_type").distinct().groupBy("vehicle_type_id").agg(F.count("*").alias("forms"))
+    counted = old.agg(F.count("*").alias("n")).join(forms, "vehicle_type_id", "left").select((F.col("n") * F.coalesce("forms", F.lit(1))).alias("n"))
+    ends = unpivot_trips(_newest_trips(parsed.trips)).where(late).select(F.lit(1).cast("bigint").alias("n"))
+    return counted.unionByName(ends).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
 
 
 def _start(mart: DataFrame, lookback: str) -> datetime | None:
@@ -82,27 +98,30 @@ def run_status(spark: SparkSession, fresh: Parsed, mart: str, staging: str, stat
     """Publish the slice that follows from the state and from ``fresh``, and keep the next state.
 
     Returns how many fresh reports were too old for the slice; they still count as the last report of their device.
-    ``files`` are noted as taken up. A mart that has been set back to before the state cannot be continued.
+    ``fresh`` is written to ``staging`` and read from there; ``files`` are noted as taken up. A mart that has been set back
+    to before the state cannot be continued.
     """
     fresh = replace(fresh, reports=conform(fresh.reports, REPORT_ROW))
-    stored = read_mart(spark, mart)
+    stored = read_mart(spark, mart, NEWEST)
     start = None if stored is None else _start(stored, lookback)
     newest = _newest(spark, state)
     if newest is not None and (start is None or start < newest.start):
         raise ValueError(f"the mart ends before the state in {state}: give a new folder and all pages")
-    seen = fresh if newest is None else _joined(_read(spark, state, newest.run, fresh), fresh)
+    # Several plans follow: each would parse the pages again.
+    _write(fresh, f"{staging}/fresh")
+    fresh = _read(spark, f"{staging}/fresh", fresh)
+    seen = fresh if newest is None else _joined(_read(spark, f"{state}/run={newest.run}", fresh), fresh)
     late = 0
     if start is not None:
-        late = complete_reports(fresh).where(F.col("reported_at") < F.lit(start)).count()
+        late = late_reports(fresh, F.lit(start).cast("timestamp"))
     batch = vehicles_status({}, stored, lookback, squash, parsed=seen)
     publish(spark, batch, mart, staging, "UID", "valid_date", key_date(F.col("VALID_FROM_TS")), STATUS_CHECKS)
 
     run = 0 if newest is None else newest.run + 1
     place = f"{state}/run={run}"
-    after = _start(read_mart(spark, mart), lookback)
+    after = _start(read_mart(spark, mart, NEWEST), lookback)
     kept = fold(seen, F.lit(after).cast("timestamp")) if after is not None else seen
-    for f in fields(Parsed):
-        getattr(kept, f.name).write.mode("overwrite").parquet(f"{place}/{f.name}")
+    _write(kept, place)
     noted = spark.createDataFrame([(name,) for name in files], "file string")
     if newest is not None:
         noted = spark.read.schema("file string").parquet(f"{state}/run={newest.run}/files").unionByName(noted)

@@ -1,13 +1,14 @@
 """The status mart on a kept state against runs over the whole history."""
 
 import json
+from dataclasses import replace
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from kerbside.operators.upsert import read_mart
-from kerbside.plans import build, status_state
+from kerbside.plans import build, status, status_state
 from kerbside.sources.bronze import append_pages, read_bronze
 
 DAY = 86_400_000
@@ -97,3 +98,34 @@ def test_a_mart_set_back_is_refused_and_a_dead_run_is_repeated(spark, page, tmp_
     assert rows(read_mart(spark, mart)) == rows(read_mart(spark, f"{tmp_path}/whole"))
     with pytest.raises(ValueError, match="before the state"):
         status_state.build_status_state(spark, bronze, f"{tmp_path}/other", f"{tmp_path}/s3", state)
+
+
+def test_pages_of_a_run_are_parsed_once(spark, page, tmp_path):
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def told(kind):
+        calls.add(1)
+        return kind
+
+    def fresh(load):
+        parsed = status.parse_pages(page(*load))
+        return replace(parsed, reports=parsed.reports.withColumn("event_type", told("event_type")))
+
+    for run, load in enumerate(loads()[:3]):
+        before = calls.value
+        status_state.run_status(spark, fresh(load), f"{tmp_path}/mart", f"{tmp_path}/s{run}", f"{tmp_path}/state")
+        assert calls.value - before == (3, 2, 4)[run]
+
+
+def test_late_reports_are_those_of_all_reports(spark, page):
+    bike = {"bike_id": "b", "lat": 50.8, "lon": 4.3}
+    bikes = [{**bike, "vehicle_type_id": kind, "last_reported": T0 // 1000 + second} for second, kind in enumerate(["x", "x", "y", None, "z", "x"])]
+    kinds = [{"vehicle_type_id": "x", "form_factor": form} for form in ("car", "van", "van")] + [{"vehicle_type_id": "y"}]
+    parsed = status.parse_pages(page(
+        *loads()[0], *loads()[1], ("POPPY", "FREE_BIKE_STATUS", json.dumps({"data": {"bikes": bikes}})),
+        ("POPPY", "VEHICLE_TYPES", json.dumps({"data": {"vehicle_types": kinds}})),
+    ))
+    for days in (-1, 0, 0.00004, 2.7, 9):
+        start = F.timestamp_millis(F.lit(int(T0 + days * DAY)))
+        assert status_state.late_reports(parsed, start) == status.complete_reports(parsed).where(F.col("reported_at") < start).count()
