@@ -37,8 +37,12 @@ def upsert(existing: DataFrame | None, batch: DataFrame, key: str) -> DataFrame:
     """Stored rows whose key the batch does not name, and the batch. NULL keys never match."""
     if existing is None:
         return batch
-    kept = existing.join(batch.select(key), key, "left_anti")
-    return kept.select(*existing.columns).unionByName(batch, allowMissingColumns=True)
+    return unnamed(existing, batch, key).unionByName(batch, allowMissingColumns=True)
+
+
+def unnamed(existing: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+    """Stored rows whose key the batch does not name."""
+    return existing.join(batch.select(key), key, "left_anti").select(*existing.columns)
 
 
 def key_bucket(key: Column, buckets: int) -> Column:
@@ -101,32 +105,32 @@ def merged_schema(stored: T.StructType, batch: T.StructType) -> T.StructType:
 
 
 def publish(spark: SparkSession, batch: DataFrame, mart: str, staging: str, key: str, partition: str,
-            partition_value: Column, checks: Sequence[Check] = (), also: Sequence = ()) -> str:
+            partition_value: Column, checks: Sequence[Check] = (), also: Sequence = ()) -> None:
     """Upsert ``batch`` into the Parquet mart, after its checks have passed.
 
     ``partition_value`` must follow from the key, or ``also`` must name every other partition that can hold a row of the
     batch's keys: then only these partitions are read and rewritten, whatever the size of the mart, and no partition is
     ever left with stale rows. Their values, no more than the mart has partitions, become literals of the scan. Columns
-    that only one side has are kept, NULL on the other; one of two types is refused. The merged
-    partitions are written to ``staging`` (a new folder per run), checked there and then swapped in with
+    that only one side has are kept, NULL on the other; one of two types is refused. The batch and the stored rows
+    beside it are written to ``staging`` (a new folder per run) once each, checked there together and then swapped in with
     one dynamic partition overwrite; partitions that have lost all rows are removed after it. When a check fails the
     mart is untouched.
     """
-    batch_path, merged_path = f"{staging}/batch", f"{staging}/merged"
-    batch.withColumn(partition, partition_value).write.mode("overwrite").parquet(batch_path)
-    staged = spark.read.parquet(batch_path)
+    batch_path, kept_path = f"{staging}/batch", f"{staging}/kept"
+    batch = batch.withColumn(partition, partition_value)
+    batch.write.mode("overwrite").parquet(batch_path)
+    staged = spark.read.schema(batch.schema).parquet(batch_path)
 
-    stored, noted, schema = None, None, staged.schema
+    ready, noted, schema = staged, None, staged.schema
     named = _partitions(staged, partition)
     if exists(spark, mart):
         noted = _mart_schema(spark, mart)
         # The type of a partition column is guessed from folder names where it is not noted.
         schema = merged_schema(T.StructType([f for f in noted.fields if f.name != partition]), staged.schema)
         stored = in_values(read_mart(spark, mart, schema), partition, list({*named, *also}))
-    merged = upsert(stored, staged, key)
-    merged.write.mode("overwrite").parquet(merged_path)
-
-    ready = spark.read.parquet(merged_path)
+        unnamed(stored, staged, key).write.mode("overwrite").parquet(kept_path)
+        kept = spark.read.schema(stored.schema).parquet(kept_path)
+        ready = kept.unionByName(staged, allowMissingColumns=True)
     require(ready, checks)
     same = noted is not None and {f.name for f in noted.fields} == {f.name for f in schema.fields}
     if noted is not None and not same:
@@ -144,7 +148,6 @@ def publish(spark: SparkSession, batch: DataFrame, mart: str, staging: str, key:
     emptied = set(also) - set(named)
     for value in emptied and emptied - set(_partitions(ready, partition)):
         drop(spark, f"{mart}/{partition}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}")
-    return merged_path
 
 
 def _partitions(df: DataFrame, partition: str) -> list:

@@ -81,3 +81,14 @@ def test_checks(spark):
     with pytest.raises(QualityError, match=r"not_null\(k\): 2"):
         require(df, [Check("k", "not_null")])
     require(df, [Check("v", "unique")])
+
+
+def test_publish_stages_each_row_once(spark, tmp_path):
+    mart = str(tmp_path / "mart")
+    for number, data in enumerate(([("a", 1), ("b", 2)], [("b", 20), ("c", 3)])):
+        publish(spark, frame(spark, *data), mart, str(tmp_path / f"s{number}"), "k", "bucket", F.lit(0), [Check("k", "unique")])
+        staged = [r for part in (tmp_path / f"s{number}").iterdir() for r in rows(spark.read.parquet(str(part)), "k", "v")]
+        assert sorted(staged) == ([("a", 1), ("b", 2)], [("a", 1), ("b", 20), ("c", 3)])[number] == rows(read_mart(spark, mart), "k", "v")
+    with pytest.raises(QualityError, match="not_null"):
+        publish(spark, frame(spark, ("d", None)), mart, str(tmp_path / "s2"), "k", "bucket", F.lit(0), [Check("v", "not_null")])
+    assert rows(read_mart(spark, mart), "k", "v") == [("a", 1), ("b", 20), ("c", 3)]
