@@ -12,46 +12,46 @@ from kerbside.functions.lines import delivered_line, drop_repeats, from_geojson,
 HOUR_MS = 3_600_000
 
 
-def lines_agg(pings: DataFrame, keys: Sequence[str], wanted: dict[str, tuple[Column, bool]], ping_ms: str = "ping_ms",
+def lines_agg(pings: DataFrame, keys: Sequence[str], line: Column, copies: dict[str, bool], ping_ms: str = "ping_ms",
               lon: str = "lon", lat: str = "lat", chunk_ms: int = HOUR_MS) -> DataFrame:
-    """One row per key with a line for each entry of ``wanted``: name to (which pings, keep copies).
+    """One row per key with a line for each name in ``copies``; ``line`` names the one a ping belongs to.
 
     Points come in time order, ties by lon, lat; pings without a point are skipped and a line without
     points is NULL. Lines are built from sorted hourly pieces: collecting and sorting the pings of a busy
-    key is spread over its hours, and only finished pieces meet in the row that has to hold the line
-    anyway. Without copies equal pings are merged before the shuffle, which changes nothing where
-    repeated points are removed later on.
+    key is spread over its hours, and only finished pieces, which are points without times, meet in the row
+    that has to hold the line anyway. Where ``copies`` is false equal pings are merged before the shuffle,
+    which changes nothing where repeated points are removed later on.
     """
-    stamped = F.struct(
-        F.col(ping_ms).isNull().alias("late"),
-        F.col(ping_ms).alias("ms"),
-        F.col(lon).alias("lon"),
-        F.col(lat).alias("lat"),
+    # Both kinds share one set per piece: the number of a ping that may be a copy makes it differ from the others.
+    repeated = [name for name, kept in copies.items() if kept]
+    numbered = pings.select(
+        *keys,
+        line.alias("_line"),
+        F.coalesce(F.floor(F.col(ping_ms) / F.lit(chunk_ms)), F.lit(2**62)).cast("bigint").alias("_hour"),
+        F.when(
+            F.col(lon).isNotNull() & F.col(lat).isNotNull(),
+            F.struct(
+                F.col(ping_ms).alias("ms"),  # NULL in all pings of a piece or in none
+                F.col(lon).alias("lon"),
+                F.col(lat).alias("lat"),
+                F.when(line.isin(repeated), F.monotonically_increasing_id()).alias("copy"),
+            ),
+        ).alias("_ping"),
     )
-    placed = F.col(lon).isNotNull() & F.col(lat).isNotNull()
-    hour = F.coalesce(F.floor(F.col(ping_ms) / F.lit(chunk_ms)), F.lit(2**62)).cast("bigint")
-    gathered = [
-        F.sort_array((F.collect_list if copies else F.collect_set)(F.when(placed & which, stamped))).alias(name)
-        for name, (which, copies) in wanted.items()
-    ]
-    pieces = pings.groupBy(*keys, hour.alias("_hour")).agg(*gathered)
-    ordered = pieces.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_hour", *wanted))).alias("_pieces"))
-
-    def line(name: str) -> Column:
-        return F.flatten(
-            F.transform(
-                "_pieces",
-                lambda piece: F.transform(piece[name], lambda p: F.struct(p["lon"].alias("lon"), p["lat"].alias("lat"))),
-            )
-        )
-
-    flat = ordered.select(*keys, *[line(name).alias(name) for name in wanted])
-    return flat.select(*keys, *[F.when(F.size(name) > 0, F.col(name)).alias(name) for name in wanted])
+    in_order = F.transform(F.sort_array(F.collect_set("_ping")), lambda p: F.struct(p["lon"].alias("lon"), p["lat"].alias("lat")))
+    pieces = numbered.groupBy(*keys, "_hour", "_line").agg(in_order.alias("_points"))
+    ordered = pieces.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_hour", "_line", "_points"))).alias("_pieces"))
+
+    def points(name: str) -> Column:
+        return F.flatten(F.transform(F.filter("_pieces", lambda piece: piece["_line"] == name), lambda piece: piece["_points"]))
+
+    flat = ordered.select(*keys, *[points(name).alias(name) for name in copies])
+    return flat.select(*keys, *[F.when(F.size(name) > 0, F.col(name)).alias(name) for name in copies])
 
 
 def line_agg(pings: DataFrame, keys: Sequence[str], into: str = "line", copies: bool = True, **columns) -> DataFrame:
     """One line per key, see ``lines_agg``."""
-    return lines_agg(pings, keys, {into: (F.lit(True), copies)}, **columns)
+    return lines_agg(pings, keys, F.lit(into), {into: copies}, **columns)
 
 
 def trip_lines(pings: DataFrame) -> DataFrame:
@@ -64,7 +64,8 @@ def trip_lines(pings: DataFrame) -> DataFrame:
     return lines_agg(
         pings.where(F.col("trip_id").isNotNull()),
         ["trip_id"],
-        {"dott_line": (provider == "Dott", False), "bolt_line": (provider == "Bolt", True)},
+        F.when(provider == "Dott", "dott_line").when(provider == "Bolt", "bolt_line"),
+        {"dott_line": False, "bolt_line": True},
     )
 
 

@@ -17,6 +17,8 @@ ADVISED = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join partition even when that costs one more exchange above the join.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Parsing makes 64 MB of shuffled pages a long task: smaller ones leave no core waiting for the last of a stage.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
 }
 
 
